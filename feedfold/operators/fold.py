@@ -92,8 +92,8 @@ def stored_patches(rows: DataFrame, keys: Sequence[str], groups: Groups) -> Data
     )
 
 
-def combine(rows: DataFrame, keys: Sequence[str], groups: Groups) -> DataFrame:
-    """Fold patches to one per key."""
+def combine(rows: DataFrame, keys: Sequence[str], groups: Groups, *extra: Column) -> DataFrame:
+    """Fold patches to one per key; ``extra`` are further aggregates."""
     values = []
     for name in groups:
         counts = F.col("reset") | F.col(name).isNotNull()
@@ -103,6 +103,7 @@ def combine(rows: DataFrame, keys: Sequence[str], groups: Groups) -> DataFrame:
         F.max_by("alive", "ord").alias("alive"),
         F.bool_or("reset").alias("reset"),
         *values,
+        *extra,
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["feed_queries", "fold_queries", "type_queries", "schema_queries", "metric_queries"]
+MODULES = ["feed_queries", "fold_queries", "type_queries", "schema_queries", "metric_queries", "sink_queries"]
 
 
 def collect(attribute: str) -> dict:

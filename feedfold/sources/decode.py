@@ -52,10 +52,18 @@ def physical_type(json_type: Column) -> Column:
     return F.coalesce(F.create_map(*pairs)[json_type], F.upper(json_type))
 
 
-def decode_json(text: Column, fields: list[Field]) -> Column:
-    """JSON text as a struct of raw values; malformed text gives null."""
-    parsed = F.from_json(text, raw_schema(fields), {"mode": "PERMISSIVE"})
-    return F.when(is_json_object(text), parsed)
+def decode_json(text: Column, fields: list[Field], corrupt: str | None = None) -> Column:
+    """JSON text as a struct of raw values; text that is no object gives null.
+
+    ``corrupt`` names a further field that keeps the text where a value in it
+    does not fit its type; such a value alone is null.
+    """
+    target = raw_schema(fields)
+    options = {"mode": "PERMISSIVE"}
+    if corrupt is not None:
+        target = target.add(corrupt, T.StringType())
+        options["columnNameOfCorruptRecord"] = corrupt
+    return F.when(is_json_object(text), F.from_json(text, target, options))
 
 
 def is_json_object(text: Column) -> Column:

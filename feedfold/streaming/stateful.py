@@ -1,0 +1,105 @@
+"""Patch merge inside a stream: one row of state per key.
+
+The alternative to ``FeedSink`` for consumers that want the merged row of each
+changed key as it changes. Rows are folded twice with the same function: per
+Arrow batch before the shuffle, which shrinks a hot key to one row per batch,
+and per key with the stored state after it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from feedfold.operators.records import DELETE
+
+ORDER = ["partition", "offset"]
+
+
+def _has(column: str) -> str:
+    return f"has_{column}"
+
+
+def as_patches(records: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Patches of typed records; a null column is one the record lacks."""
+    upsert = F.col("op") != DELETE
+    sent = [(upsert & F.col(c).isNotNull()).alias(_has(c)) for c in columns]
+    return records.select(*keys, *ORDER, upsert.alias("alive"), (~upsert).alias("reset"), *columns, *sent)
+
+
+def fold_frame(rows: pd.DataFrame, keys: Sequence[str], columns: Sequence[str]) -> pd.DataFrame:
+    """Fold patches to one per key; columns without ``has`` do not count.
+
+    A patch with a reset holds only values from after its delete.
+    """
+    if rows.empty:
+        return rows
+    keys = list(keys)
+    rows = rows.sort_values(ORDER, kind="stable").reset_index(drop=True)
+    groups = rows.groupby(keys, sort=False, dropna=False)
+    last = groups.tail(1).set_index(keys, drop=False)
+    resets = rows["reset"].astype(bool)
+    place = pd.Series(rows.index, index=rows.index)
+    last_reset = place.where(resets).groupby([rows[k] for k in keys], dropna=False).transform("max").fillna(-1)
+    counts = place >= last_reset
+    folded = last[[*keys, *ORDER, "alive"]].copy()
+    folded["reset"] = groups["reset"].any()
+    for column in columns:
+        has = rows[_has(column)].astype(bool) & counts
+        found = rows[has].groupby(keys, sort=False, dropna=False).tail(1).set_index(keys)[column]
+        folded[column] = found.reindex(folded.index)
+        folded[_has(column)] = folded.index.isin(found.index)
+    order = [*keys, *ORDER, "alive", "reset", *columns, *map(_has, columns)]
+    return folded.reset_index(drop=True)[order]
+
+
+def fold_batches(keys: Sequence[str], columns: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Fold each Arrow batch by itself."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield fold_frame(rows, keys, columns)
+
+    return run
+
+
+def merge_stream(records: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Stream of merged rows: keys, order, ``alive`` and columns of each changed key."""
+    patches = as_patches(records, keys, columns)
+    small = patches.mapInPandas(fold_batches(keys, columns), patches.schema)
+    kinds = {f.name: f.dataType for f in patches.schema}
+    state_names = [*ORDER, "alive", "reset", *columns, *map(_has, columns)]
+    state_type = T.StructType([T.StructField(n, kinds[n]) for n in state_names])
+    out_names = [*keys, *ORDER, "alive", *columns]
+    out_type = T.StructType([T.StructField(n, kinds[n]) for n in out_names])
+
+    def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = None
+        if state.exists:
+            old = dict(zip(state_names, state.get, strict=True))
+            held = pd.DataFrame([{**dict(zip(keys, key, strict=True)), **old}])
+        for rows in chunks:
+            both = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            held = fold_frame(both, keys, columns)
+        row = held.iloc[0]
+        if row["alive"]:
+            state.update(tuple(_plain(row[n]) for n in state_names))
+        elif state.exists:
+            state.remove()
+        yield held[out_names]
+
+    return small.groupBy(*keys).applyInPandasWithState(
+        update, out_type, state_type, "update", GroupStateTimeout.NoTimeout
+    )
+
+
+def _plain(value):
+    """A pandas scalar as a Python one; any missing value as None."""
+    if pd.isna(value):
+        return None
+    return value.item() if hasattr(value, "item") else value
