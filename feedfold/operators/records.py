@@ -104,9 +104,12 @@ def rejected(flagged: DataFrame) -> DataFrame:
 
 
 def op_counts(records: DataFrame, *by: str) -> DataFrame:
-    """Received and written records per group and operation."""
+    """Received, written and rejected records per group and operation."""
+    rejects = F.col("reason").isNotNull() if "reason" in records.columns else F.lit(False)
     return records.groupBy(*by, "op").agg(
-        F.count("*").alias("received"), F.count_if("applied").alias("written")
+        F.count("*").alias("received"),
+        F.count_if("applied").alias("written"),
+        F.count_if(rejects).alias("rejected"),
     )
 
 

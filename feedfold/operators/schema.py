@@ -51,6 +51,12 @@ def flag_changes(records: DataFrame, span: int = SPAN) -> DataFrame:
     return rows.withColumn("changed", changed)
 
 
+def fingerprint_changes(records: DataFrame, span: int = SPAN) -> DataFrame:
+    """Upserts whose ``fp`` differs from that of the upsert before."""
+    rows = previous_value(records, ["table"], F.col("fp"), "previous_fp", span)
+    return rows.filter(~F.col("fp").eqNullSafe(F.col("previous_fp")))
+
+
 def change_points(records: DataFrame, span: int = SPAN) -> DataFrame:
     """Records at which a table's schema differs from the one before; the first one counts."""
     return flag_changes(records, span).filter("changed")

@@ -52,7 +52,7 @@ def op_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = build.prepare(fixtures.flat_feed(spark, sf_dir), PLAIN)
     flagged = records.flag_leading_deletes(rows).withColumn("applied", ~F.col("leading"))
     poll = flagged.withColumn("batch", F.call_function("div", F.col("offset"), F.lit(POLL_ROWS)))
-    return records.op_counts(poll.withColumnRenamed("table", "table_name"), "table_name", "batch")
+    return records.op_counts(poll.withColumnRenamed("table", "table_name"), "table_name", "batch").drop("rejected")
 
 
 OP_COUNTS = f"""

@@ -32,14 +32,13 @@ def shared_root(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    root = spark.conf.get(CHECKPOINT_SETTING, None)
+    root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="feedfold-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="feedfold-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

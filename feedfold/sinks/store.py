@@ -65,6 +65,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.options = options
+        self._initialised = False
 
     # Catalog ---------------------------------------------------------------
 
@@ -102,7 +103,9 @@ class TableStore:
 
     def _initialise(self) -> None:
         """Write the empty first version unless it is there."""
-        self._write_catalog(0, -1, [], "ignore")
+        if not self._initialised:
+            self._write_catalog(0, -1, [], "ignore")
+            self._initialised = True
 
     def _write_catalog(self, version: int, last_batch: int, rows: list[tuple], mode: str) -> None:
         marker = (last_batch, None, None, None, None, None)

@@ -1,9 +1,9 @@
 """Patch merge inside a stream: one row of state per key.
 
 The alternative to ``FeedSink`` for consumers that want the merged row of each
-changed key as it changes. Rows are folded twice with the same function: per
-Arrow batch before the shuffle, which shrinks a hot key to one row per batch,
-and per key with the stored state after it.
+changed key as it changes. Records are folded per Arrow batch before the
+shuffle, which shrinks a hot key to one patch per batch; the few patches of a
+key are then applied in order to its stored row.
 """
 
 from __future__ import annotations
@@ -73,25 +73,27 @@ def merge_stream(records: DataFrame, keys: Sequence[str], columns: Sequence[str]
     patches = as_patches(records, keys, columns)
     small = patches.mapInPandas(fold_batches(keys, columns), patches.schema)
     kinds = {f.name: f.dataType for f in patches.schema}
-    state_names = [*ORDER, "alive", "reset", *columns, *map(_has, columns)]
-    state_type = T.StructType([T.StructField(n, kinds[n]) for n in state_names])
+    state_type = T.StructType([T.StructField(c, kinds[c]) for c in columns])
     out_names = [*keys, *ORDER, "alive", *columns]
     out_type = T.StructType([T.StructField(n, kinds[n]) for n in out_names])
 
     def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = None
-        if state.exists:
-            old = dict(zip(state_names, state.get, strict=True))
-            held = pd.DataFrame([{**dict(zip(keys, key, strict=True)), **old}])
-        for rows in chunks:
-            both = rows if held is None else pd.concat([held, rows], ignore_index=True)
-            held = fold_frame(both, keys, columns)
-        row = held.iloc[0]
-        if row["alive"]:
-            state.update(tuple(_plain(row[n]) for n in state_names))
+        patches = [row for chunk in chunks for row in chunk.to_dict("records")]
+        patches.sort(key=lambda patch: (patch["partition"], patch["offset"]))
+        row = dict(zip(columns, state.get, strict=True)) if state.exists else {}
+        for patch in patches:
+            if patch["reset"]:
+                row = {}
+            row.update({c: patch[c] for c in columns if patch[_has(c)]})
+        last = patches[-1]
+        if last["alive"]:
+            state.update(tuple(_plain(row.get(c)) for c in columns))
         elif state.exists:
             state.remove()
-        yield held[out_names]
+        yield pd.DataFrame(
+            [[*key, last["partition"], last["offset"], last["alive"], *(row.get(c) for c in columns)]],
+            columns=out_names,
+        )
 
     return small.groupBy(*keys).applyInPandasWithState(
         update, out_type, state_type, "update", GroupStateTimeout.NoTimeout
@@ -99,7 +101,7 @@ def merge_stream(records: DataFrame, keys: Sequence[str], columns: Sequence[str]
 
 
 def _plain(value):
-    """A pandas scalar as a Python one; any missing value as None."""
-    if pd.isna(value):
+    """A pandas scalar as a Python one; a missing value as None."""
+    if value is None or value is pd.NaT:
         return None
     return value.item() if hasattr(value, "item") else value
