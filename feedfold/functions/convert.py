@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,34 +124,47 @@ def zoned_timestamp(text: Column) -> Column:
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(1000)))
 
 
-def unscaled_decimal(binary: Column, target: T.DecimalType) -> Column:
-    """Two's-complement big-endian bytes as a decimal.
+def prepare(raw: Column, spec: Field) -> Column:
+    """First step of a conversion, done in a projection of its own.
 
-    The bytes, sign-extended to 16, are read as two 64-bit halves.
+    The bytes of a decimal become hex digits, which the second step looks at
+    several times. A decimal sent as a number stays as it is: a point or a minus
+    sign, which base64 lacks, tells it apart.
     """
-    digits = F.hex(binary)
-    negative = F.substring(digits, 1, 1).isin(*"89ABCDEF")
-    wide = F.when(negative, F.lpad(F.right(digits, F.lit(32)), 32, "F")).otherwise(
-        F.lpad(F.right(digits, F.lit(32)), 32, "0")
-    )
-    high = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(38,0)")
-    low = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(38,0)")
-    unscaled = F.try_add(F.try_multiply(high, F.lit("18446744073709551616").cast("decimal(38,0)")), low)
-    return F.concat(unscaled.cast("string"), F.lit(f"E-{target.scale}")).try_cast(target)
+    if spec.internal != "DECIMAL":
+        return raw
+    digits = F.hex(F.try_to_binary(raw, F.lit("base64")))
+    return F.when(_is_plain(raw), raw).otherwise(digits)
+
 
+def _is_plain(text: Column) -> Column:
+    return F.contains(text, F.lit(".")) | F.startswith(text, F.lit("-"))
 
-def decimal_value(raw: Column, target: T.DecimalType) -> Column:
-    """A decimal field: base64 bytes of the unscaled number, or a number.
 
-    A point or a minus sign, which base64 lacks, tells a number apart.
+def hex_decimal(digits: Column, target: T.DecimalType) -> Column:
+    """Hex digits of a two's-complement big-endian number, scaled.
+
+    Up to eight bytes are one 64-bit number; more, sign-extended to 16 bytes,
+    are two of them.
     """
-    plain = raw.rlike(r"^[+-]?[0-9]+\.[0-9]*$|^-[0-9]+$")
-    packed = unscaled_decimal(F.try_to_binary(raw, F.lit("base64")), target)
-    return F.when(plain, raw.try_cast(target)).otherwise(packed)
+    fill = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
+    short = F.conv(F.lpad(digits, 16, fill), 16, -10)
+    wide = F.lpad(F.right(digits, F.lit(32)), 32, fill)
+    high = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(38,0)")
+    low = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(38,0)")
+    step = F.lit("18446744073709551616").cast("decimal(38,0)")
+    long = F.try_add(F.try_multiply(high, step), low).cast("string")
+    unscaled = F.when(F.length(digits) <= 16, short).otherwise(long)
+    return F.concat(unscaled, F.lit(f"E-{target.scale}")).try_cast(target)
+
+
+def decimal_value(prepared: Column, target: T.DecimalType) -> Column:
+    """A prepared decimal: hex digits or a number in text."""
+    return F.when(_is_plain(prepared), prepared.try_cast(target)).otherwise(hex_decimal(prepared, target))
 
 
 def convert(raw: Column, spec: Field, options: Options) -> Column:
-    """Column value of one raw field value."""
+    """Column value of one prepared field value."""
     internal = spec.internal
     if internal == rules.OTHER:
         raise ValueError(f"field {spec.name}: no column type for {spec.physical}/{spec.logical}")
@@ -189,18 +202,28 @@ def column_schema(fields: list[Field], keys: list[str], profile: str) -> T.Struc
     )
 
 
-def typed_columns(payload: str, fields: list[Field], options: Options) -> list[Column]:
-    """One finished column per field of the parsed ``payload`` struct."""
-    return [convert(F.col(payload)[f.name], f, options).alias(f.name) for f in fields]
+# Internal types whose parsed value always converts.
+SAFE = {"TINYINT", "SHORT", "INT", "LONG", "FLOAT", "DOUBLE", "BOOLEAN", "STRING", "DATE"}
+
 
+def typed(rows: DataFrame, payload: str, fields: list[Field], options: Options, prefix: str = "") -> DataFrame:
+    """Replace the parsed ``payload`` struct by finished columns, and add ``failed``.
 
-def failed_fields(payload: str, fields: list[Field], options: Options) -> Column:
-    """Names of the fields whose raw value is there and whose column value is not."""
-    flags = [
-        F.when(
-            F.col(payload)[f.name].isNotNull() & convert(F.col(payload)[f.name], f, options).isNull(),
-            F.lit(f.name),
-        )
-        for f in fields
-    ]
-    return F.array_compact(F.array(*flags))
+    ``failed`` lists the fields whose raw value is there and whose column value
+    is not. Each step is a projection of its own, so nothing is computed twice.
+    """
+    kept = [c for c in rows.columns if c != payload]
+    raw = {f.name: f"_raw_{f.name}" for f in fields}
+    checked = [f for f in fields if f.internal not in SAFE]
+    had = [F.col(payload)[f.name].isNotNull().alias(f"_had_{f.name}") for f in checked]
+    prepared = rows.select(
+        *kept, *[prepare(F.col(payload)[f.name], f).alias(raw[f.name]) for f in fields], *had
+    )
+    finished = prepared.select(
+        *kept,
+        *[convert(F.col(raw[f.name]), f, options).alias(prefix + f.name) for f in fields],
+        *[f"_had_{f.name}" for f in checked],
+    )
+    flags = [F.when(F.col(f"_had_{f.name}") & F.col(prefix + f.name).isNull(), f.name) for f in checked]
+    failed = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+    return finished.select(*kept, *[prefix + f.name for f in fields], failed.alias("failed"))

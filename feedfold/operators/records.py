@@ -66,13 +66,13 @@ def null_key(records: DataFrame) -> Column:
     return F.col("key").isNull()
 
 
-def key_changed(key_names: str = "key_names") -> Column:
+def key_changed(sent: Column, key_names: str = "key_names") -> Column:
     """A delete whose key fields are not the target's key fields, as a set.
 
-    False where the target does not exist, that is where ``key_names`` is null.
+    ``sent`` are the names in the record's key. False where the target does not
+    exist, that is where ``key_names`` is null.
     """
-    sent = F.array_sort(F.json_object_keys("key"))
-    differs = ~sent.eqNullSafe(F.array_sort(key_names))
+    differs = ~F.array_sort(sent).eqNullSafe(F.array_sort(key_names))
     return (F.col("op") == DELETE) & F.col(key_names).isNotNull() & differs
 
 

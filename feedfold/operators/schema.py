@@ -158,21 +158,25 @@ def create_layout(fields: DataFrame) -> DataFrame:
     )
 
 
-def column_starts(fields: DataFrame, allow_missing: bool) -> DataFrame:
-    """Epoch from which each column of the final table counts, per table.
+def column_starts(changes: DataFrame) -> DataFrame:
+    """Record from which each column of the final table counts, per table.
 
-    A column dropped and added again starts empty, so it counts from the epoch
-    that added it last. ``fields`` has ``table, epoch, field``.
+    ``changes`` has, per schema change, ``table, partition, offset`` and the
+    ``names`` of the record's fields. A column that was dropped and added again
+    starts empty, so it counts from the change that added it last. A table has
+    few changes, so the windows here are small.
     """
-    if allow_missing:
-        return fields.groupBy("table", "field").agg(F.min("epoch").alias("since"))
-    last = fields.groupBy("table").agg(F.max("epoch").alias("last_epoch"))
-    # Consecutive epochs of a field share epoch - rank, so the last run is the
-    # one whose difference equals that of the table's last epoch.
-    ranked = fields.join(last, "table").withColumn(
-        "run", F.col("epoch") - F.row_number().over(Window.partitionBy("table", "field").orderBy("epoch"))
+    per_table = Window.partitionBy("table").orderBy("partition", "offset")
+    numbered = changes.withColumn("epoch", F.row_number().over(per_table))
+    fields = numbered.select("table", "epoch", order_of_record().alias("start"), F.explode("names").alias("field"))
+    last = numbered.groupBy("table").agg(F.max("epoch").alias("last_epoch"))
+    # Consecutive epochs of a field share epoch - rank; the run that reaches the
+    # last epoch is the one that counts.
+    rank = F.row_number().over(Window.partitionBy("table", "field").orderBy("epoch"))
+    runs = (
+        fields.withColumn("run", F.col("epoch") - rank)
+        .groupBy("table", "field", "run")
+        .agg(F.min_by("start", "epoch").alias("start"), F.max("epoch").alias("until"))
     )
-    runs = ranked.groupBy("table", "field", "run").agg(
-        F.min("epoch").alias("since"), F.max("epoch").alias("until"), F.max("last_epoch").alias("last")
-    )
-    return runs.filter(F.col("until") == F.col("last")).select("table", "field", "since")
+    final = runs.join(last, "table").filter(F.col("until") == F.col("last_epoch"))
+    return final.groupBy("table").agg(F.map_from_entries(F.collect_list(F.struct("field", "start"))).alias("starts"))

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedfold.functions.convert import Field, convert, failed_fields, typed_columns
+from feedfold.functions import convert
+from feedfold.functions.convert import Field
 from feedfold.operators import fold, records, schema
 from feedfold.operators.bounded import attach
 from feedfold.operators.route import route
 from feedfold.options import Options
-from feedfold.sources.decode import RECORD_SCHEMA, decode_json, payload_text, schema_text
+from feedfold.sources.decode import RECORD_SCHEMA, decode_json, split_described
 
 
 def prepare(feed: DataFrame, options: Options) -> DataFrame:
@@ -23,8 +24,7 @@ def prepare(feed: DataFrame, options: Options) -> DataFrame:
 def with_typed_key(rows: DataFrame, key_fields: Sequence[Field], options: Options) -> DataFrame:
     """Add the key columns."""
     parsed = rows.withColumn("_key", decode_json(F.col("key"), list(key_fields)))
-    columns = typed_columns("_key", list(key_fields), options)
-    return parsed.select("*", *columns).drop("_key")
+    return convert.typed(parsed, "_key", list(key_fields), options).drop("failed")
 
 
 def with_typed_value(
@@ -32,14 +32,12 @@ def with_typed_value(
 ) -> DataFrame:
     """Replace the JSON ``payload`` by its columns, and add ``failed``.
 
-    ``failed`` names the fields whose value could not be converted. With a
-    ``prefix`` the payload stays and the columns are added under new names.
+    With a ``prefix`` the payload stays and the columns are added under new names.
     """
-    fields = list(fields)
-    parsed = rows.withColumn("_value", decode_json(F.col(payload), fields))
-    kept = [c for c in parsed.columns if c != "_value" and (prefix or c != payload)]
-    columns = [convert(F.col("_value")[f.name], f, options).alias(prefix + f.name) for f in fields]
-    return parsed.select(*kept, *columns, failed_fields("_value", fields, options).alias("failed"))
+    parsed = rows.withColumn("_value", decode_json(F.col(payload), list(fields)))
+    if not prefix:
+        parsed = parsed.drop(payload)
+    return convert.typed(parsed, "_value", list(fields), options, prefix)
 
 
 def current_rows(
@@ -67,11 +65,17 @@ def current_rows(
 
 def unwrap(rows: DataFrame) -> DataFrame:
     """Split self-describing keys and values into schema and payload."""
-    return (
-        rows.withColumn("key_schema", schema_text(F.col("key")))
-        .withColumn("value_schema", schema_text(F.col("value")))
-        .withColumn("key", payload_text(F.col("key")))
-        .withColumn("value", payload_text(F.col("value")))
+    parts = rows.select(
+        *[c for c in rows.columns if c not in ("key", "value")],
+        split_described(F.col("key")).alias("_k"),
+        split_described(F.col("value")).alias("_v"),
+    )
+    return parts.select(
+        *[c for c in parts.columns if c not in ("_k", "_v")],
+        F.col("_k.payload").alias("key"),
+        F.col("_v.payload").alias("value"),
+        F.col("_k.schema").alias("key_schema"),
+        F.col("_v.schema").alias("value_schema"),
     )
 
 
@@ -89,29 +93,33 @@ def evolved_rows(
 
     ``value_fields`` are all fields seen. A record sets the columns its schema
     names. Unless missing fields are allowed, a column that a schema drops is
-    lost: it counts only from the schema that added it last, and is left out of
-    tables whose last schema lacks it (null in the shared result).
+    lost: it counts only from the record that added it last, and is null here
+    for tables whose last schema lacks it. Only then is the order of schema
+    changes needed; else the distinct schemas are enough.
     """
     key_names = [f.name for f in key_fields]
     columns = [f for f in value_fields if f.name not in key_names]
     keys = ["table", *key_names]
-    rows = schema.with_epochs(prepare(unwrap(feed), options))
-    epochs = rows.filter("changed").select("table", "epoch", field_names(F.col("value_schema")).alias("names"))
-    exploded = epochs.select("table", "epoch", F.explode("names").alias("field"))
-    starts = (
-        schema.column_starts(exploded, options.allow_missing)
-        .groupBy("table")
-        .agg(F.map_from_entries(F.collect_list(F.struct("field", "since"))).alias("since"))
-    )
-    rows = attach(rows, epochs.join(starts, "table"), ["table", "epoch"])
-    rows = with_typed_key(rows, key_fields, options)
-    rows = records.drop_disabled_deletes(rows, options)
-    rows = with_typed_value(rows, columns, options)
+    rows = prepare(unwrap(feed), options)
+    fingerprint = schema.fingerprint(F.col("key_schema"), F.col("value_schema"))
+    rows = rows.withColumn("fp", F.when(F.col("op") != records.DELETE, fingerprint))
+    upserts = rows.filter(F.col("fp").isNotNull())
+    names = field_names(F.col("value_schema")).alias("names")
+    shapes = upserts.groupBy("table", "fp").agg(F.any_value("value_schema").alias("value_schema"))
+    known = attach(rows, shapes.select("table", "fp", names), ["table", "fp"])
+    if not options.allow_missing:
+        changes = schema.fingerprint_changes(upserts.select("table", "partition", "offset", "fp", "value_schema"))
+        starts = schema.column_starts(changes.select("table", "partition", "offset", names))
+        known = attach(known, starts, ["table"])
+    known = records.drop_disabled_deletes(with_typed_key(known, key_fields, options), options)
+    known = with_typed_value(known, columns, options)
     groups = fold.single_groups([f.name for f in columns])
     present = {}
     for group, (name,) in groups.items():
-        counts = F.array_contains("names", name) & (F.col("epoch") >= F.col("since")[name])
+        counts = F.array_contains("names", name)
+        if not options.allow_missing:
+            counts = counts & (records.order_of_record() >= F.col("starts")[name])
         if not options.null_overwrites:
             counts = counts & F.col(name).isNotNull()
         present[group] = F.coalesce(counts, F.lit(False))
-    return fold.fold(rows, keys, groups, present)
+    return fold.fold(known, keys, groups, present)

@@ -176,7 +176,7 @@ def reject_key_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("table", F.json_object_keys("first_key").alias("key_names"))
     )
     known = attach(rows, targets, ["table"])
-    flagged = records.split_rejects(known, {"key_change": records.key_changed()})
+    flagged = records.split_rejects(known, {"key_change": records.key_changed(F.json_object_keys("key"))})
     bad = records.rejected(flagged)
     return bad.select(F.col("table").alias("table_name"), "offset", "reason", "key")
 

@@ -42,7 +42,8 @@ def _instant(wall: Column) -> Column:
 
 
 def _text(*columns: Column | str) -> Column:
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    """Columns as a JSON object, which the optimizer can see is never null."""
+    return F.coalesce(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), F.lit(""))
 
 
 def _feed(rows: DataFrame, topic: Column, key: Column, value: Column, partition: Column) -> DataFrame:

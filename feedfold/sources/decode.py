@@ -53,17 +53,17 @@ def physical_type(json_type: Column) -> Column:
 
 
 def decode_json(text: Column, fields: list[Field], corrupt: str | None = None) -> Column:
-    """JSON text as a struct of raw values; text that is no object gives null.
+    """JSON text as a struct of raw values; text that is no object gives null values.
 
-    ``corrupt`` names a further field that keeps the text where a value in it
-    does not fit its type; such a value alone is null.
+    ``corrupt`` names a further field that keeps the text where it, or a value
+    in it, does not fit; such a value alone is null.
     """
     target = raw_schema(fields)
     options = {"mode": "PERMISSIVE"}
     if corrupt is not None:
         target = target.add(corrupt, T.StringType())
         options["columnNameOfCorruptRecord"] = corrupt
-    return F.when(is_json_object(text), F.from_json(text, target, options))
+    return F.from_json(text, target, options)
 
 
 def is_json_object(text: Column) -> Column:
@@ -71,14 +71,9 @@ def is_json_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
-def schema_text(record: Column) -> Column:
-    """Schema part of a self-describing record."""
-    return F.get_json_object(record, "$.schema")
-
-
-def payload_text(record: Column) -> Column:
-    """Payload part of a self-describing record, null for a null payload."""
-    return F.get_json_object(record, "$.payload")
+def split_described(record: Column) -> Column:
+    """Schema and payload texts of a self-describing record, in one pass over it."""
+    return F.from_json(record, "schema string, payload string")
 
 
 def after_image(text: Column, fields: list[Field]) -> Column:

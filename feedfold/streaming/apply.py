@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedfold.functions.convert import Field, convert, failed_fields
+from feedfold.functions import convert
+from feedfold.functions.convert import Field
 from feedfold.operators import fold, records, schema
 from feedfold.operators import layout as layouts
 from feedfold.operators.bounded import attach
@@ -87,9 +88,13 @@ class FeedSink:
         rows = build.prepare(rows, self.options)
         upsert = F.col("op") == records.UPSERT
         fingerprint = schema.fingerprint(F.col("key_schema"), F.col("value_schema"))
+        key_object, value_object = is_json_object(F.col("key")), is_json_object(F.col("value"))
+        malformed = F.when(~key_object, "malformed_key").when(upsert & ~value_object, "malformed_value")
         staged = rows.select(
             "table", "partition", "offset", "ts", "op", "key", "value", "key_schema", "value_schema",
             F.when(upsert, fingerprint).alias("fp"),
+            malformed.alias("malformed"),
+            F.when(~upsert, F.array_sort(F.json_object_keys("key"))).alias("sent_keys"),
         )
         path = f"{self.store.root}/stage/{uuid.uuid4().hex}"
         staged.hint("rebalance", F.col("table")).write.partitionBy("table").parquet(path)
@@ -188,20 +193,19 @@ class FeedSink:
             known,
             {
                 "null_key": records.null_key(known),
-                "malformed_key": ~is_json_object(F.col("key")),
-                "malformed_value": upsert & ~is_json_object(F.col("value")),
+                **{reason: F.col("malformed") == reason for reason in ("malformed_key", "malformed_value")},
                 **{
                     reason: upsert & F.col("refused")[F.col("fp")].eqNullSafe(F.lit(reason))
                     for reason in ("no_schema", "bad_schema", "key_change", "unsupported_type", "type_conflict")
                 },
-                "delete_key_change": records.key_changed(),
+                "delete_key_change": records.key_changed(F.col("sent_keys")),
             },
         )
         leading = F.col("reason").isNull() & ~upsert & before
         flagged = flagged.withColumn("leading", leading)
         enabled = upsert | F.lit(self.options.deletes)
         return flagged.withColumn("applied", F.col("reason").isNull() & ~F.col("leading") & enabled).drop(
-            "refused", "key_names", "starts"
+            "refused", "key_names", "starts", "malformed", "sent_keys"
         )
 
     def _write_side_outputs(self, flagged: DataFrame, batch: int) -> set[str]:
@@ -230,19 +234,22 @@ class FeedSink:
     def _decode(self, rows: DataFrame, layout: Layout) -> DataFrame:
         """Typed key and columns of records, and whether a value could not be converted."""
         options, key_fields, fields = self.options, list(layout.keys), list(layout.columns)
-        rows = rows.withColumn("_key", decode_json(F.col("key"), key_fields, CORRUPT))
-        rows = rows.withColumn("_row", decode_json(F.col("value"), fields, CORRUPT))
-        key = F.struct(*[convert(F.col("_key")[f.name], f, options).alias(f.name) for f in key_fields])
-        failed = (
-            F.col("_key")[CORRUPT].isNotNull()
-            | F.coalesce(F.col("_row")[CORRUPT].isNotNull(), F.lit(False))
-            | (F.size(failed_fields("_key", key_fields, options)) > 0)
-            | (F.size(failed_fields("_row", fields, options)) > 0)
-        )
+        rows = rows.select(
+            "table", "partition", "offset", "op", "fp",
+            F.col("key").alias("key_text"), F.col("value").alias("value_text"),
+            decode_json(F.col("key"), key_fields, CORRUPT).alias("_key"),
+            decode_json(F.col("value"), fields, CORRUPT).alias("_row"),
+        )
+        corrupt = [F.col(side)[CORRUPT].isNotNull() for side in ("_key", "_row")]
+        rows = rows.withColumn("_bad", F.coalesce(corrupt[0], F.lit(False)) | F.coalesce(corrupt[1], F.lit(False)))
+        rows = convert.typed(rows, "_key", key_fields, options, "k_").withColumnRenamed("failed", "_failed_key")
+        rows = convert.typed(rows, "_row", fields, options, "v_")
+        failed = F.col("_bad") | (F.size("_failed_key") > 0) | (F.size("failed") > 0)
         return rows.select(
-            "table", "partition", "offset", "op", "fp", key.alias("key"),
-            *[convert(F.col("_row")[f.name], f, options).alias(f"v_{f.name}") for f in fields],
-            failed.alias("failed"), F.col("key").alias("key_text"), F.col("value").alias("value_text"),
+            "table", "partition", "offset", "op", "fp", "key_text", "value_text",
+            F.struct(*[F.col(f"k_{f.name}").alias(f.name) for f in key_fields]).alias("key"),
+            *[f"v_{f.name}" for f in fields],
+            failed.alias("failed"),
         )
 
     def _write_delta(

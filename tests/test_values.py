@@ -68,6 +68,11 @@ def test_type_rules_are_distinct_and_complete():
     assert rules.internal_type("STRUCT", None) == rules.OTHER
 
 
+def as_decimal(x, target):
+    spec = Field("d", "BYTES", rules.CONNECT_DECIMAL)
+    return convert.decimal_value(convert.prepare(x, spec), target)
+
+
 def packed(number, length=None):
     length = length or (number.bit_length() + 8) // 8
     return base64.b64encode(number.to_bytes(length, "big", signed=True)).decode()
@@ -81,16 +86,16 @@ EDGES = [0, 1, -1, 127, 128, -128, -129, 2**63 - 1, -(2**63), 2**63, 2**64, -(2*
 def test_decimal_bytes(spark, number, length):
     target = T.DecimalType(38, 6)
     expected = decimal.Decimal(number).scaleb(-6, decimal.Context(prec=60))
-    found = one(spark, lambda x: convert.decimal_value(x, target), packed(number, length))
+    found = one(spark, lambda x: as_decimal(x, target), packed(number, length))
     assert found == expected
 
 
 def test_decimal_text_and_overflow(spark):
     target = T.DecimalType(6, 2)
-    assert one(spark, lambda x: convert.decimal_value(x, target), "12.5") == decimal.Decimal("12.50")
-    assert one(spark, lambda x: convert.decimal_value(x, target), "-7") == decimal.Decimal("-7.00")
-    assert one(spark, lambda x: convert.decimal_value(x, target), packed(10**9)) is None
-    assert one(spark, lambda x: convert.decimal_value(x, target), "!!") is None
+    assert one(spark, lambda x: as_decimal(x, target), "12.5") == decimal.Decimal("12.50")
+    assert one(spark, lambda x: as_decimal(x, target), "-7") == decimal.Decimal("-7.00")
+    assert one(spark, lambda x: as_decimal(x, target), packed(10**9)) is None
+    assert one(spark, lambda x: as_decimal(x, target), "!!") is None
 
 
 def test_decimal_parameters():
