@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedfold.functions import rules
+from feedfold.operators.bounded import attach
 from feedfold.operators.ordered import SPAN, previous_value, running_total
 from feedfold.operators.records import DELETE, order_of_record
 from feedfold.sources.decode import RECORD_SCHEMA, physical_type
@@ -38,46 +39,74 @@ def schema_report(schema: Column) -> Column:
     return F.concat(head, F.lit("("), fields, F.lit(")"))
 
 
-def flag_changes(records: DataFrame, span: int = SPAN) -> DataFrame:
-    """Add ``fp`` and ``changed`` to records with ``key_schema`` and ``value_schema``.
+# Columns of a schema log: one row per record, with schema texts and their fingerprint.
+LOG_COLUMNS = ["table", "partition", "offset", "op", "fp", "key_schema", "value_schema"]
+
+
+def with_fingerprint(records: DataFrame) -> DataFrame:
+    """Add ``fp`` to records with ``key_schema`` and ``value_schema``; null for deletes."""
+    upsert = F.col("op") != DELETE
+    return records.withColumn("fp", F.when(upsert, fingerprint(F.col("key_schema"), F.col("value_schema"))))
+
+
+def flag_changes(log: DataFrame, span: int = SPAN) -> DataFrame:
+    """Add ``changed`` to the rows of a schema log.
 
     An upsert is compared with the last upsert of its table. Deletes neither
     count as a change nor take part in the comparison.
     """
-    upsert = F.col("op") != DELETE
-    rows = records.withColumn("fp", F.when(upsert, fingerprint(F.col("key_schema"), F.col("value_schema"))))
+    rows = log.select("table", "partition", "offset", "op", "fp")
     rows = previous_value(rows, ["table"], F.col("fp"), "previous_fp", span)
-    changed = upsert & ~F.col("fp").eqNullSafe(F.col("previous_fp"))
-    return rows.withColumn("changed", changed)
+    changed = F.col("fp").isNotNull() & ~F.col("fp").eqNullSafe(F.col("previous_fp"))
+    return rows.withColumn("changed", changed).drop("previous_fp")
+
+
+def fingerprint_changes(upserts: DataFrame, span: int = SPAN) -> DataFrame:
+    """Upserts whose ``fp`` differs from that of the upsert before; the first one counts."""
+    rows = previous_value(upserts, ["table"], F.col("fp"), "previous_fp", span)
+    return rows.filter(~F.col("fp").eqNullSafe(F.col("previous_fp"))).drop("previous_fp")
+
+
+def schema_texts(log: DataFrame) -> DataFrame:
+    """Key and value schema per fingerprint."""
+    return (
+        log.filter(F.col("fp").isNotNull())
+        .groupBy("fp")
+        .agg(F.any_value("key_schema").alias("key_schema"), F.any_value("value_schema").alias("value_schema"))
+    )
 
 
-def fingerprint_changes(records: DataFrame, span: int = SPAN) -> DataFrame:
-    """Upserts whose ``fp`` differs from that of the upsert before."""
-    rows = previous_value(records, ["table"], F.col("fp"), "previous_fp", span)
-    return rows.filter(~F.col("fp").eqNullSafe(F.col("previous_fp")))
+def change_points(log: DataFrame, span: int = SPAN) -> DataFrame:
+    """Records at which a table's schema differs from the one before.
+
+    Only fingerprints go through the ordered scan; the few texts join after it.
+    """
+    upserts = log.filter(F.col("fp").isNotNull()).select("table", "partition", "offset", "fp")
+    return attach(fingerprint_changes(upserts, span), schema_texts(log), ["fp"])
 
 
-def change_points(records: DataFrame, span: int = SPAN) -> DataFrame:
-    """Records at which a table's schema differs from the one before; the first one counts."""
-    return flag_changes(records, span).filter("changed")
+def numbered_changes(log: DataFrame, span: int = SPAN) -> DataFrame:
+    """Change points with ``epoch``, counted from 1 per table."""
+    return running_total(change_points(log, span), ["table"], F.lit(1), "epoch", span)
 
 
-def with_epochs(records: DataFrame, span: int = SPAN) -> DataFrame:
+def with_epochs(log: DataFrame, span: int = SPAN) -> DataFrame:
     """Add ``epoch``: how many schema changes of the table lie at or before the record.
 
     Rows of one epoch are written before the next epoch's change is made.
     """
-    rows = flag_changes(records, span)
+    rows = flag_changes(log, span)
     return running_total(rows, ["table"], F.col("changed").cast("int"), "epoch", span)
 
 
-def schema_catalog(records: DataFrame) -> DataFrame:
+def schema_catalog(log: DataFrame) -> DataFrame:
     """Distinct record schemas per table with their first record and record count."""
-    return (
-        records.filter(F.col("op") != DELETE)
-        .groupBy("table", "key_schema", "value_schema")
+    counts = (
+        log.filter(F.col("fp").isNotNull())
+        .groupBy("table", "fp")
         .agg(F.min(order_of_record()).alias("first_record"), F.count("*").alias("records"))
     )
+    return attach(counts, schema_texts(log), ["fp"])
 
 
 def column_types(fields: DataFrame, profile: str) -> DataFrame:
@@ -167,16 +196,24 @@ def column_starts(changes: DataFrame) -> DataFrame:
     few changes, so the windows here are small.
     """
     per_table = Window.partitionBy("table").orderBy("partition", "offset")
-    numbered = changes.withColumn("epoch", F.row_number().over(per_table))
-    fields = numbered.select("table", "epoch", order_of_record().alias("start"), F.explode("names").alias("field"))
-    last = numbered.groupBy("table").agg(F.max("epoch").alias("last_epoch"))
+    whole = per_table.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    numbered = changes.withColumn("epoch", F.row_number().over(per_table)).withColumn(
+        "last_epoch", F.count("*").over(whole)
+    )
+    fields = numbered.select(
+        "table", "epoch", "last_epoch", order_of_record().alias("start"), F.explode("names").alias("field")
+    )
     # Consecutive epochs of a field share epoch - rank; the run that reaches the
     # last epoch is the one that counts.
     rank = F.row_number().over(Window.partitionBy("table", "field").orderBy("epoch"))
     runs = (
         fields.withColumn("run", F.col("epoch") - rank)
         .groupBy("table", "field", "run")
-        .agg(F.min_by("start", "epoch").alias("start"), F.max("epoch").alias("until"))
+        .agg(
+            F.min_by("start", "epoch").alias("start"),
+            F.max("epoch").alias("until"),
+            F.max("last_epoch").alias("last_epoch"),
+        )
     )
-    final = runs.join(last, "table").filter(F.col("until") == F.col("last_epoch"))
+    final = runs.filter(F.col("until") == F.col("last_epoch"))
     return final.groupBy("table").agg(F.map_from_entries(F.collect_list(F.struct("field", "start"))).alias("starts"))

@@ -13,6 +13,7 @@ from feedfold.operators import fold, records, schema
 from feedfold.operators.bounded import attach
 from feedfold.operators.route import route
 from feedfold.options import Options
+from feedfold.session import landed
 from feedfold.sources.decode import RECORD_SCHEMA, decode_json, split_described
 
 
@@ -79,6 +80,11 @@ def unwrap(rows: DataFrame) -> DataFrame:
     )
 
 
+def schema_log(rows: DataFrame) -> DataFrame:
+    """The schema side of fingerprinted records, landed so that it is worked out once."""
+    return landed(rows.select(*schema.LOG_COLUMNS), "schema_log")
+
+
 def field_names(schema_json: Column) -> Column:
     return F.transform(F.from_json(schema_json, RECORD_SCHEMA)["fields"], lambda f: f["field"])
 
@@ -100,17 +106,18 @@ def evolved_rows(
     key_names = [f.name for f in key_fields]
     columns = [f for f in value_fields if f.name not in key_names]
     keys = ["table", *key_names]
-    rows = prepare(unwrap(feed), options)
-    fingerprint = schema.fingerprint(F.col("key_schema"), F.col("value_schema"))
-    rows = rows.withColumn("fp", F.when(F.col("op") != records.DELETE, fingerprint))
-    upserts = rows.filter(F.col("fp").isNotNull())
+    rows = schema.with_fingerprint(prepare(unwrap(feed), options))
+    log = schema_log(rows)
+    upserts = log.filter(F.col("fp").isNotNull())
     names = field_names(F.col("value_schema")).alias("names")
-    shapes = upserts.groupBy("table", "fp").agg(F.any_value("value_schema").alias("value_schema"))
-    known = attach(rows, shapes.select("table", "fp", names), ["table", "fp"])
+    known = attach(rows, schema.schema_texts(log).select("fp", names), ["fp"])
     if not options.allow_missing:
-        changes = schema.fingerprint_changes(upserts.select("table", "partition", "offset", "fp", "value_schema"))
-        starts = schema.column_starts(changes.select("table", "partition", "offset", names))
-        known = attach(known, starts, ["table"])
+        changes = attach(
+            schema.fingerprint_changes(upserts.select("table", "partition", "offset", "fp")),
+            schema.schema_texts(log).select("fp", names),
+            ["fp"],
+        )
+        known = attach(known, schema.column_starts(changes), ["table"])
     known = records.drop_disabled_deletes(with_typed_key(known, key_fields, options), options)
     known = with_typed_value(known, columns, options)
     groups = fold.single_groups([f.name for f in columns])

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from feedfold.functions import rules
 from feedfold.functions.convert import Field
+from feedfold.operators.ordered import running_total
+from feedfold.session import landed
 
 KEYS = ["user_id", "k"]
 KEY_FIELDS = [Field("user_id", "INT64"), Field("k", "INT32")]
@@ -208,13 +210,11 @@ COUNTER_WRAP = 50
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sample per event and metric, one second apart.
+    """One sample per event and metric, one second apart, landed like a metric store's.
 
     The read counter of a feed restarts at every 50th record; one feed gets a
     third of all events. The pause counter is the running whole of the value.
     """
-    from feedfold.operators.ordered import running_total
-
     feed = F.when(F.col("user_id") % 3 == 0, "feed_0").otherwise(F.concat(F.lit("feed_"), F.col("user_id") % 25))
     rows = table(spark, sf_dir, "events").select(
         feed.alias("feed"),
@@ -242,4 +242,5 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         sample(CHECKPOINT, F.floor(F.col("value") * 500), "instance"),
         sample(PAUSE_TOTAL, F.col("paused"), "instance"),
     )
-    return counted.select("ts", F.explode(samples).alias("_s")).select("ts", "_s.metric", "_s.labels", "_s.value")
+    exploded = counted.select("ts", F.explode(samples).alias("_s"))
+    return landed(exploded.select("ts", "_s.metric", "_s.labels", "_s.value"), "metric_samples")

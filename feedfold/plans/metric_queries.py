@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedfold.operators import metrics
 from feedfold.plans import fixtures
+from feedfold.session import landed
 
 STEP = metrics.STEP_SECONDS
 INCREASE_STEPS = metrics.INCREASE_RANGE_SECONDS // STEP
@@ -78,25 +79,23 @@ def _at_end(report: DataFrame) -> DataFrame:
     return report.withColumn("at", metrics.step_end(F.col("step"))).drop("step")
 
 
-def _increases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = fixtures.metric_samples(spark, sf_dir)
+def _increases(samples: DataFrame) -> DataFrame:
     return metrics.feed_increase(samples, fixtures.READ_TOTAL, "feed", [])
 
 
 def feed_increase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at_end(_increases(spark, sf_dir))
+    return _at_end(_increases(fixtures.metric_samples(spark, sf_dir)))
 
 
 def feed_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at_end(metrics.feed_share(_increases(spark, sf_dir)))
+    return _at_end(metrics.feed_share(_increases(fixtures.metric_samples(spark, sf_dir))))
 
 
 def hot_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at_end(metrics.hot_feeds(metrics.feed_share(_increases(spark, sf_dir))))
+    return _at_end(metrics.hot_feeds(metrics.feed_share(_increases(fixtures.metric_samples(spark, sf_dir)))))
 
 
-def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = fixtures.metric_samples(spark, sf_dir)
+def _gate(samples: DataFrame) -> DataFrame:
     return metrics.overload_gate(
         metrics.max_gauge(samples, fixtures.QUEUE_SIZE, ["instance", "pool"], "max_queue"),
         metrics.max_gauge(samples, fixtures.CHECKPOINT, ["instance"], "max_checkpoint"),
@@ -105,7 +104,7 @@ def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overload_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at_end(_gate(spark, sf_dir))
+    return _at_end(_gate(fixtures.metric_samples(spark, sf_dir)))
 
 
 def max_instance_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,9 +113,10 @@ def max_instance_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def throttle_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    increases = _increases(spark, sf_dir)
+    samples = fixtures.metric_samples(spark, sf_dir)
+    increases = landed(_increases(samples), "feed_increase")
     hot = metrics.hot_feeds(metrics.feed_share(increases))
-    return _at_end(metrics.throttle_decisions(_gate(spark, sf_dir), hot, increases, "feed"))
+    return _at_end(metrics.throttle_decisions(_gate(samples), hot, increases, "feed"))
 
 
 QUERIES = {

@@ -9,6 +9,7 @@ from feedfold.operators import schema
 from feedfold.options import Options
 from feedfold.plans import build, fixtures
 from feedfold.plans.feed_queries import LOG
+from feedfold.session import landed
 from feedfold.sources.decode import schema_fields
 
 PROFILE = "column_table"
@@ -28,12 +29,13 @@ _ROWS = f"""
 )"""
 
 
-def _records(spark: SparkSession, sf_dir: str, conflicts: bool = False) -> DataFrame:
-    return build.prepare(build.unwrap(fixtures.schema_feed(spark, sf_dir, conflicts)), Options())
+def _log(spark: SparkSession, sf_dir: str, conflicts: bool = False) -> DataFrame:
+    rows = build.prepare(build.unwrap(fixtures.schema_feed(spark, sf_dir, conflicts)), Options())
+    return build.schema_log(schema.with_fingerprint(rows))
 
 
 def change_point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = schema.change_points(_records(spark, sf_dir))
+    points = schema.change_points(_log(spark, sf_dir))
     return points.select(
         F.col("table").alias("table_name"), "offset", schema.schema_report(F.col("value_schema")).alias("schema")
     )
@@ -53,7 +55,7 @@ FROM numbered WHERE changed"""
 
 def epoch_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is written between two schema changes of a table."""
-    rows = schema.with_epochs(_records(spark, sf_dir))
+    rows = schema.with_epochs(_log(spark, sf_dir))
     return rows.groupBy(F.col("table").alias("table_name"), "epoch").agg(
         F.count("*").alias("records"),
         F.count_if(F.col("op") == "d").alias("deletes"),
@@ -71,14 +73,13 @@ FROM numbered GROUP BY 1, 2"""
 
 def _epoch_fields(spark: SparkSession, sf_dir: str, conflicts: bool) -> DataFrame:
     """Fields of each schema epoch of each table, with column types."""
-    rows = schema.with_epochs(_records(spark, sf_dir, conflicts)).filter("changed")
-    fields = schema_fields(rows.select("table", "epoch", "value_schema"), "value_schema", "table", "epoch")
-    return schema.column_types(fields, PROFILE)
+    changes = schema.numbered_changes(_log(spark, sf_dir, conflicts))
+    fields = schema_fields(changes.select("table", "epoch", "value_schema"), "value_schema", "table", "epoch")
+    return landed(schema.column_types(fields, PROFILE), "epoch_fields")
 
 
-def _diff(spark: SparkSession, sf_dir: str, conflicts: bool, allow_missing: bool) -> DataFrame:
+def _diff(fields: DataFrame, allow_missing: bool) -> DataFrame:
     """Each epoch's fields against the table as the epochs before left it."""
-    fields = _epoch_fields(spark, sf_dir, conflicts)
     held = schema.previous_layout(fields, allow_missing)
     last = fields.groupBy("table").agg(F.max("epoch").alias("_last"))
     diff = schema.schema_diff(fields, held, ["table", "epoch"])
@@ -122,7 +123,7 @@ def _named(rows: DataFrame) -> DataFrame:
 
 
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _named(_diff(spark, sf_dir, False, False))
+    return _named(_diff(_epoch_fields(spark, sf_dir, False), False))
 
 
 SCHEMA_DIFF = _diff_sql(_NO_CONFLICT, _HELD_LAST) + " SELECT * FROM diff"
@@ -130,8 +131,9 @@ SCHEMA_DIFF = _diff_sql(_NO_CONFLICT, _HELD_LAST) + " SELECT * FROM diff"
 
 def needs_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Under both settings of ``allow_missing``."""
+    fields = _epoch_fields(spark, sf_dir, True)
     results = [
-        schema.needs_change(_diff(spark, sf_dir, True, allowed), ["table", "epoch"], allowed).withColumn(
+        schema.needs_change(_diff(fields, allowed), ["table", "epoch"], allowed).withColumn(
             "allow_missing", F.lit(allowed)
         )
         for allowed in (False, True)
@@ -151,7 +153,7 @@ SELECT * FROM ({_diff_sql(_WITH_CONFLICT, _HELD_ALL)}
 
 
 def type_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _named(schema.type_conflicts(_diff(spark, sf_dir, True, True)))
+    return _named(schema.type_conflicts(_diff(_epoch_fields(spark, sf_dir, True), True)))
 
 
 TYPE_CONFLICTS = _diff_sql(_WITH_CONFLICT, _HELD_ALL) + " SELECT * FROM diff WHERE status = 'type_conflict'"
@@ -159,7 +161,7 @@ TYPE_CONFLICTS = _diff_sql(_WITH_CONFLICT, _HELD_ALL) + " SELECT * FROM diff WHE
 
 def create_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of each table as its first record creates it."""
-    catalog = schema.schema_catalog(_records(spark, sf_dir))
+    catalog = schema.schema_catalog(_log(spark, sf_dir))
     first = catalog.groupBy("table").agg(
         F.min_by("key_schema", "first_record").alias("key_schema"),
         F.min_by("value_schema", "first_record").alias("value_schema"),

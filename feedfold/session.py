@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -44,3 +44,14 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def landed(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared folder and read back.
+
+    For results that several later steps read: their source is scanned once,
+    and losing an executor does not bring the work back.
+    """
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
