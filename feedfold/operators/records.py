@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from feedfold.functions import rules
 from feedfold.operators.bounded import attach
 from feedfold.options import Options
-from feedfold.sources.decode import after_text
+from feedfold.sources.decode import after_text, lacks_after
 
 UPSERT, DELETE = "u", "d"
 
@@ -25,11 +25,17 @@ def order_of_record() -> Column:
 def classify(feed: DataFrame, options: Options) -> DataFrame:
     """Add ``op``: a record without a row is a delete by key.
 
-    With the ``after`` envelope, ``value`` becomes the row inside it.
+    With the ``after`` envelope, ``value`` becomes the row inside it. ``stray``
+    marks values that are no envelope; they are not taken for deletes.
     """
+    stray = F.lit(False)
     if options.envelope == "after":
-        feed = feed.withColumn("value", after_text(F.col("value")))
-    return feed.withColumn("op", F.when(F.col("value").isNull(), DELETE).otherwise(UPSERT))
+        feed = feed.withColumn("stray", lacks_after(F.col("value")))
+        feed = feed.withColumn("value", F.when(F.col("stray"), F.col("value")).otherwise(after_text(F.col("value"))))
+        stray = F.col("stray")
+    return feed.withColumn("stray", stray).withColumn(
+        "op", F.when(F.col("value").isNull(), DELETE).otherwise(UPSERT)
+    )
 
 
 def drop_disabled_deletes(records: DataFrame, options: Options) -> DataFrame:

@@ -14,7 +14,7 @@ from feedfold.operators.bounded import attach
 from feedfold.operators.route import route
 from feedfold.options import Options
 from feedfold.session import landed
-from feedfold.sources.decode import RECORD_SCHEMA, decode_json, split_described
+from feedfold.sources.decode import RECORD_SCHEMA, decode_json, payload_or_text, split_described
 
 
 def prepare(feed: DataFrame, options: Options) -> DataFrame:
@@ -53,7 +53,7 @@ def current_rows(
     key_names = [f.name for f in key_fields]
     value_fields = [f for f in value_fields if f.name not in key_names]
     keys = ["table", *key_names]
-    rows = prepare(feed, options).filter(~records.null_key(feed))
+    rows = prepare(feed, options).filter(F.col("key").isNotNull() & ~F.col("stray"))
     rows = records.drop_disabled_deletes(with_typed_key(rows, key_fields, options), options)
     if options.null_overwrites:
         last = fold.latest(rows, keys, "value")
@@ -67,14 +67,12 @@ def current_rows(
 def unwrap(rows: DataFrame) -> DataFrame:
     """Split self-describing keys and values into schema and payload."""
     parts = rows.select(
-        *[c for c in rows.columns if c not in ("key", "value")],
-        split_described(F.col("key")).alias("_k"),
-        split_described(F.col("value")).alias("_v"),
+        "*", split_described(F.col("key")).alias("_k"), split_described(F.col("value")).alias("_v")
     )
     return parts.select(
-        *[c for c in parts.columns if c not in ("_k", "_v")],
-        F.col("_k.payload").alias("key"),
-        F.col("_v.payload").alias("value"),
+        *[c for c in rows.columns if c not in ("key", "value")],
+        payload_or_text(F.col("key"), F.col("_k")).alias("key"),
+        payload_or_text(F.col("value"), F.col("_v")).alias("value"),
         F.col("_k.schema").alias("key_schema"),
         F.col("_v.schema").alias("value_schema"),
     )

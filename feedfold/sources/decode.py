@@ -66,16 +66,35 @@ def decode_json(text: Column, fields: list[Field], corrupt: str | None = None) -
     return F.from_json(text, target, options)
 
 
-def is_json_object(text: Column) -> Column:
-    """Whether the text parses as a JSON object."""
-    return F.json_object_keys(text).isNotNull()
-
-
 def split_described(record: Column) -> Column:
     """Schema and payload texts of a self-describing record, in one pass over it."""
     return F.from_json(record, "schema string, payload string")
 
 
+def payload_or_text(record: Column, parts: Column) -> Column:
+    """Payload of a split record; the whole text where it does not describe itself.
+
+    A payload that is there and null stays null, for that is a delete; text
+    without any payload must not be taken for one.
+    """
+    stray = parts["schema"].isNull() & parts["payload"].isNull() & ~_has_name(record, "payload")
+    return F.when(stray, record).otherwise(parts["payload"])
+
+
+def _has_name(text: Column, name: str) -> Column:
+    return F.coalesce(F.array_contains(F.json_object_keys(text), name), F.lit(False))
+
+
+def looks_like_object(text: Column) -> Column:
+    """Cheap test that rules out JSON values other than objects."""
+    return F.startswith(F.ltrim(text), F.lit("{"))
+
+
+def lacks_after(text: Column) -> Column:
+    """Whether text is there but is no before/after envelope; keys are only read without an ``after``."""
+    return text.isNotNull() & after_text(text).isNull() & ~_has_name(text, "after")
+
+
 def after_image(text: Column, fields: list[Field]) -> Column:
     """Row part of a before/after envelope; null where the row was deleted."""
     envelope = T.StructType([T.StructField("after", raw_schema(fields))])

@@ -21,7 +21,7 @@ from feedfold.operators.layout import Layout, RefusedSchema
 from feedfold.options import Options
 from feedfold.plans import build
 from feedfold.sinks.store import NO_COLUMN, TableEntry, TableStore
-from feedfold.sources.decode import decode_json, is_json_object
+from feedfold.sources.decode import decode_json, looks_like_object
 
 # Name under which the JSON parser keeps a text it could not parse in full.
 CORRUPT = "_corrupt"
@@ -47,14 +47,19 @@ class FeedSink:
     """Applies micro-batches of a feed to a store.
 
     Records either describe themselves (schema and payload) or follow
-    ``schemas``: key and value fields per table.
+    ``schemas``: key and value fields per table. ``topic_per_task`` says that
+    each input task reads one topic, as Kafka's do: the batch then lands by
+    table without a shuffle.
     """
 
-    def __init__(self, store: TableStore, schemas: Schemas | None = None) -> None:
+    def __init__(
+        self, store: TableStore, schemas: Schemas | None = None, topic_per_task: bool = False
+    ) -> None:
         self.store = store
         self.spark = store.spark
         self.options: Options = store.options
         self.schemas = schemas
+        self.topic_per_task = topic_per_task
 
     def start(self, feed: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run on a streaming feed; a micro-batch is one batch."""
@@ -88,8 +93,9 @@ class FeedSink:
         rows = build.prepare(rows, self.options)
         upsert = F.col("op") == records.UPSERT
         fingerprint = schema.fingerprint(F.col("key_schema"), F.col("value_schema"))
-        key_object, value_object = is_json_object(F.col("key")), is_json_object(F.col("value"))
-        malformed = F.when(~key_object, "malformed_key").when(upsert & ~value_object, "malformed_value")
+        malformed = F.when(~looks_like_object(F.col("key")), "malformed_key").when(
+            F.col("stray") | (upsert & ~looks_like_object(F.col("value"))), "malformed_value"
+        )
         staged = rows.select(
             "table", "partition", "offset", "ts", "op", "key", "value", "key_schema", "value_schema",
             F.when(upsert, fingerprint).alias("fp"),
@@ -97,7 +103,9 @@ class FeedSink:
             F.when(~upsert, F.array_sort(F.json_object_keys("key"))).alias("sent_keys"),
         )
         path = f"{self.store.root}/stage/{uuid.uuid4().hex}"
-        staged.hint("rebalance", F.col("table")).write.partitionBy("table").parquet(path)
+        if not self.topic_per_task:
+            staged = staged.hint("rebalance", F.col("table"))
+        staged.write.partitionBy("table").parquet(path)
         types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in staged.schema)
         return self.spark.read.schema(types).parquet(path)
 

@@ -130,11 +130,14 @@ def test_rejects(spark):
         upsert(6, AB, {"other": 5, "a": "x", "b": 1}, key={"other": "int64"}),
         bad_text,
         ("t", 0, 8, None, described(ID, {"id": 5}), json.dumps({"schema": schema_of(AB), "payload": 5})),
+        # Neither broken text nor a bare row is a delete of key 1.
+        ("t", 0, 9, None, described(ID, {"id": 1}), '{"schema": {"type"'),
+        ("t", 0, 10, None, described(ID, {"id": 1}), '{"id": 1, "a": "y"}'),
     )
     assert held(store) == [(1, "x", 1)]
     assert reasons(spark, store) == [
         (2, "null_key"), (3, "type_conflict"), (4, "unsupported_type"), (5, "delete_key_change"),
-        (6, "key_change"), (7, "cast_failed"), (8, "malformed_value"),
+        (6, "key_change"), (7, "cast_failed"), (8, "malformed_value"), (9, "no_schema"), (10, "no_schema"),
     ]
 
 
@@ -190,6 +193,23 @@ def test_envelope_and_many_tables(spark):
     assert {r.table for r in frame.collect()} == {"s_a", "s_b"}
 
 
+def test_bare_envelope_that_is_none(spark):
+    schemas = {"t": ([Field("id", "INT32")], [Field("a", "STRING")])}
+    sink, store = sink_on(spark, "bare_envelope", Options(envelope="after"), schemas)
+    values = ['{"after": {"a": "x"}}', '{"after": {"a": "y"}}', '{"after": null}', '{"heartbeat": 1}', '{"after": ']
+    rows = [("t", 0, n, None, '{"id": %d}' % (n % 2 if n < 3 else 1), v) for n, v in enumerate(values)]
+    apply(sink, 0, *rows)
+    assert held(store) == [(1, "y")]
+    assert reasons(spark, store) == [(3, "malformed_value"), (4, "malformed_value")]
+
+
+def test_landing_without_a_shuffle(spark):
+    sink, store = sink_on(spark, "per_topic")
+    sink.topic_per_task = True
+    apply(sink, 0, upsert(1, AB, {"id": 1, "a": "x", "b": 1}), upsert(2, AB, {"id": 2, "a": "y", "b": 2}, "u"))
+    assert held(store) == [(1, "x", 1)] and held(store, "u") == [(2, "y", 2)]
+
+
 def test_supplied_schemas_and_key_only_table(spark):
     schemas = {"t": ([Field("key_id", "INT32")], [Field("name", "STRING")]), "k": ([Field("id", "INT64")], [])}
     sink, store = sink_on(spark, "supplied", schemas=schemas)
