@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,17 +56,15 @@ def save_bucketed(rows: DataFrame, table: str, keys: Sequence[str], options: Opt
 def merge_into(changes: DataFrame, target: str, keys: Sequence[str], columns: Sequence[str]) -> None:
     """Apply folded changes to a catalog table that supports row-level operations.
 
-    ``changes`` has the keys, ``alive`` and, per column, a struct ``v`` that is
-    null where the column is not set.
+    ``changes`` has the keys, ``alive``, ``reset`` and, per column, a struct
+    ``v`` that is null where the column is not set.
     """
-    matches = None
-    for key in keys:
-        test = F.col(f"target.{key}") == F.col(f"changes.{key}")
-        matches = test if matches is None else matches & test
+    table = target.split(".")[-1]
+    matches = reduce(and_, [F.col(f"{table}.{key}") == F.col(f"changes.{key}") for key in keys])
 
     def merged(name: str) -> Column:
-        new, old = F.col(f"changes.{name}"), F.col(f"target.{name}")
-        return F.when(new.isNotNull(), new["v"]).otherwise(F.when(~F.col("changes.reset"), old))
+        new, old = F.col(f"changes.{name}"), F.col(f"{table}.{name}")
+        return F.when(new.isNotNull(), new["v"]).when(~F.col("changes.reset"), old)
 
     insert = {key: F.col(f"changes.{key}") for key in keys}
     insert |= {name: F.col(f"changes.{name}")["v"] for name in columns}

@@ -127,3 +127,14 @@ def decode_avro(binary: Column, schema_json: str) -> Column:
 
     body = F.substring(binary, AVRO_HEADER_BYTES + 1, 2_147_483_647)
     return from_avro(body, schema_json, {"mode": "PERMISSIVE"})
+
+
+def avro_feed_as_text(feed: DataFrame, key_schema: str, value_schema: str) -> DataFrame:
+    """A feed with Avro keys and values as one with JSON text, for the later steps."""
+
+    def text(name: str, schema: str) -> Column:
+        decoded = F.to_json(decode_avro(F.col(name), schema), {"ignoreNullFields": "false"})
+        return F.when(F.col(name).isNotNull(), decoded).alias(name)
+
+    others = [c for c in feed.columns if c not in ("key", "value")]
+    return feed.select(*others, text("key", key_schema), text("value", value_schema))
