@@ -26,7 +26,7 @@ from feedfold.options import Options
 
 CATALOG_SCHEMA = (
     "last_batch bigint, `table` string, layout string, base string, base_batch bigint, "
-    "deltas array<struct<batch: bigint, path: string>>"
+    "deltas array<struct<batch: bigint, path: string>>, uniform boolean"
 )
 ORDER_TYPE = T.StructType(
     [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
@@ -39,18 +39,23 @@ NO_COLUMN = "_none"
 
 @dataclass(frozen=True)
 class TableEntry:
-    """What the catalog knows of one table."""
+    """What the catalog knows of one table.
+
+    ``uniform``: every stored patch sets all columns or none, so that they fold
+    as one.
+    """
 
     layout: Layout
     base: str | None = None
     base_batch: int = -1
     deltas: tuple[tuple[int, str], ...] = ()
+    uniform: bool = True
 
     @property
     def files(self) -> tuple:
         """Tables that agree in this are read and folded together."""
         since = tuple(sorted((name, start[0]) for name, start in self.layout.since.items()))
-        return self.layout, since, self.base, self.base_batch, self.deltas
+        return self.layout, since, self.base, self.base_batch, self.deltas, self.uniform
 
 
 @dataclass(frozen=True)
@@ -85,6 +90,7 @@ class TableStore:
                 row["base"],
                 row["base_batch"],
                 tuple((d["batch"], d["path"]) for d in row["deltas"]),
+                row["uniform"],
             )
             for row in rows
             if row["table"] is not None
@@ -95,7 +101,7 @@ class TableStore:
         """Write the next version; a row without a table keeps the batch number."""
         version = catalog.version + 1
         rows = [
-            (catalog.last_batch, name, layouts.dump(e.layout), e.base, e.base_batch, list(e.deltas))
+            (catalog.last_batch, name, layouts.dump(e.layout), e.base, e.base_batch, list(e.deltas), e.uniform)
             for name, e in sorted(catalog.tables.items())
         ]
         self._write_catalog(version, catalog.last_batch, rows, "overwrite")
@@ -108,7 +114,7 @@ class TableStore:
             self._initialised = True
 
     def _write_catalog(self, version: int, last_batch: int, rows: list[tuple], mode: str) -> None:
-        marker = (last_batch, None, None, None, None, None)
+        marker = (last_batch, None, None, None, None, None, None)
         frame = self.spark.createDataFrame([marker, *rows], CATALOG_SCHEMA).coalesce(1)
         frame.write.mode(mode).parquet(f"{self.root}/catalog/version={version}")
 
@@ -167,29 +173,37 @@ class TableStore:
             return base
         delta = self._read(entry.layout, newer, tables)
         if base is None:
-            return combine_patches(delta, entry.layout)
+            return combine_patches(delta, entry)
         # A bare count is answered from the parquet footers.
         if delta.count() > CHANGED_KEYS:
-            return combine_patches(base.unionByName(delta), entry.layout)
+            return combine_patches(base.unionByName(delta), entry)
         keys = F.broadcast(delta.select("table", "key").distinct())
         on = ["table", "key"]
         touched = base.join(keys, on, "left_semi").unionByName(delta)
         untouched = base.join(keys, on, "left_anti")
-        return untouched.unionByName(combine_patches(touched, entry.layout))
+        return untouched.unionByName(combine_patches(touched, entry))
 
     # Compaction ------------------------------------------------------------
 
     def compact(self, tables: list[str] | None = None) -> Catalog:
-        """Write a new base for tables with deltas and drop their deleted rows."""
+        """Write a new base for tables with deltas and drop their deleted rows.
+
+        A base row is complete: columns never set become null, and no older
+        patch is left that a column's start would have to hide.
+        """
         catalog = self.catalog()
         entries = dict(catalog.tables)
         chosen = {name: e for name, e in entries.items() if e.deltas and (tables is None or name in tables)}
         for names, entry in _together(chosen):
             path = self.new_unit()
-            live = self.folded(names, entry).filter("alive").withColumn("reset", F.lit(True))
-            self.write_patches(live.withColumn("batch", F.lit(catalog.last_batch).cast("bigint")), path)
+            live = self.folded(names, entry).filter("alive")
+            values = [F.struct(F.col("cols")[c]["v"].alias("v")).alias(c) for c in stored_names(entry.layout)]
+            base = live.withColumns(
+                {"reset": F.lit(True), "cols": F.struct(*values), "batch": F.lit(catalog.last_batch).cast("bigint")}
+            )
+            self.write_patches(base, path)
             for name in names:
-                entries[name] = TableEntry(entry.layout, path, catalog.last_batch)
+                entries[name] = TableEntry(replace(entry.layout, since={}), path, catalog.last_batch)
         return self.commit(replace(catalog, tables=entries))
 
     def write_patches(self, patches: DataFrame, path: str) -> None:
@@ -236,14 +250,18 @@ def rows_of(folded: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def combine_patches(patches: DataFrame, layout: Layout) -> DataFrame:
+def combine_patches(patches: DataFrame, entry: TableEntry) -> DataFrame:
     """Fold stored patches to one per table and key."""
-    names = stored_names(layout)
-    groups = {f"c{n}": [name] for n, name in enumerate(names)}
-    spread = patches.select(
-        "table", "batch", "key", "ord", "alive", "reset",
-        *[F.col("cols")[name].alias(group) for group, (name,) in groups.items()],
-    )
+    names = stored_names(entry.layout)
+    cols = F.col("cols")
+    if entry.uniform:
+        groups = {"c0": names}
+        values = [F.when(cols[names[0]].isNotNull(), cols).alias("c0")]
+        whole = F.col("c0")
+    else:
+        groups = {f"c{n}": [name] for n, name in enumerate(names)}
+        values = [cols[name].alias(group) for group, (name,) in groups.items()]
+        whole = F.struct(*[F.col(group).alias(name) for group, (name,) in groups.items()])
+    spread = patches.select("table", "batch", "key", "ord", "alive", "reset", *values)
     folded = combine(spread, ["table", "key"], groups, F.max("batch").alias("batch"))
-    cols = F.struct(*[F.col(group).alias(name) for group, (name,) in groups.items()])
-    return folded.select("batch", "key", "ord", "alive", "reset", cols.alias("cols"), "table")
+    return folded.select("batch", "key", "ord", "alive", "reset", whole.alias("cols"), "table")

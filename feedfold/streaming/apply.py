@@ -30,6 +30,7 @@ COUNTS_SCHEMA = "`table` string, op string, received bigint, written bigint, rej
 
 Schemas = Mapping[str, tuple[list[Field], list[Field]]]
 At = tuple[int, int, int]
+Starts = Mapping[str, dict[str, tuple[int, int]]]
 
 
 @dataclass
@@ -79,10 +80,19 @@ class FeedSink:
         for shape, names in self._shapes(plans, changed).items():
             rows = self._decode(flagged.filter(F.col("table").isin(names) & F.col("applied")), shape)
             path = self.store.new_unit()
-            self._write_delta(rows, shape, {name: plans[name] for name in names}, batch, path)
+            chosen = {name: plans[name] for name in names}
+            started = _started(chosen, batch)
+            groups = self._groups(shape, chosen, bool(started))
+            self._write_delta(rows, shape, chosen, (groups, started), batch, path)
             for name in names:
                 old = entries.get(name) or TableEntry(shape)
-                entries[name] = replace(old, layout=plans[name].layout, deltas=(*old.deltas, (batch, path)))
+                same = self.options.mode == "replace" or old.layout == shape
+                entries[name] = replace(
+                    old,
+                    layout=plans[name].layout,
+                    deltas=(*old.deltas, (batch, path)),
+                    uniform=old.uniform and same and len(groups) <= 1,
+                )
         self.store.commit(replace(catalog, last_batch=batch, tables=entries))
 
     # Steps -----------------------------------------------------------------
@@ -261,7 +271,13 @@ class FeedSink:
         )
 
     def _write_delta(
-        self, rows: DataFrame, layout: Layout, plans: Mapping[str, _TablePlan], batch: int, path: str
+        self,
+        rows: DataFrame,
+        layout: Layout,
+        plans: Mapping[str, _TablePlan],
+        grouping: tuple[dict[str, list[str]], Starts],
+        batch: int,
+        path: str,
     ) -> None:
         """Write the patches, counting the records that could not be converted on the way.
 
@@ -270,7 +286,7 @@ class FeedSink:
         seen = Observation()
         counted = rows.observe(seen, F.count_if("failed").alias("failures"))
         good = counted.filter(~F.col("failed")).drop("failed", "key_text", "value_text")
-        self.store.write_patches(self._patches(good, layout, plans, batch), path)
+        self.store.write_patches(self._patches(good, layout, plans, grouping, batch), path)
         if not _may_exceed_zero(seen, "failures"):
             return
         bad = rows.filter("failed").select(
@@ -281,23 +297,29 @@ class FeedSink:
         if self.options.strict:
             raise records.RejectedRecords(f"batch {batch}: cast_failed")
 
+    def _groups(self, layout: Layout, plans: Mapping[str, _TablePlan], started: bool) -> dict[str, list[str]]:
+        """Columns that are set together in every record of the batch."""
+        columns = layout.column_names
+        if self.options.mode == "replace":
+            return {"g0": columns} if columns else {}
+        if started or not self.options.null_overwrites:
+            return fold.single_groups(columns)
+        return fold.presence_groups(columns, _shapes_of(plans).values())
+
     def _patches(
-        self, rows: DataFrame, layout: Layout, plans: Mapping[str, _TablePlan], batch: int
+        self,
+        rows: DataFrame,
+        layout: Layout,
+        plans: Mapping[str, _TablePlan],
+        grouping: tuple[dict[str, list[str]], Starts],
+        batch: int,
     ) -> DataFrame:
         """Folded patches of the applied records of tables that share a layout."""
-        options, columns = self.options, layout.column_names
-        started = {}
-        for name, plan in plans.items():
-            fresh = {c: at[1:] for c, at in plan.layout.since.items() if at[0] == batch}
-            if fresh:
-                started[name] = fresh
-        shapes = {fp: names for plan in plans.values() for fp, names in plan.shapes.items()}
-        if options.mode == "replace":
-            groups = {"g0": columns} if columns else {}
-            present: dict[str, Column] = {}
-        else:
-            uniform = options.null_overwrites and not started
-            groups = fold.presence_groups(columns, shapes.values()) if uniform else fold.single_groups(columns)
+        columns = layout.column_names
+        groups, started = grouping
+        present: dict[str, Column] = {}
+        if self.options.mode != "replace":
+            shapes = _shapes_of(plans)
             rows = self._with_starts(rows, started)
             present = {g: self._present(members, shapes, bool(started)) for g, members in groups.items()}
         renamed = {g: [f"v_{m}" for m in members] for g, members in groups.items()}
@@ -312,7 +334,7 @@ class FeedSink:
             F.struct(*wrapped).alias("cols"), "table",
         )
 
-    def _with_starts(self, rows: DataFrame, started: Mapping[str, dict[str, tuple[int, int]]]) -> DataFrame:
+    def _with_starts(self, rows: DataFrame, started: Starts) -> DataFrame:
         """Add ``starts``: per column added in this batch, its first record."""
         if not started:
             return rows
@@ -333,6 +355,21 @@ class FeedSink:
         return F.coalesce(test, F.lit(False))
 
 
+def _shapes_of(plans: Mapping[str, _TablePlan]) -> dict[str, list[str]]:
+    """Column names per accepted schema."""
+    return {fp: names for plan in plans.values() for fp, names in plan.shapes.items()}
+
+
+def _started(plans: Mapping[str, _TablePlan], batch: int) -> Starts:
+    """Per table, the columns that this batch adds, and their first record."""
+    found = {}
+    for name, plan in plans.items():
+        fresh = {c: at[1:] for c, at in plan.layout.since.items() if at[0] == batch}
+        if fresh:
+            found[name] = fresh
+    return found
+
+
 def _may_exceed_zero(seen: Observation, name: str) -> bool:
     """Whether an observed count may be above zero.
 

@@ -78,14 +78,19 @@ def test_splits_replay_compaction_and_as_of(spark):
     after_first = held(store)
     apply(parts, 1, *rows[3:5])
     apply(parts, 1, *rows[:3])  # a replayed batch number is skipped
+    assert not store.catalog().tables["t"].uniform
     store.compact()
     apply(parts, 2, *rows[5:])
     assert held(store) == want
     store.compact()
-    assert held(store) == want
+    assert held(store) == want and store.catalog().tables["t"].uniform
+    apply(parts, 3, upsert(9, AB, {"id": 1, "a": "q", "b": None}), delete(10, 2))
+    assert held(store) == [(1, "q", None)] and store.catalog().tables["t"].uniform
+    apply(parts, 4, upsert(11, {"b": "int32"}, {"id": 1, "b": 4}))
+    assert held(store) == [(1, "q", 4)] and not store.catalog().tables["t"].uniform
     assert held(store, batch=0) == after_first == [(2, "y", 2)]
     counts = spark.read.parquet(f"{store.root}/counts").groupBy().agg(F.sum("received"), F.sum("written")).head()
-    assert tuple(counts) == (8, 8)
+    assert tuple(counts) == (11, 11)
 
 
 def test_changed_keys_beyond_the_limit_give_the_same_rows(spark, monkeypatch):
