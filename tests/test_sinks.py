@@ -112,3 +112,11 @@ def test_fold_frame_is_the_fold():
     folded = fold_frame(rows, ["k"], ["a"]).set_index("k")
     assert folded.loc[1, ["offset", "alive", "reset", "has_a"]].tolist() == [5, True, True, False]
     assert folded.loc[2, ["offset", "alive", "reset", "a", "has_a"]].tolist() == [4, True, False, "y", True]
+
+
+def test_strict_batch_plans_raise(spark):
+    rows = spark.createDataFrame([("t", None), ("t", "k")], "`table` string, key string")
+    flagged = records.split_rejects(rows, {"null_key": records.null_key(rows)})
+    assert records.accepted(flagged, Options()).count() == 1
+    with pytest.raises(records.RejectedRecords, match="null_key"):
+        records.accepted(flagged, Options(strict=True))

@@ -22,9 +22,9 @@ def one(spark, column, value, kind="string"):
 @pytest.mark.parametrize(
     "options, topic, table",
     [
-        (Options(topic_prefix="db51044.sky_test."), "db51044.sky_test.t_wk_quota_biz", "t_wk_quota_biz"),
-        (Options(), "db51044.sky_test.t_wk_quota_biz", "db51044_sky_test_t_wk_quota_biz"),
-        (Options(topic_prefix="db51044."), "other.db51044.t", "other_db51044_t"),
+        (Options(topic_prefix="shop01.sales_dev."), "shop01.sales_dev.t_day_quota", "t_day_quota"),
+        (Options(), "shop01.sales_dev.t_day_quota", "shop01_sales_dev_t_day_quota"),
+        (Options(topic_prefix="shop01."), "other.shop01.t", "other_shop01_t"),
         (Options(table_prefix="Test_"), "a.B", "test_a_b"),
         (Options(profile="row_cache", table_prefix="Test_"), "a.B", "Test_a_B"),
         (Options(dot_replacement=None), "a.b", "a.b"),
