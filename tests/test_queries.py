@@ -4,9 +4,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as spark_entry
+from feedfold.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, SQL = registry.collect("QUERIES"), registry.collect("SQL")
 
 
 @pytest.fixture(scope="module")
