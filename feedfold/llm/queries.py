@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedfold.llm import bpe
+from feedfold.llm import bpe, packing, rans
 from feedfold.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -16,7 +17,20 @@ def op7_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_rans_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=0)
+
+
+def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2)
+    return placed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
+    "op3_rans_token_store": op3_rans_token_store,
+    "op4_vector_packing": op4_vector_packing,
     "op7_bpe_segment_tree": op7_bpe_segment_tree,
 }
 
