@@ -223,18 +223,17 @@ def bpe_encoder(path: str) -> BpeEncoder:
 def with_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row its id, its token ids (little-endian unsigned 32-bit), their decimal form and the decoded text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("ids binary, decoded string, decimal string")
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = bpe_encoder(path)
         for batch in batches:
-            texts = batch["text"].tolist()
-            for a, b in bounded_runs(texts):
-                ids = encoder.ids(texts[a:b])
-                decoded, decimal = zip(*map(encoder.read, ids), strict=True)
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b], "ids": ids, "decoded": decoded, "decimal": decimal})
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, f"doc_id {kind}, ids binary, decoded string, decimal string")
+            texts = batch.tolist()
+            ids = [i for a, b in bounded_runs(texts) for i in encoder.ids(texts[a:b])]
+            decoded, decimal = zip(*map(encoder.read, ids), strict=True) if ids else ((), ())
+            yield pd.DataFrame({"ids": ids, "decoded": decoded, "decimal": decimal})
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("doc_id"), encoded(text).alias("made")).select("doc_id", "made.*")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

@@ -179,7 +179,7 @@ def pack(
                 items = []
                 for key, ids in zip(keys[a:b], encoder.ids(texts[a:b]), strict=True):
                     ids += end
-                    items.append(Item(None if pd.isna(key) else key, ids, round(loss_share * (len(ids) // 4))))
+                    items.append(Item(key, ids, round(loss_share * (len(ids) // 4))))
                 packer.add(items)
                 if len(packer.pool) > POOL:
                     yield frame(list(packer.fill(POOL // 2)))
@@ -187,8 +187,10 @@ def pack(
         if rest:
             yield frame(rest)
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(
+    # ids travel as text, since pandas has no integers with nulls
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    pieces = rows.mapInPandas(
         run,
-        f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",
+        "doc_id string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",
     )
+    return pieces.withColumn("doc_id", F.col("doc_id").cast(kind))

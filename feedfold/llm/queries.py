@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedfold.llm import bpe, packing, rans
+from feedfold.llm import bpe, packing, rans, secrets
 from feedfold.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -28,10 +28,15 @@ def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_rans_token_store": op3_rans_token_store,
     "op4_vector_packing": op4_vector_packing,
     "op7_bpe_segment_tree": op7_bpe_segment_tree,
+    "op8_assignment_secrets": op8_assignment_secrets,
 }
 
 SQL: dict[str, str] = {}

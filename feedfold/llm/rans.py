@@ -44,7 +44,7 @@ SEGMENT = 1 << 18
 BLOCK = 1 << 19
 
 BLOCK_SCHEMA = (
-    "shard long, block long, doc_ids array<{kind}>, sizes array<int>, n_tokens long, "
+    "shard long, block long, doc_ids array<string>, sizes array<int>, n_tokens long, "
     "segments array<struct<n: int, place: int, states: binary, crc32: long>>, payload binary"
 )
 
@@ -145,7 +145,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_
             texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
             for a, b in bounded_runs(texts):
                 for key, ids in zip(keys[a:b], encoder.ids(texts[a:b]), strict=True):
-                    held_ids.append(None if pd.isna(key) else key)
+                    held_ids.append(key)
                     held.append(ids + end)
                     size += len(ids) // 4
                     if size >= BLOCK:
@@ -157,9 +157,11 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = rows.withColumn("tie", F.xxhash64("text"))
     ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    return ordered.select("doc_id", "text").mapInPandas(
-        run, f"shard long, block long, doc_ids array<{kind}>, sizes array<int>, ids binary"
+    # ids travel as text, since pandas has no integers with nulls
+    blocks = ordered.select(F.col("doc_id").cast("string"), "text").mapInPandas(
+        run, "shard long, block long, doc_ids array<string>, sizes array<int>, ids binary"
     )
+    return blocks.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>"))
 
 
 def symbol_counts(blocks: DataFrame) -> np.ndarray:
@@ -215,7 +217,8 @@ def write(
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    coded = blocks.mapInPandas(run, BLOCK_SCHEMA.format(kind=kind))
+    coded = blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(run, BLOCK_SCHEMA)
+    coded = coded.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>"))
     coded.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 
 
@@ -257,7 +260,10 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         "block",
         "shard_start + sum(n_tokens) OVER (PARTITION BY shard ORDER BY block) - n_tokens AS block_start",
     )
-    decoded = blocks.mapInPandas(run, f"shard long, block long, doc_id {kind}, at long, ids binary")
+    decoded = blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(
+        run, "shard long, block long, doc_id string, at long, ids binary"
+    )
+    decoded = decoded.withColumn("doc_id", F.col("doc_id").cast(kind))
     return decoded.join(index, ["shard", "block"]).selectExpr("doc_id", "block_start + at AS start", "ids")
 
 
