@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedfold.llm import bpe, packing, rans, secrets
+from feedfold.llm import bpe, packing, quality, rans, secrets
 from feedfold.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -32,11 +32,18 @@ def op8_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES = {
     "op3_rans_token_store": op3_rans_token_store,
     "op4_vector_packing": op4_vector_packing,
     "op7_bpe_segment_tree": op7_bpe_segment_tree,
     "op8_assignment_secrets": op8_assignment_secrets,
+    "op9_weak_supervision": op9_weak_supervision,
 }
 
 SQL: dict[str, str] = {}
