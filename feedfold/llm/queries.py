@@ -6,17 +6,62 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedfold.llm import bpe, packing, quality, rans, secrets
+from feedfold.llm import bpe, lines, neardup, packing, quality, rans, secrets
 from feedfold.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.resolve(table(spark, sf_dir, "documents"), k=4, percent=80)
+    return found.selectExpr("d AS doc_id", "n AS n_shingles", "component AS component_id", "d <=> component AS kept")
+
+
 def op7_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op1_line_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs).select("doc_id", "text", "n_deleted")
+
+
+#: Shortest runs of 50 words from and up to each line, as text; a run that an earlier place also has goes.
+OP1_SQL = r"""
+WITH marked AS (
+  SELECT doc_id, list_transform(string_split(text, chr(10)),
+    lambda x: struct_pack(line := x, w := len(list_filter(regexp_split_to_array(x, '[ 	-
+]+'), lambda y: y <> '')))) AS ls,
+    text FROM documents),
+worded AS (SELECT doc_id, text, list_filter(ls, lambda x: x.w > 0) AS ls FROM marked),
+lines AS (
+  SELECT doc_id, generate_subscripts(ls, 1) AS p, unnest(list_transform(ls, lambda x: x.line)) AS line,
+    unnest(list_transform(ls, lambda x: x.w)) AS w FROM worded),
+summed AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY p) AS upto FROM lines),
+pairs AS (
+  SELECT a.doc_id, a.p AS s, min(b.p) AS e FROM summed a JOIN summed b
+    ON a.doc_id = b.doc_id AND b.p >= a.p AND b.p < a.p + 50 AND b.upto - a.upto + a.w >= 50 GROUP BY ALL
+  UNION
+  SELECT b.doc_id, max(a.p) AS s, b.p AS e FROM summed a JOIN summed b
+    ON a.doc_id = b.doc_id AND b.p >= a.p AND b.p < a.p + 50 AND b.upto - a.upto + a.w >= 50 GROUP BY ALL),
+runs AS (
+  SELECT r.doc_id, r.s, r.e, md5(array_to_string(list_transform(ls[r.s:r.e], lambda x: x.line), chr(10))) AS k
+  FROM pairs r JOIN worded d USING (doc_id)),
+later AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM runs),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(s, e + 1)) AS p FROM later WHERE n > 1) GROUP BY 1),
+numbered AS (
+  SELECT m.doc_id, m.text, list_transform(range(1, len(ls) + 1), lambda i: struct_pack(line := ls[i].line, w := ls[i].w,
+    p := len(list_filter(ls[1:i], lambda y: y.w > 0)))) AS ls FROM marked m)
+SELECT n.doc_id, CASE WHEN ps IS NULL THEN n.text ELSE
+  array_to_string(list_transform(list_filter(n.ls, lambda x: x.w = 0 OR NOT list_contains(ps, x.p)), lambda x: x.line), chr(10)) END AS text,
+  coalesce(len(ps), 0) AS n_deleted
+FROM numbered n LEFT JOIN gone USING (doc_id)
+"""
+
+
 def op3_rans_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=0)
 
@@ -39,11 +84,13 @@ def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_suffix_array": op1_line_suffix_array,
     "op3_rans_token_store": op3_rans_token_store,
     "op4_vector_packing": op4_vector_packing,
+    "op6_hyperminhash": op6_hyperminhash,
     "op7_bpe_segment_tree": op7_bpe_segment_tree,
     "op8_assignment_secrets": op8_assignment_secrets,
     "op9_weak_supervision": op9_weak_supervision,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_line_suffix_array": OP1_SQL}
