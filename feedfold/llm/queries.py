@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedfold.llm import bpe, lines, neardup, packing, quality, rans, secrets
+from feedfold.llm import bpe, lines, neardup, packing, pii, quality, rans, secrets
 from feedfold.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -83,6 +83,10 @@ def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_suffix_array": op1_line_suffix_array,
     "op3_rans_token_store": op3_rans_token_store,
@@ -91,6 +95,7 @@ QUERIES = {
     "op7_bpe_segment_tree": op7_bpe_segment_tree,
     "op8_assignment_secrets": op8_assignment_secrets,
     "op9_weak_supervision": op9_weak_supervision,
+    "op10_boosted_pii": op10_boosted_pii,
 }
 
 SQL: dict[str, str] = {"op1_line_suffix_array": OP1_SQL}
