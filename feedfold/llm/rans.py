@@ -2,8 +2,8 @@
 
 Layout. A store is a folder: ``tables`` holds the one shared frequency table
 (symbol, frequency out of 2^20); ``blocks`` has a row per block of whole
-documents in ascending order (shard, block, document ids and sizes, coded
-segments). A block is cut into segments of ``SEGMENT`` ids. A segment is coded
+documents in ascending order (shard, ids of the shard before it, document ids and
+sizes, coded segments). A block is cut into segments of ``SEGMENT`` ids. A segment is coded
 by up to ``LANES`` interleaved coders that share one stream of 32-bit words;
 the checkpoint of a segment is the place of its words in the payload and the
 states its lanes start from, so any segment is decoded alone, and the crc32 of
@@ -44,7 +44,7 @@ SEGMENT = 1 << 18
 BLOCK = 1 << 19
 
 BLOCK_SCHEMA = (
-    "shard long, block long, doc_ids array<string>, sizes array<int>, n_tokens long, "
+    "shard long, first long, doc_ids array<string>, sizes array<int>, n_tokens long, "
     "segments array<struct<n: int, place: int, states: binary, crc32: long>>, payload binary"
 )
 
@@ -133,12 +133,12 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, shard = library_encoder(path), TaskContext.get().partitionId()
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        block, size, held_ids, held = 0, 0, [], []
+        first, size, held_ids, held = 0, 0, [], []
 
         def row() -> pd.DataFrame:
             sizes = [len(h) // 4 for h in held]
             return pd.DataFrame(
-                {"shard": [shard], "block": [block], "doc_ids": [held_ids], "sizes": [sizes], "ids": [b"".join(held)]}
+                {"shard": [shard], "first": [first], "doc_ids": [held_ids], "sizes": [sizes], "ids": [b"".join(held)]}
             )
 
         for batch in batches:
@@ -147,10 +147,10 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_
                 for key, ids in zip(keys[a:b], encoder.ids(texts[a:b]), strict=True):
                     held_ids.append(key)
                     held.append(ids + end)
-                    size += len(ids) // 4
+                    size += len(held[-1]) // 4
                     if size >= BLOCK:
                         yield row()
-                        block, size, held_ids, held = block + 1, 0, [], []
+                        first, size, held_ids, held = first + size, 0, [], []
         if held:
             yield row()
 
@@ -159,7 +159,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_
     ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     # ids travel as text, since pandas has no integers with nulls
     blocks = ordered.select(F.col("doc_id").cast("string"), "text").mapInPandas(
-        run, "shard long, block long, doc_ids array<string>, sizes array<int>, ids binary"
+        run, "shard long, first long, doc_ids array<string>, sizes array<int>, ids binary"
     )
     return blocks.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>"))
 
@@ -207,7 +207,7 @@ def write(
                 yield pd.DataFrame(
                     {
                         "shard": [row.shard],
-                        "block": [row.block],
+                        "first": [row.first],
                         "doc_ids": [row.doc_ids],
                         "sizes": [row.sizes],
                         "n_tokens": [len(row.ids) // 4],
@@ -243,9 +243,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 yield pd.DataFrame(
                     {
                         "shard": row.shard,
-                        "block": row.block,
                         "doc_id": pd.Series(list(row.doc_ids), dtype=object),
-                        "at": starts,
+                        "at": [row.first + s for s in starts],
                         "ids": [ids[4 * s : 4 * (s + n)] for s, n in zip(starts, sizes, strict=True)],
                     }
                 )
@@ -254,17 +253,11 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()
     firsts = list(zip([r["shard"] for r in totals], starts_of([r["n"] for r in totals]), strict=True))
     shards = spark.createDataFrame(firsts, "shard long, shard_start long")
-    index = blocks.select("shard", "block", "n_tokens").join(F.broadcast(shards), "shard")
-    index = index.selectExpr(
-        "shard",
-        "block",
-        "shard_start + sum(n_tokens) OVER (PARTITION BY shard ORDER BY block) - n_tokens AS block_start",
-    )
     decoded = blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(
-        run, "shard long, block long, doc_id string, at long, ids binary"
+        run, "shard long, doc_id string, at long, ids binary"
     )
     decoded = decoded.withColumn("doc_id", F.col("doc_id").cast(kind))
-    return decoded.join(index, ["shard", "block"]).selectExpr("doc_id", "block_start + at AS start", "ids")
+    return decoded.join(F.broadcast(shards), "shard").selectExpr("doc_id", "shard_start + at AS start", "ids")
 
 
 def digests(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
