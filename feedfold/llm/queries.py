@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedfold.llm import bpe, lines, neardup, packing, pii, quality, rans, secrets
+from feedfold.llm import bpe, lines, neardup, packing, pii, quality, rans, secrets, wrappers
 from feedfold.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -62,6 +62,11 @@ FROM numbered n LEFT JOIN gone USING (doc_id)
 """
 
 
+def op2_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_rans_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=0)
 
@@ -89,6 +94,7 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_suffix_array": op1_line_suffix_array,
+    "op2_wrapper_extraction": op2_wrapper_extraction,
     "op3_rans_token_store": op3_rans_token_store,
     "op4_vector_packing": op4_vector_packing,
     "op6_hyperminhash": op6_hyperminhash,
