@@ -66,10 +66,11 @@ TOGETHER = 8_000
 
 
 class Library:
-    """The tokenizers library over stretches; those without inner white space share calls.
+    """The tokenizers library over stretches, many in one call.
 
     An added token of the vocabulary stands between them: the library cuts the
-    text there, and its id marks the places in the result.
+    text there before anything else, and its id marks the places in the result.
+    Where a text holds such a token itself, stretches are encoded one by one.
     """
 
     def __init__(self, path: str):
@@ -90,19 +91,22 @@ class Library:
         out: list[bytes] = []
         for at in range(0, len(parts), TOGETHER):
             some = parts[at : at + TOGETHER]
-            if self.mark:
-                text = self.mark.join(some)
-                if len(text.split()) <= len(some) + 1 and sum(map(text.count, self.marks)) == len(some) - 1:
-                    found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-                    ids = np.array(found.ids, "<u4")
-                    cuts = (4 * np.flatnonzero(ids == self.mark_id)).tolist()
-                    if len(cuts) == len(some) - 1:
-                        blob = ids.tobytes()
-                        out += [blob[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(blob)], strict=True)]
-                        continue
-            out += map(self.alone, some)
+            text = self.mark.join(some)
+            found = None
+            if self.mark and sum(map(text.count, self.marks)) == len(some) - 1:
+                found = self.together(text, len(some) - 1)
+            out += found or map(self.alone, some)
         return out
 
+    def together(self, text: str, marks: int) -> list[bytes] | None:
+        encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, "<u4")
+        cuts = (4 * np.flatnonzero(ids == self.mark_id)).tolist()
+        if len(cuts) != marks:
+            return None
+        blob = ids.tobytes()
+        return [blob[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(blob)], strict=True)]
+
 
 _LOADED: dict[str, Encoder] = {}
 
