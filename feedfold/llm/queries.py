@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedfold.llm import bpe, lines, neardup, packing, pii, quality, rans, secrets, wrappers
+from feedfold.llm import ann, bpe, lines, neardup, packing, pii, quality, rans, secrets, wrappers
 from feedfold.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op5_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.resolve(table(spark, sf_dir, "documents"), k=4, percent=80)
     return found.selectExpr("d AS doc_id", "n AS n_shingles", "component AS component_id", "d <=> component AS kept")
@@ -97,6 +102,7 @@ QUERIES = {
     "op2_wrapper_extraction": op2_wrapper_extraction,
     "op3_rans_token_store": op3_rans_token_store,
     "op4_vector_packing": op4_vector_packing,
+    "op5_pruned_graph": op5_pruned_graph,
     "op6_hyperminhash": op6_hyperminhash,
     "op7_bpe_segment_tree": op7_bpe_segment_tree,
     "op8_assignment_secrets": op8_assignment_secrets,
