@@ -174,17 +174,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     """
     gone = landed(doomed_lines(docs, id_col, text_col, min_words), "doomed_lines")
     counted = unused(docs.columns, "n_deleted")
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("i"), F.col(text_col).alias("x"))
-    rows = rows.withColumn("y", F.xxhash64("x"))
-    rows = rows.join(gone, rows["i"].eqNullSafe(gone["d"]) & (rows["y"] == gone["t"]), "left")
-    all_lines = F.split("x", "\n")
+    rows = docs.select(F.struct("*").alias("row"))
+    text = F.col("row")[text_col]
+    same = F.col("row")[id_col].eqNullSafe(F.col("d")) & (F.xxhash64(text) == F.col("t"))
+    # one plan at every size: how much is to be deleted does not decide whether texts move
+    rows = rows.join(gone.hint("merge"), same, "left")
+    all_lines = F.when(F.col("gone").isNotNull(), F.split(text, "\n"))
     worded = F.filter(
-        F.transform(all_lines, lambda x, i: F.when(F.translate(x, SPACES, "") != "", i)), lambda i: i.isNotNull()
+        F.transform("all_lines", lambda x, i: F.when(F.translate(x, SPACES, "") != "", i)), lambda i: i.isNotNull()
     )
-    rows = rows.withColumns({"all_lines": all_lines, "worded": worded})
+    rows = rows.withColumn("all_lines", all_lines).withColumn("worded", worded)
     out = F.transform("gone", lambda p: F.get("worded", p))
     kept = F.array_except(F.sequence(F.lit(0), F.size("all_lines") - 1), out)
     shorter = F.array_join(F.transform(kept, lambda i: F.get("all_lines", i)), "\n")
-    text = F.when(F.col("gone").isNull(), F.col("x")).otherwise(shorter)
+    text = F.when(F.col("gone").isNull(), text).otherwise(shorter)
     columns = [text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
     return rows.select(*columns, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias(counted))

@@ -198,7 +198,8 @@ def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perce
     nodes = pairs.selectExpr("a AS c").union(pairs.selectExpr("b AS c")).distinct().join(classes, "c").select("c", "d", "x")
     nodes = nodes.withColumnRenamed("d", "e").withColumnRenamed("x", "y")
     texts = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text"))
-    found = texts.join(nodes, texts["d"].eqNullSafe(nodes["e"])).select("c", "y", full("text").alias("s"))
+    # one plan at every size: the number of candidates does not decide whether texts move
+    found = texts.join(nodes.hint("merge"), texts["d"].eqNullSafe(nodes["e"])).select("c", "y", full("text").alias("s"))
     sets = landed(found.where("s.x = y").groupBy("c").agg(F.first("s.whole").alias("whole")), "full_sets")
     left, right = sets.selectExpr("c AS a", "whole AS wa"), sets.selectExpr("c AS b", "whole AS wb")
     both = pairs.join(left, "a").join(right, "b")
@@ -290,8 +291,8 @@ def dedup(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id"
         return docs[id_col].eqNullSafe(rows["d"]) & (F.xxhash64(docs[text_col]) == rows["t"])
 
     if twice.isEmpty():
-        return docs.join(gone, same(gone), "left_anti")
+        return docs.join(gone.hint("merge"), same(gone), "left_anti")
     twice = landed(twice, "repeated_rows")
-    kept = docs.join(gone, same(gone), "left_anti")
+    kept = docs.join(gone.hint("merge"), same(gone), "left_anti")
     once = kept.join(twice, same(twice), "left_anti")
     return once.unionByName(kept.join(twice, same(twice), "left_semi").dropDuplicates([id_col, text_col]))
