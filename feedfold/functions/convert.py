@@ -124,43 +124,47 @@ def zoned_timestamp(text: Column) -> Column:
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(1000)))
 
 
-def prepare(raw: Column, spec: Field) -> Column:
+def prepare(raw: Column, spec: Field, options: Options) -> Column:
     """First step of a conversion, done in a projection of its own.
 
     The bytes of a decimal become hex digits, which the second step looks at
-    several times. A decimal sent as a number stays as it is: a point or a minus
-    sign, which base64 lacks, tells it apart.
+    several times. A decimal that is sent as a number stays as it is.
     """
-    if spec.internal != "DECIMAL":
+    if spec.internal != "DECIMAL" or options.decimal_format == "numeric":
         return raw
-    digits = F.hex(F.try_to_binary(raw, F.lit("base64")))
-    return F.when(_is_plain(raw), raw).otherwise(digits)
-
-
-def _is_plain(text: Column) -> Column:
-    return F.contains(text, F.lit(".")) | F.startswith(text, F.lit("-"))
+    return F.hex(F.try_to_binary(raw, F.lit("base64")))
 
 
 def hex_decimal(digits: Column, target: T.DecimalType) -> Column:
     """Hex digits of a two's-complement big-endian number, scaled.
 
     Up to eight bytes are one 64-bit number; more, sign-extended to 16 bytes,
-    are two of them.
+    are two of them. Bytes before the last 16 may only extend the sign, else
+    the number is beyond any decimal and gives null.
     """
     fill = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
     short = F.conv(F.lpad(digits, 16, fill), 16, -10)
-    wide = F.lpad(F.right(digits, F.lit(32)), 32, fill)
+    last = F.right(digits, F.lit(32))
+    wide = F.lpad(last, 32, fill)
     high = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(38,0)")
     low = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(38,0)")
     step = F.lit("18446744073709551616").cast("decimal(38,0)")
     long = F.try_add(F.try_multiply(high, step), low).cast("string")
-    unscaled = F.when(F.length(digits) <= 16, short).otherwise(long)
+    # the sign's digit repeated in front, and a number behind that has the same sign
+    spare = F.left(digits, F.length(digits) - 32)
+    same_sign = (F.substring(last, 1, 1) >= "8") == (fill == "F")
+    fits = (F.translate(spare, "F", "") == F.when(fill == "F", "").otherwise(spare)) & (
+        F.translate(spare, "0", "") == F.when(fill == "F", spare).otherwise("")
+    )
+    unscaled = (
+        F.when(F.length(digits) <= 16, short).when(F.length(digits) <= 32, long).when(fits & same_sign, long)
+    )
     return F.concat(unscaled, F.lit(f"E-{target.scale}")).try_cast(target)
 
 
-def decimal_value(prepared: Column, target: T.DecimalType) -> Column:
-    """A prepared decimal: hex digits or a number in text."""
-    return F.when(_is_plain(prepared), prepared.try_cast(target)).otherwise(hex_decimal(prepared, target))
+def decimal_value(prepared: Column, target: T.DecimalType, options: Options) -> Column:
+    """A prepared decimal: hex digits, or a number in text."""
+    return prepared.try_cast(target) if options.decimal_format == "numeric" else hex_decimal(prepared, target)
 
 
 def convert(raw: Column, spec: Field, options: Options) -> Column:
@@ -171,7 +175,7 @@ def convert(raw: Column, spec: Field, options: Options) -> Column:
     if internal == "BYTES":
         return F.try_to_binary(raw, F.lit("base64"))
     if internal == "DECIMAL":
-        return decimal_value(raw, spec.decimal_type())
+        return decimal_value(raw, spec.decimal_type(), options)
     if internal == "DATE":
         date = epoch_date(raw)
         return date if options.profile == "row_cache" else date.cast("string")
@@ -217,7 +221,7 @@ def typed(rows: DataFrame, payload: str, fields: list[Field], options: Options,
     checked = [f for f in fields if f.internal not in SAFE]
     had = [F.col(payload)[f.name].isNotNull().alias(f"_had_{f.name}") for f in checked]
     prepared = rows.select(
-        *kept, *[prepare(F.col(payload)[f.name], f).alias(raw[f.name]) for f in fields], *had
+        *kept, *[prepare(F.col(payload)[f.name], f, options).alias(raw[f.name]) for f in fields], *had
     )
     finished = prepared.select(
         *kept,

@@ -15,6 +15,10 @@ from feedfold.options import Options
 from feedfold.sources.decode import JSON_SCHEMA_TYPES
 
 
+#: Digits of the widest decimal column.
+MAX_PRECISION = 38
+
+
 class RefusedSchema(ValueError):
     """A record schema that a table cannot take; ``reason`` goes into the reject table."""
 
@@ -87,6 +91,10 @@ def _refuse_unsupported(fields: list[Field]) -> None:
     for f in fields:
         if f.internal == rules.OTHER:
             raise RefusedSchema("unsupported_type", f"{f.name} is {f.physical}/{f.logical}")
+        if f.internal == "DECIMAL":
+            size = f.decimal_type()
+            if not (0 < size.precision <= MAX_PRECISION and 0 <= size.scale <= size.precision):
+                raise RefusedSchema("unsupported_type", f"{f.name} is {size.simpleString()}")
 
 
 def evolve(

@@ -33,7 +33,8 @@ class Options:
     ``profile`` picks the target's behaviour: ``column_table`` evolves its
     schema, sets only the columns a record carries and lower-cases table
     names; ``row_cache`` never evolves and always stores nulls; ``lake``
-    stores date and time types as text.
+    stores date and time types as text. ``decimal_format`` says how decimals
+    are sent: ``base64`` bytes of the unscaled number, or ``numeric``.
     """
 
     profile: str = "column_table"
@@ -47,6 +48,7 @@ class Options:
     null_overwrites: bool = True
     source_utc_offset_hours: int = 8
     micro_exact: bool = False
+    decimal_format: str = "base64"
     buckets: int = 5
     lake_format: str = "avro"
     lake_namespace: str = "default"
@@ -59,6 +61,8 @@ class Options:
             raise ValueError(f"envelope must be 'flat' or 'after', not {self.envelope!r}")
         if self.lake_format not in LAKE_FORMATS:
             raise ValueError(f"lake_format must be one of {LAKE_FORMATS}, not {self.lake_format!r}")
+        if self.decimal_format not in ("base64", "numeric"):
+            raise ValueError(f"decimal_format must be 'base64' or 'numeric', not {self.decimal_format!r}")
         if self.segment_rows < 1 or self.buckets < 1:
             raise ValueError("segment_rows and buckets must be positive")
         if self.profile == "row_cache" and not self.null_overwrites:

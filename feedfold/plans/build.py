@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,10 @@ from feedfold.operators.bounded import attach
 from feedfold.operators.route import route
 from feedfold.options import Options
 from feedfold.session import landed
-from feedfold.sources.decode import RECORD_SCHEMA, decode_json, payload_or_text, split_described
+from feedfold.sources.decode import RECORD_SCHEMA, decode_json, looks_like_object, payload_or_text, split_described
+
+# Name under which the JSON parser keeps a text it could not parse in full.
+CORRUPT = "_corrupt"
 
 
 def prepare(feed: DataFrame, options: Options) -> DataFrame:
@@ -28,6 +32,27 @@ def with_typed_key(rows: DataFrame, key_fields: Sequence[Field], options: Option
     return convert.typed(parsed, "_key", list(key_fields), options).drop("failed")
 
 
+def with_sound_key(rows: DataFrame, key_fields: Sequence[Field], options: Options) -> DataFrame:
+    """Add the key columns; records whose key does not give all of them are left out."""
+    fields = list(key_fields)
+    parsed = rows.withColumn("_key", decode_json(F.col("key"), fields, CORRUPT))
+    parsed = parsed.withColumn("_whole", looks_like_object(F.col("key")) & F.col("_key")[CORRUPT].isNull())
+    typed = convert.typed(parsed, "_key", fields, options)
+    there = [F.col(f.name).isNotNull() for f in fields]
+    return typed.filter(reduce(Column.__and__, there, F.col("_whole") & (F.size("failed") == 0))).drop("failed", "_whole")
+
+
+def sound_values(rows: DataFrame, fields: Sequence[Field], options: Options, prefix: str = "") -> DataFrame:
+    """Replace ``value`` by its columns (or add them, with a prefix); upserts with a bad value are left out."""
+    parsed = rows.withColumn("_value", decode_json(F.col("value"), list(fields), CORRUPT))
+    whole = (F.col("op") == records.DELETE) | (looks_like_object(F.col("value")) & F.col("_value")[CORRUPT].isNull())
+    parsed = parsed.withColumn("_whole", F.coalesce(whole, F.lit(False)))
+    if not prefix:
+        parsed = parsed.drop("value")
+    typed = convert.typed(parsed, "_value", list(fields), options, prefix)
+    return typed.filter(F.col("_whole") & (F.size("failed") == 0)).drop("failed", "_whole")
+
+
 def with_typed_value(
     rows: DataFrame, fields: Sequence[Field], options: Options, payload: str = "value", prefix: str = ""
 ) -> DataFrame:
@@ -47,18 +72,19 @@ def current_rows(
     """Current rows of all tables in a feed whose records share one schema.
 
     Every record carries every column, so the last record decides the whole
-    row and only surviving rows are decoded. Where nulls leave columns alone,
-    records are decoded first and folded column by column.
+    row: its text is folded, after a look that no bad record takes part. Where
+    nulls leave columns alone, records are folded column by column.
     """
     key_names = [f.name for f in key_fields]
     value_fields = [f for f in value_fields if f.name not in key_names]
     keys = ["table", *key_names]
     rows = prepare(feed, options).filter(F.col("key").isNotNull() & ~F.col("stray"))
-    rows = records.drop_disabled_deletes(with_typed_key(rows, key_fields, options), options)
+    rows = records.drop_disabled_deletes(with_sound_key(rows, key_fields, options), options)
     if options.null_overwrites:
-        last = fold.latest(rows, keys, "value")
+        checked = sound_values(rows, value_fields, options, "v_").drop(*[f"v_{f.name}" for f in value_fields])
+        last = fold.latest(checked, keys, "value")
         return with_typed_value(last, value_fields, options).select(*keys, *[f.name for f in value_fields])
-    typed = with_typed_value(rows, value_fields, options)
+    typed = sound_values(rows, value_fields, options)
     groups = fold.single_groups([f.name for f in value_fields])
     present = {g: F.col(members[0]).isNotNull() for g, members in groups.items()}
     return fold.fold(typed, keys, groups, present)
@@ -116,8 +142,8 @@ def evolved_rows(
             ["fp"],
         )
         known = attach(known, schema.column_starts(changes), ["table"])
-    known = records.drop_disabled_deletes(with_typed_key(known, key_fields, options), options)
-    known = with_typed_value(known, columns, options)
+    known = records.drop_disabled_deletes(with_sound_key(known, key_fields, options), options)
+    known = sound_values(known, columns, options)
     groups = fold.single_groups([f.name for f in columns])
     present = {}
     for group, (name,) in groups.items():

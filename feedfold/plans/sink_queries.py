@@ -17,15 +17,15 @@ from feedfold.sources.feed import FEED_SCHEMA, read_feed, stream_feed
 from feedfold.streaming.apply import FeedSink
 from feedfold.streaming.stateful import merge_stream
 
-# The feed lands in slices that begin on these days.
-LANDINGS = ["2024-01-01", "2024-01-09", "2024-01-16", "2024-01-24", "2025-01-01"]
+# The feed lands in slices that are cut at the start of these days; the first and the last are open.
+LANDINGS = ["2024-01-09", "2024-01-16", "2024-01-24"]
 
 
 def _slices(feed: DataFrame) -> list[DataFrame]:
     at = [fixtures._instant(F.lit(f"{day} 00:00:00").cast("timestamp_ntz")) for day in LANDINGS]
-    return [
-        feed.filter((F.col("ts") >= start) & (F.col("ts") < end)) for start, end in zip(at, at[1:], strict=False)
-    ]
+    inside = [(F.col("ts") >= start) & (F.col("ts") < end) for start, end in zip(at, at[1:], strict=False)]
+    first = F.col("ts").isNull() | (F.col("ts") < at[0])
+    return [feed.filter(test) for test in (first, *inside, F.col("ts") >= at[-1])]
 
 
 def _land(rows: DataFrame, path: str) -> None:

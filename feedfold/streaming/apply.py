@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedfold.functions import convert
@@ -31,6 +34,8 @@ COUNTS_SCHEMA = "`table` string, op string, received bigint, written bigint, rej
 Schemas = Mapping[str, tuple[list[Field], list[Field]]]
 At = tuple[int, int, int]
 Starts = Mapping[str, dict[str, tuple[int, int]]]
+# Per table and operation: records received, written and rejected.
+Counts = dict[tuple[str, str], list[int]]
 
 
 @dataclass
@@ -42,6 +47,7 @@ class _TablePlan:
     shapes: dict[str, list[str]] | None = None  # column names per accepted schema
     refused: dict[str, str] | None = None  # reject reason per refused schema
     is_new: bool = False
+    fields: dict[str, dict[str, Field]] = field(default_factory=dict)  # fields by name, per accepted schema
 
 
 class FeedSink:
@@ -75,15 +81,18 @@ class FeedSink:
         staged = self._stage(feed)
         plans = self._plan_tables(staged, catalog.tables, batch)
         flagged = self._flag(staged, plans)
-        changed = self._write_side_outputs(flagged, batch)
+        counts = self._write_rejects(flagged, batch)
+        changed = {name for (name, _), (_, written, _) in counts.items() if written}
         entries = dict(catalog.tables)
         for shape, names in self._shapes(plans, changed).items():
-            rows = self._decode(flagged.filter(F.col("table").isin(names) & F.col("applied")), shape)
-            path = self.store.new_unit()
             chosen = {name: plans[name] for name in names}
+            rows = self._decode(flagged.filter(F.col("table").isin(names) & F.col("applied")), shape, chosen)
+            path = self.store.new_unit()
             started = _started(chosen, batch)
             groups = self._groups(shape, chosen, bool(started))
-            self._write_delta(rows, shape, chosen, (groups, started), batch, path)
+            for name, op, refused in self._write_delta(rows, shape, chosen, (groups, started), batch, path):
+                counts[name, op][1] -= refused
+                counts[name, op][2] += refused
             for name in names:
                 old = entries.get(name) or TableEntry(shape)
                 same = self.options.mode == "replace" or old.layout == shape
@@ -93,6 +102,7 @@ class FeedSink:
                     deltas=(*old.deltas, (batch, path)),
                     uniform=old.uniform and same and len(groups) <= 1,
                 )
+        self._write_counts(counts, batch)
         self.store.commit(replace(catalog, last_batch=batch, tables=entries))
 
     # Steps -----------------------------------------------------------------
@@ -182,6 +192,7 @@ class FeedSink:
             else:
                 plan.layout = layouts.evolve(plan.layout, key, value, self.options, at)
             plan.shapes[fp] = [f.name for f in value]
+            plan.fields[fp] = {f.name: f for f in (*value, *key)}
         except RefusedSchema as refusal:
             plan.refused[fp] = refusal.reason
         except (json.JSONDecodeError, KeyError, AttributeError, TypeError):
@@ -226,20 +237,24 @@ class FeedSink:
             "refused", "key_names", "starts", "malformed", "sent_keys"
         )
 
-    def _write_side_outputs(self, flagged: DataFrame, batch: int) -> set[str]:
-        """Write the batch's counts, and rejects if there are any; a replay overwrites them.
+    def _rejects_path(self, batch: int, step: str) -> str:
+        """Where a step of a batch puts its rejects; a replay overwrites them."""
+        return f"{self.store.root}/rejects/batch={batch}/step={step}"
 
-        Gives the tables that have records to apply.
-        """
-        root = self.store.root
+    def _write_rejects(self, flagged: DataFrame, batch: int) -> Counts:
+        """Write the rejects of this step, if there are any, and count records by table and operation."""
         rows = records.op_counts(flagged, "table").collect()
-        counts = self.spark.createDataFrame(rows, COUNTS_SCHEMA).coalesce(1)
-        counts.write.mode("overwrite").parquet(f"{root}/counts/batch={batch}")
         if any(row["rejected"] for row in rows):
-            records.rejected(flagged).write.mode("overwrite").parquet(f"{root}/rejects/batch={batch}")
+            path = self._rejects_path(batch, "records")
+            records.rejected(flagged).write.mode("overwrite").parquet(path)
             if self.options.strict:
-                raise records.RejectedRecords(f"batch {batch}: see {root}/rejects/batch={batch}")
-        return {row["table"] for row in rows if row["written"]}
+                raise records.RejectedRecords(f"batch {batch}: see {path}")
+        return {(r["table"], r["op"]): [r["received"], r["written"], r["rejected"]] for r in rows}
+
+    def _write_counts(self, counts: Counts, batch: int) -> None:
+        rows = [(*about, *numbers) for about, numbers in counts.items()]
+        frame = self.spark.createDataFrame(rows, COUNTS_SCHEMA).coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.store.root}/counts/batch={batch}")
 
     def _shapes(self, plans: Mapping[str, _TablePlan], changed: set[str]) -> dict[Layout, list[str]]:
         """Changed tables of one layout are folded and written together."""
@@ -249,25 +264,43 @@ class FeedSink:
                 shapes.setdefault(plan.layout, []).append(name)
         return shapes
 
-    def _decode(self, rows: DataFrame, layout: Layout) -> DataFrame:
-        """Typed key and columns of records, and whether a value could not be converted."""
-        options, key_fields, fields = self.options, list(layout.keys), list(layout.columns)
+    def _decode(self, rows: DataFrame, layout: Layout, plans: Mapping[str, _TablePlan]) -> DataFrame:
+        """Typed key and columns of records, and the ``reason`` why a record is refused here.
+
+        A record is decoded by the fields of its own schema, then brought to
+        the column types that the table holds. Usually all schemas of a batch
+        agree on the fields they share, and there is one pass.
+        """
+        parts = [self._decode_as(rows.filter(test), layout, fields) for fields, test in _variants(layout, plans)]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _decode_as(self, rows: DataFrame, layout: Layout, fields: tuple[Field, ...]) -> DataFrame:
+        options, held, n = self.options, (*layout.keys, *layout.columns), len(layout.keys)
         rows = rows.select(
             "table", "partition", "offset", "op", "fp",
             F.col("key").alias("key_text"), F.col("value").alias("value_text"),
-            decode_json(F.col("key"), key_fields, CORRUPT).alias("_key"),
-            decode_json(F.col("value"), fields, CORRUPT).alias("_row"),
+            decode_json(F.col("key"), list(fields[:n]), CORRUPT).alias("_key"),
+            decode_json(F.col("value"), list(fields[n:]), CORRUPT).alias("_row"),
         )
         corrupt = [F.col(side)[CORRUPT].isNotNull() for side in ("_key", "_row")]
         rows = rows.withColumn("_bad", F.coalesce(corrupt[0], F.lit(False)) | F.coalesce(corrupt[1], F.lit(False)))
-        rows = convert.typed(rows, "_key", key_fields, options, "k_").withColumnRenamed("failed", "_failed_key")
-        rows = convert.typed(rows, "_row", fields, options, "v_")
+        rows = convert.typed(rows, "_key", list(fields[:n]), options, "k_").withColumnRenamed("failed", "_failed_key")
+        rows = convert.typed(rows, "_row", list(fields[n:]), options, "v_")
         failed = F.col("_bad") | (F.size("_failed_key") > 0) | (F.size("failed") > 0)
+        fitted = {}
+        for at, (sent, kept) in enumerate(zip(fields, held, strict=True)):
+            name = ("k_" if at < n else "v_") + kept.name
+            types = sent.column_type(options.profile), kept.column_type(options.profile)
+            if types[0] != types[1]:
+                fitted[name] = _fitted(F.col(name), *types)
+                failed = failed | (F.col(name).isNotNull() & fitted[name].isNull())
+        keys = [fitted.get(f"k_{f.name}", F.col(f"k_{f.name}")).alias(f.name) for f in layout.keys]
+        lacks_key = reduce(Column.__or__, [F.col(f"k_{f.name}").isNull() for f in layout.keys], F.lit(False))
         return rows.select(
             "table", "partition", "offset", "op", "fp", "key_text", "value_text",
-            F.struct(*[F.col(f"k_{f.name}").alias(f.name) for f in key_fields]).alias("key"),
-            *[f"v_{f.name}" for f in fields],
-            failed.alias("failed"),
+            F.struct(*keys).alias("key"),
+            *[fitted.get(f"v_{f.name}", F.col(f"v_{f.name}")).alias(f"v_{f.name}") for f in layout.columns],
+            F.when(failed, "cast_failed").when(lacks_key, "null_key").alias("reason"),
         )
 
     def _write_delta(
@@ -278,24 +311,28 @@ class FeedSink:
         grouping: tuple[dict[str, list[str]], Starts],
         batch: int,
         path: str,
-    ) -> None:
-        """Write the patches, counting the records that could not be converted on the way.
+    ) -> list[tuple[str, str, int]]:
+        """Write the patches, and give the numbers of records refused on the way, by table and operation.
 
         Only if there are any does a second pass write them to the reject table.
         """
         seen = Observation()
-        counted = rows.observe(seen, F.count_if("failed").alias("failures"))
-        good = counted.filter(~F.col("failed")).drop("failed", "key_text", "value_text")
+        counted = rows.observe(seen, F.count_if(F.col("reason").isNotNull()).alias("failures"))
+        good = counted.filter(F.col("reason").isNull()).drop("reason", "key_text", "value_text")
         self.store.write_patches(self._patches(good, layout, plans, grouping, batch), path)
         if not _may_exceed_zero(seen, "failures"):
-            return
-        bad = rows.filter("failed").select(
-            "table", "partition", "offset", F.lit("cast_failed").alias("reason"),
-            F.col("key_text").alias("key"), F.col("value_text").alias("value"),
-        )
-        bad.write.mode("append").parquet(f"{self.store.root}/rejects/batch={batch}")
-        if self.options.strict:
-            raise records.RejectedRecords(f"batch {batch}: cast_failed")
+            return []
+        bad = rows.filter(F.col("reason").isNotNull()).select(
+            "table", "partition", "offset", "reason", F.col("key_text").alias("key"), F.col("value_text").alias("value")
+        )
+        step = hashlib.sha256(min(plans).encode()).hexdigest()[:16]
+        bad.write.mode("overwrite").parquet(self._rejects_path(batch, step))
+        op = F.when(F.col("value").isNull(), records.DELETE).otherwise(records.UPSERT).alias("op")
+        written = self.spark.read.schema(bad.schema).parquet(self._rejects_path(batch, step))
+        found = written.groupBy("table", op).agg(F.count("*").alias("n")).collect()  # at most two rows a table
+        if found and self.options.strict:
+            raise records.RejectedRecords(f"batch {batch}: see {self._rejects_path(batch, step)}")
+        return [(r["table"], r["op"], r["n"]) for r in found]
 
     def _groups(self, layout: Layout, plans: Mapping[str, _TablePlan], started: bool) -> dict[str, list[str]]:
         """Columns that are set together in every record of the batch."""
@@ -355,6 +392,26 @@ class FeedSink:
         return F.coalesce(test, F.lit(False))
 
 
+def _variants(layout: Layout, plans: Mapping[str, _TablePlan]) -> Iterator[tuple[tuple[Field, ...], Column]]:
+    """Fields to decode the layout's columns with, and the records they are for; first those the table holds."""
+    held = (*layout.keys, *layout.columns)
+    found: dict[tuple[Field, ...], list[str]] = {}
+    for plan in plans.values():
+        for fp, sent in plan.fields.items():
+            found.setdefault(tuple(sent.get(f.name, f) for f in held), []).append(fp)
+    found.pop(held, None)
+    others = [fp for fps in found.values() for fp in fps]
+    yield held, F.coalesce(~F.col("fp").isin(others), F.lit(True))
+    for fields, fps in found.items():
+        yield fields, F.col("fp").isin(fps)
+
+
+def _fitted(value: Column, sent: T.DataType, held: T.DataType) -> Column:
+    """A value as the held type; null where it does not come back as it was."""
+    cast = value.try_cast(held)
+    return F.when(cast.try_cast(sent) == value, cast)
+
+
 def _shapes_of(plans: Mapping[str, _TablePlan]) -> dict[str, list[str]]:
     """Column names per accepted schema."""
     return {fp: names for plan in plans.values() for fp, names in plan.shapes.items()}

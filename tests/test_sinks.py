@@ -5,6 +5,7 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from feedfold.operators import bounded, fold, records
+from feedfold.functions.convert import Field
 from feedfold.options import Options
 from feedfold.plans import build, fixtures
 from feedfold.session import landed, scratch_path
@@ -81,15 +82,30 @@ def test_as_of_offset_reaches_the_scan(spark, capsys):
     assert "PushedFilters: [IsNotNull(offset), LessThanOrEqual(offset,500)" in plan_of(rows, capsys)
 
 
-def test_current_rows_shuffle_once_and_decode_survivors(spark, capsys):
+def test_current_rows_shuffle_once_and_check_before(spark, capsys):
     feed = landed(fixtures.flat_feed(spark, SF_DIR), "plan")
     plan = plan_of(build.current_rows(feed, fixtures.KEY_FIELDS, fixtures.VALUE_FIELDS, Options()), capsys)
     assert plan.count("Exchange") == 1 and "partial_max_by" in plan
     shuffle = plan.index("Exchange")
-    assert "StructField(event_type" in plan[:shuffle] and "StructField(event_type" not in plan[shuffle:]
+    # bad records are told before the shuffle; what is shuffled is text, decoded for the surviving rows
+    assert "StructField(event_type" in plan[:shuffle] and "StructField(_corrupt" in plan[shuffle:]
     assert "ReadSchema: struct<topic:string,partition:int,offset:bigint,key:string,value:string>" in plan
 
 
+def test_bad_records_do_not_overwrite_rows_in_batch(spark):
+    keys, values = [Field("id", "INT64")], [Field("id", "INT64"), Field("a", "STRING"), Field("n", "INT32")]
+    rows = [
+        ("t", 0, 1, None, '{"id": 1}', '{"id": 1, "a": "ok", "n": 1}'), ("t", 0, 2, None, "junk", '{"a": "z"}'),
+        ("t", 0, 3, None, "[]", '{"a": "z"}'), ("t", 0, 4, None, '{"id": 1}', "broken"),
+        ("t", 0, 5, None, '{"id": 1}', '{"id": 1, "n": "many"}'), ("t", 0, 6, None, '{"id": null}', '{"a": "z"}'),
+        ("t", 0, 7, None, '{"id": 1}', '{"a": '),
+    ]
+    feed = spark.createDataFrame(rows, "topic string, partition int, offset bigint, ts timestamp, key string, value string")
+    for options in (Options(), Options(null_overwrites=False)):
+        found = build.current_rows(feed, keys, values, options).collect()
+        assert [tuple(r) for r in found] == [("t", 1, "ok", 1)]
+
+
 def test_hot_key_is_folded_before_the_shuffle(spark):
     count = 20_000
     rows = spark.range(count, numPartitions=4).select(

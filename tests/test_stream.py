@@ -1,11 +1,13 @@
 """Applying feeds to a store: splits, replays, compaction, schema changes, rejects."""
 
+import base64
 import json
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from feedfold.functions import rules
 from feedfold.functions.convert import Field
 from feedfold.operators import layout as layouts
 from feedfold.operators import records
@@ -239,6 +241,80 @@ def test_streaming_run_bounds_files_and_resumes(spark):
     assert read_feed(spark, f"{root}/feed").count() == 2
 
 
+def logical(kind, **params):
+    """A field's description beside its physical type."""
+    return {"name": kind, "parameters": params} if params else {"name": kind}
+
+
+def told(offset, fields, row):
+    """An upsert whose fields are full descriptions."""
+    shape = {"type": "struct", "fields": [{"field": "id", "type": "int64"}, *fields]}
+    value = json.dumps({"schema": shape, "payload": row})
+    return ("t", 0, offset, None, described(ID, {"id": row["id"]}), value)
+
+
+def unscaled(number):
+    return base64.b64encode(number.to_bytes(8, "big", signed=True)).decode()
+
+
+def test_each_record_is_decoded_by_its_own_schema(spark):
+    def shape(scale, stamp, text):
+        return [
+            {"field": "d", "type": "bytes", **logical(rules.CONNECT_DECIMAL, scale=str(scale))},
+            {"field": "w", "type": "int64", "name": stamp},
+            {"field": "s", **text},
+        ]
+
+    old = shape(2, "io.debezium.time.Timestamp", {"type": "string"})
+    new = shape(4, rules.DEBEZIUM_MICRO_TIMESTAMP, {"type": "int32", "name": "io.debezium.time.Date"})
+    at = 1_700_000_000_000
+    rows = [
+        told(1, old, {"id": 1, "d": unscaled(12345), "w": at, "s": "x"}),
+        told(2, new, {"id": 2, "d": unscaled(1230000), "w": at * 1000, "s": 19000}),
+        told(3, new, {"id": 3, "d": unscaled(12345), "w": at * 1000, "s": 19000}),
+    ]
+    for split in (False, True):
+        sink, store = sink_on(spark, "own_schema", Options(source_utc_offset_hours=0))
+        for number, batch in enumerate([rows[:1], rows[1:]] if split else [rows]):
+            apply(sink, number, *batch)
+        found = store.current("t").selectExpr("id", "cast(d AS string)", "unix_millis(w)", "s").collect()
+        assert sorted(map(tuple, found)) == [(1, "123.45", at, "x"), (2, "123.00", at, "2022-01-08")]
+        assert reasons(spark, store) == [(3, "cast_failed")]
+
+
+def test_wide_decimals_are_refused_and_the_rest_goes_on(spark):
+    def sized(offset, number, **params):
+        kind = logical(rules.CONNECT_DECIMAL, **params)
+        return told(offset, [{"field": "d", "type": "bytes", **kind}], {"id": number, "d": unscaled(5)})
+
+    sink, store = sink_on(spark, "wide")
+    precision = rules.PRECISION_PARAMETER
+    apply(
+        sink, 0, sized(1, 1, **{precision: "65", "scale": "2"}), sized(2, 2, **{precision: "4", "scale": "6"}),
+        sized(3, 3, scale="-1"), sized(4, 4, scale="2"),
+    )
+    assert [r.id for r in store.current("t").collect()] == [4]
+    assert reasons(spark, store) == [(n, "unsupported_type") for n in (1, 2, 3)]
+
+
+def test_null_key_fields_and_replayed_rejects(spark, monkeypatch):
+    sink, store = sink_on(spark, "replayed")
+    rows = [
+        upsert(1, AB, {"id": 1, "a": "x", "b": 1}), upsert(2, AB, {"id": None, "a": "y", "b": 2}),
+        upsert(3, AB, {"id": 2, "a": "z", "b": "many"}), delete(4, None),
+    ]
+    commit = store.commit
+    monkeypatch.setattr(store, "commit", lambda _: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        apply(sink, 0, *rows)
+    monkeypatch.setattr(store, "commit", commit)
+    apply(sink, 0, *rows)
+    assert held(store) == [(1, "x", 1)]
+    assert reasons(spark, store) == [(2, "null_key"), (3, "cast_failed"), (4, "null_key")]
+    counts = spark.read.parquet(f"{store.root}/counts")
+    assert sorted((r.op, r.received, r.written, r.rejected) for r in counts.collect()) == [("d", 1, 0, 1), ("u", 3, 1, 2)]
+
+
 def test_layouts():
     keys, value = [Field("id", "INT64")], [Field("id", "INT64"), Field("a", "STRING")]
     first = layouts.create(keys, value)

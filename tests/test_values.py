@@ -68,9 +68,9 @@ def test_type_rules_are_distinct_and_complete():
     assert rules.internal_type("STRUCT", None) == rules.OTHER
 
 
-def as_decimal(x, target):
+def as_decimal(x, target, options=Options()):  # noqa: B008
     spec = Field("d", "BYTES", rules.CONNECT_DECIMAL)
-    return convert.decimal_value(convert.prepare(x, spec), target)
+    return convert.decimal_value(convert.prepare(x, spec, options), target, options)
 
 
 def packed(number, length=None):
@@ -92,8 +92,16 @@ def test_decimal_bytes(spark, number, length):
 
 def test_decimal_text_and_overflow(spark):
     target = T.DecimalType(6, 2)
-    assert one(spark, lambda x: as_decimal(x, target), "12.5") == decimal.Decimal("12.50")
-    assert one(spark, lambda x: as_decimal(x, target), "-7") == decimal.Decimal("-7.00")
+    numeric = Options(decimal_format="numeric")
+    for text, want in (("12.5", "12.50"), ("-7", "-7.00"), ("1234", "1234.00")):
+        assert one(spark, lambda x: as_decimal(x, target, numeric), text) == decimal.Decimal(want)  # noqa: B023
+    # bytes before the last 16 may only extend the sign
+    wide = T.DecimalType(38, 2)
+    for number, length in ((700, 17), (-700, 20), (5, 40)):
+        found = one(spark, lambda x: as_decimal(x, wide), packed(number, length))
+        assert found == decimal.Decimal(number).scaleb(-2)
+    for number in (2**128 + 700, -(2**128) - 5, 2**127, 255 << 128):
+        assert one(spark, lambda x: as_decimal(x, wide), packed(number, 18)) is None
     assert one(spark, lambda x: as_decimal(x, target), packed(10**9)) is None
     assert one(spark, lambda x: as_decimal(x, target), "!!") is None
 
