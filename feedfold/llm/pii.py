@@ -27,19 +27,21 @@ from pyspark.sql import functions as F
 
 from feedfold.llm.common import joined_spans, landed
 
-#: The base patterns. Digits of a card stand in one run, so a run is matched whole or not at all.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
-IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
-CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9]([\x20-]?[0-9]){13,}"
+#: The base patterns. A match begins where a run of its first characters does, or where the last match
+#: ended, so that long runs are read once; nothing follows a repeated group, so it never has to give back.
+LOCAL_START = r"(?:\G|(?<![A-Za-z0-9._%+-]))"
+EMAIL = LOCAL_START + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)"
+CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ["email", "ip", "card", "phone"]
 SMALL_PARTS = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 
 #: What the wide generators propose; the last three words before a candidate are its context.
 NUMBERS = r"(?<![0-9A-Za-z+(])[+(]?[0-9][0-9().\x20/-]{5,26}[0-9](?![0-9A-Za-z])"
-SPELLED = (
-    r"[A-Za-z0-9._%+-]+\x20?(?:\(at\)|\[at\]|@|\x20at\x20)\x20?[A-Za-z0-9-]+"
-    r"(?:\x20?(?:\(dot\)|\[dot\]|\.|\x20dot\x20)\x20?[A-Za-z0-9-]+)+"
+SPELLED = LOCAL_START + (
+    r"[A-Za-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|@|\x20at\x20)\x20?[A-Za-z0-9-]++"
+    r"(?:\x20?(?:\(dot\)|\[dot\]|\.|\x20dot\x20)\x20?[A-Za-z0-9-]++)++"
 )
 COLONS = r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){5,7}(?![0-9A-Fa-f:])"
 CONTEXT = 24

@@ -26,7 +26,7 @@ without text are none.
 Defined cases: a null or empty html gives an empty text. A null or odd url
 counts as a host of its own name (empty). Hosts with a single page have a wrapper of
 that page. Broken markup is read as browsers do: a new paragraph ends an open
-one, unclosed tags end with their parent. Repeated rows give repeated results;
+one, unclosed tags end with their parent; nesting beyond ``DEPTH`` is flattened. Repeated rows give repeated results;
 other columns are ignored.
 """
 
@@ -43,6 +43,8 @@ from pyspark.sql import functions as F
 
 from feedfold.llm.common import landed
 
+#: Elements nested deeper become children of the one at this depth, with their texts in page order.
+DEPTH = 150
 #: Pages of a host are aligned in so many parts at first.
 PARTS = 64
 
@@ -120,7 +122,11 @@ def parse(html: str) -> Node:
     while at < n:
         m = TOKEN.search(html, at)
         text = html[at : m.start()] if m else html[at:]
-        if text:
+        if text and len(stack) - 1 > DEPTH:
+            leaf = Node(stack[-1].tag, stack[-1].key)
+            leaf.children.append(text)
+            stack[DEPTH].children.append(leaf)
+        elif text:
             stack[-1].children.append(text)
         if not m:
             break
@@ -147,7 +153,10 @@ def parse(html: str) -> Node:
         if tag in SELF_ENDING:
             close(SELF_ENDING[tag], {"ul", "ol", "dl", "table"})
         node = Node(tag, key_of(tag, m["attrs"]))
-        stack[-1].children.append(node)
+        if len(stack) - 1 < DEPTH:
+            stack[-1].children.append(node)
+        elif tag in VOID:
+            stack[DEPTH].children.append(node)
         if tag not in VOID and not m["attrs"].rstrip().endswith("/"):
             stack.append(node)
     return root
@@ -355,7 +364,8 @@ def infer(pages: DataFrame) -> DataFrame:
             if len(held) > 2_000:  # many hosts in one task: hand over what there is
                 yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]})
                 held = {}
-        yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]})
+        if held:
+            yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]})
 
     def together(group: pd.DataFrame) -> pd.DataFrame:
         parts = sorted(group["wrapper"])
