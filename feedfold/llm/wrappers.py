@@ -110,6 +110,7 @@ def key_of(tag: str, attrs: str) -> str:
 def parse(html: str) -> Node:
     root = Node("#root", "#root")
     stack, at, n = [root], 0, len(html)
+    leaf_of = leaf = None  # the block beyond the depth whose text was read last, and where it went
 
     def close(names: set[str], stop: set[str]) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -123,9 +124,11 @@ def parse(html: str) -> Node:
         m = TOKEN.search(html, at)
         text = html[at : m.start()] if m else html[at:]
         if text and len(stack) - 1 > DEPTH:
-            leaf = Node(stack[-1].tag, stack[-1].key)
+            block = next(x for x in reversed(stack) if x.tag not in INLINE)
+            if leaf_of is not block or stack[DEPTH].children[-1] is not leaf:
+                leaf_of, leaf = block, Node(block.tag, block.key)
+                stack[DEPTH].children.append(leaf)
             leaf.children.append(text)
-            stack[DEPTH].children.append(leaf)
         elif text:
             stack[-1].children.append(text)
         if not m:
@@ -157,6 +160,8 @@ def parse(html: str) -> Node:
             stack[-1].children.append(node)
         elif tag in VOID:
             stack[DEPTH].children.append(node)
+        elif tag not in INLINE:
+            leaf_of = None
         if tag not in VOID and not m["attrs"].rstrip().endswith("/"):
             stack.append(node)
     return root
