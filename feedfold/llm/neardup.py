@@ -71,8 +71,9 @@ def shingles(text: str | None, k: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(_WORDS) > WORDS_KEPT:
         _WORDS.clear()
-    for w in set(words) - _WORDS.keys():
-        _WORDS[w] = word_hash(w)
+    for w in set(words):  # not a difference of sets, which would walk all words known
+        if w not in _WORDS:
+            _WORDS[w] = word_hash(w)
     hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     width = min(k, len(words))
     n = len(words) - width + 1
