@@ -64,12 +64,14 @@ class Layout:
 
     ``since`` is, per column, the (batch, partition, offset) of the record
     that added it: values from before do not count. Layouts compare equal
-    without it.
+    without it. ``sent`` is, per topic partition, the fields of its last record
+    schema, which decides when a column is dropped.
     """
 
     keys: tuple[Field, ...]
     columns: tuple[Field, ...]
     since: dict[str, tuple[int, int, int]] = field(default_factory=dict, compare=False)
+    sent: dict[int, list[str]] = field(default_factory=dict, compare=False)
 
     @property
     def key_names(self) -> list[str]:
@@ -131,12 +133,46 @@ def _grow(layout: Layout, value: list[Field], at: tuple[int, int, int]) -> Layou
     return replace(layout, columns=(*layout.columns, *added), since=since)
 
 
+#: A schema change within a batch: partition, fields before (None: not known), fields after, its last offset.
+Move = tuple[int, list[str] | None, list[str], int]
+
+
+def settle(layout: Layout, moves: list[Move], batch: int) -> tuple[Layout, dict[str, dict[int, int]]]:
+    """The layout after a batch's schema changes, and where columns start that were lost and came back in it.
+
+    Partitions have no order among each other, so a column is lost only when every
+    partition that had it dropped it. It stays if some partition's last
+    schema has it, and counts there from the record that added it last.
+    """
+    sent, added, dropped = dict(layout.sent), {}, {}
+    holders = {(p, name) for p, names in sent.items() for name in names}
+    for partition, before, names, last in sorted(moves, key=lambda m: m[3]):
+        before = layout.sent.get(partition, []) if before is None else before
+        holders |= {(partition, name) for name in (*before, *names)}
+        added |= {(partition, name): last for name in names if name not in before}
+        dropped |= {(partition, name): last for name in before if name not in names}
+        sent[partition] = names
+    kept, since, starts = [], dict(layout.since), {}
+    for f in layout.columns:
+        alive = [p for p, names in sent.items() if f.name in names]
+        if not alive:
+            since.pop(f.name, None)
+            continue
+        kept.append(f)
+        if all(at in dropped for at in holders if at[1] == f.name):
+            starts[f.name] = {p: added[p, f.name] for p in alive}
+            first = min(starts[f.name].items())
+            since[f.name] = (batch, *first)
+    return replace(layout, columns=tuple(kept), since=since, sent=sent), starts
+
+
 def dump(layout: Layout) -> str:
     return json.dumps(
         {
             "keys": [describe(f) for f in layout.keys],
             "columns": [describe(f) for f in layout.columns],
             "since": layout.since,
+            "sent": layout.sent,
         }
     )
 
@@ -146,4 +182,5 @@ def load(text: str) -> Layout:
     keys = fields_of(json.dumps({"fields": stored["keys"]}))
     columns = fields_of(json.dumps({"fields": stored["columns"]}))
     since = {name: tuple(start) for name, start in stored["since"].items()}
-    return Layout(tuple(keys), tuple(columns), since)
+    sent = {int(partition): names for partition, names in stored.get("sent", {}).items()}
+    return Layout(tuple(keys), tuple(columns), since, sent)

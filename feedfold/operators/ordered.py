@@ -28,7 +28,7 @@ def previous_value(
     rows: DataFrame, group: list[str], value: Column, name: str, span: int = SPAN
 ) -> DataFrame:
     """Add the last non-null ``value`` before each row, in (partition, offset) order."""
-    cells = [*group, "partition", _CELL]
+    cells = [*dict.fromkeys([*group, "partition"]), _CELL]
     rows = _with_cells(rows, span).withColumn("_value", value)
     inside = Window.partitionBy(*cells).orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumn("_local", F.last("_value", ignorenulls=True).over(inside))
@@ -54,7 +54,7 @@ def running_total(
     rows: DataFrame, group: list[str], amount: Column, name: str, span: int = SPAN
 ) -> DataFrame:
     """Add the sum of ``amount`` up to and with each row, in (partition, offset) order."""
-    cells = [*group, "partition", _CELL]
+    cells = [*dict.fromkeys([*group, "partition"]), _CELL]
     rows = _with_cells(rows, span).withColumn("_amount", amount.cast("bigint"))
     inside = Window.partitionBy(*cells).orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumn("_local", F.sum("_amount").over(inside))

@@ -52,19 +52,32 @@ def with_fingerprint(records: DataFrame) -> DataFrame:
 def flag_changes(log: DataFrame, span: int = SPAN) -> DataFrame:
     """Add ``changed`` to the rows of a schema log.
 
-    An upsert is compared with the last upsert of its table. Deletes neither
-    count as a change nor take part in the comparison.
+    An upsert is compared with the last upsert of its table in its topic
+    partition. Deletes neither count as a change nor take part in the comparison.
     """
     rows = log.select("table", "partition", "offset", "op", "fp")
-    rows = previous_value(rows, ["table"], F.col("fp"), "previous_fp", span)
+    rows = previous_value(rows, ["table", "partition"], F.col("fp"), "previous_fp", span)
     changed = F.col("fp").isNotNull() & ~F.col("fp").eqNullSafe(F.col("previous_fp"))
     return rows.withColumn("changed", changed).drop("previous_fp")
 
 
 def fingerprint_changes(upserts: DataFrame, span: int = SPAN) -> DataFrame:
-    """Upserts whose ``fp`` differs from that of the upsert before; the first one counts."""
-    rows = previous_value(upserts, ["table"], F.col("fp"), "previous_fp", span)
-    return rows.filter(~F.col("fp").eqNullSafe(F.col("previous_fp"))).drop("previous_fp")
+    """Upserts whose ``fp`` differs from ``previous_fp``, that of the upsert before in their partition.
+
+    The first one of a partition counts, with a null before it.
+    """
+    rows = previous_value(upserts, ["table", "partition"], F.col("fp"), "previous_fp", span)
+    return rows.filter(~F.col("fp").eqNullSafe(F.col("previous_fp")))
+
+
+def moves(upserts: DataFrame, span: int = SPAN) -> DataFrame:
+    """Distinct schema changes per table and partition, with the first and last offset of each.
+
+    Producers with an old and a new schema that write by turns make many
+    changes, but only a few distinct ones.
+    """
+    found = fingerprint_changes(upserts, span).groupBy("table", "partition", "previous_fp", "fp")
+    return found.agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
 
 
 def schema_texts(log: DataFrame) -> DataFrame:
@@ -82,7 +95,7 @@ def change_points(log: DataFrame, span: int = SPAN) -> DataFrame:
     Only fingerprints go through the ordered scan; the few texts join after it.
     """
     upserts = log.filter(F.col("fp").isNotNull()).select("table", "partition", "offset", "fp")
-    return attach(fingerprint_changes(upserts, span), schema_texts(log), ["fp"])
+    return attach(fingerprint_changes(upserts, span).drop("previous_fp"), schema_texts(log), ["fp"])
 
 
 def numbered_changes(log: DataFrame, span: int = SPAN) -> DataFrame:
@@ -187,33 +200,29 @@ def create_layout(fields: DataFrame) -> DataFrame:
     )
 
 
-def column_starts(changes: DataFrame) -> DataFrame:
-    """Record from which each column of the final table counts, per table.
+def column_starts(moves: DataFrame) -> DataFrame:
+    """From which records each column of a table counts.
 
-    ``changes`` has, per schema change, ``table, partition, offset`` and the
-    ``names`` of the record's fields. A column that was dropped and added again
-    starts empty, so it counts from the change that added it last. A table has
-    few changes, so the windows here are small.
+    ``moves`` has, per distinct schema change, ``table, partition, last`` (its
+    last offset) and the field ``names`` after and ``previous`` names before it
+    (null at the start of a partition). A column is lost when every
+    partition that had it dropped it; then it counts, per partition, from the
+    record that added it last. ``starts`` maps a field to ``kept`` (it was never
+    lost: all its values count) and ``at`` (partition to first offset).
     """
-    per_table = Window.partitionBy("table").orderBy("partition", "offset")
-    whole = per_table.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    numbered = changes.withColumn("epoch", F.row_number().over(per_table)).withColumn(
-        "last_epoch", F.count("*").over(whole)
+    before = F.coalesce("previous", F.array().cast("array<string>"))
+    fields = moves.withColumn("previous", before).select(
+        "table", "partition", "last", "names", "previous", F.explode(F.array_union("previous", "names")).alias("field")
     )
-    fields = numbered.select(
-        "table", "epoch", "last_epoch", order_of_record().alias("start"), F.explode("names").alias("field")
+    has, had = F.array_contains("names", F.col("field")), F.array_contains("previous", F.col("field"))
+    sides = fields.groupBy("table", "partition", "field").agg(
+        F.max(F.when(has & ~had, F.col("last"))).alias("added"), F.max(F.when(had & ~has, F.col("last"))).alias("dropped")
     )
-    # Consecutive epochs of a field share epoch - rank; the run that reaches the
-    # last epoch is the one that counts.
-    rank = F.row_number().over(Window.partitionBy("table", "field").orderBy("epoch"))
-    runs = (
-        fields.withColumn("run", F.col("epoch") - rank)
-        .groupBy("table", "field", "run")
-        .agg(
-            F.min_by("start", "epoch").alias("start"),
-            F.max("epoch").alias("until"),
-            F.max("last_epoch").alias("last_epoch"),
-        )
+    alive = F.col("dropped").isNull() | (F.col("added") > F.col("dropped"))
+    start = F.when(alive, F.struct("partition", "added"))
+    columns = sides.groupBy("table", "field").agg(
+        F.struct(
+            F.bool_or(F.col("dropped").isNull()).alias("kept"), F.map_from_entries(F.collect_list(start)).alias("at")
+        ).alias("start")
     )
-    final = runs.filter(F.col("until") == F.col("last_epoch"))
-    return final.groupBy("table").agg(F.map_from_entries(F.collect_list(F.struct("field", "start"))).alias("starts"))
+    return columns.groupBy("table").agg(F.map_from_entries(F.collect_list(F.struct("field", "start"))).alias("starts"))

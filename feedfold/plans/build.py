@@ -122,9 +122,9 @@ def evolved_rows(
     """Current rows of tables whose record schemas change over time.
 
     ``value_fields`` are all fields seen. A record sets the columns its schema
-    names. Unless missing fields are allowed, a column that a schema drops is
+    names. Unless missing fields are allowed, a column that all partitions drop is
     lost: it counts only from the record that added it last, and is null here
-    for tables whose last schema lacks it. Only then is the order of schema
+    for tables whose last schemas lack it. Only then is the order of schema
     changes needed; else the distinct schemas are enough.
     """
     key_names = [f.name for f in key_fields]
@@ -136,12 +136,11 @@ def evolved_rows(
     names = field_names(F.col("value_schema")).alias("names")
     known = attach(rows, schema.schema_texts(log).select("fp", names), ["fp"])
     if not options.allow_missing:
-        changes = attach(
-            schema.fingerprint_changes(upserts.select("table", "partition", "offset", "fp")),
-            schema.schema_texts(log).select("fp", names),
-            ["fp"],
-        )
-        known = attach(known, schema.column_starts(changes), ["table"])
+        texts = schema.schema_texts(log).select("fp", names)
+        before = texts.select(F.col("fp").alias("previous_fp"), F.col("names").alias("previous"))
+        moves = schema.moves(upserts.select("table", "partition", "offset", "fp"))
+        moves = attach(attach(moves, texts, ["fp"]), before, ["previous_fp"])
+        known = attach(known, schema.column_starts(moves), ["table"])
     known = records.drop_disabled_deletes(with_sound_key(known, key_fields, options), options)
     known = sound_values(known, columns, options)
     groups = fold.single_groups([f.name for f in columns])
@@ -149,7 +148,8 @@ def evolved_rows(
     for group, (name,) in groups.items():
         counts = F.array_contains("names", name)
         if not options.allow_missing:
-            counts = counts & (records.order_of_record() >= F.col("starts")[name])
+            start = F.col("starts")[name]
+            counts = counts & (start["kept"] | (F.col("offset") >= start["at"][F.col("partition")]))
         if not options.null_overwrites:
             counts = counts & F.col(name).isNotNull()
         present[group] = F.coalesce(counts, F.lit(False))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -33,7 +33,7 @@ COUNTS_SCHEMA = "`table` string, op string, received bigint, written bigint, rej
 
 Schemas = Mapping[str, tuple[list[Field], list[Field]]]
 At = tuple[int, int, int]
-Starts = Mapping[str, dict[str, tuple[int, int]]]
+Starts = Mapping[str, dict[str, dict[int, int]]]
 # Per table and operation: records received, written and rejected.
 Counts = dict[tuple[str, str], list[int]]
 
@@ -48,6 +48,7 @@ class _TablePlan:
     refused: dict[str, str] | None = None  # reject reason per refused schema
     is_new: bool = False
     fields: dict[str, dict[str, Field]] = field(default_factory=dict)  # fields by name, per accepted schema
+    starts: dict[str, dict[int, int]] = field(default_factory=dict)  # offsets by partition of columns that came back
 
 
 class FeedSink:
@@ -88,7 +89,7 @@ class FeedSink:
             chosen = {name: plans[name] for name in names}
             rows = self._decode(flagged.filter(F.col("table").isin(names) & F.col("applied")), shape, chosen)
             path = self.store.new_unit()
-            started = _started(chosen, batch)
+            started = {name: plan.starts for name, plan in chosen.items() if plan.starts}
             groups = self._groups(shape, chosen, bool(started))
             for name, op, refused in self._write_delta(rows, shape, chosen, (groups, started), batch, path):
                 counts[name, op][1] -= refused
@@ -108,7 +109,10 @@ class FeedSink:
     # Steps -----------------------------------------------------------------
 
     def _stage(self, feed: DataFrame) -> DataFrame:
-        """Land the batch once, by table, so that the source is read only once."""
+        """Land the batch once, by table, so that the source is read only once.
+
+        The next batch overwrites it: nothing reads it after the commit.
+        """
         rows = build.unwrap(feed) if self.schemas is None else self._with_schemas(feed)
         rows = build.prepare(rows, self.options)
         upsert = F.col("op") == records.UPSERT
@@ -122,10 +126,10 @@ class FeedSink:
             malformed.alias("malformed"),
             F.when(~upsert, F.array_sort(F.json_object_keys("key"))).alias("sent_keys"),
         )
-        path = f"{self.store.root}/stage/{uuid.uuid4().hex}"
+        path = f"{self.store.root}/stage"
         if not self.topic_per_task:
             staged = staged.hint("rebalance", F.col("table"))
-        staged.write.partitionBy("table").parquet(path)
+        staged.write.mode("overwrite").partitionBy("table").parquet(path)
         types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in staged.schema)
         return self.spark.read.schema(types).parquet(path)
 
@@ -142,44 +146,50 @@ class FeedSink:
         return attach(routed, texts, ["_table"]).drop("_table")
 
     def _plan_tables(self, staged: DataFrame, known: Mapping[str, TableEntry], batch: int) -> dict[str, _TablePlan]:
-        """Walk the schema changes in order and evolve each table's layout.
+        """Evolve each table's layout by the schemas of the batch.
 
-        Usually a table has one schema per batch, whose first record is the only
-        change. Only tables with several need the ordered scan for changes.
+        Usually a partition has one schema per batch. Only tables where one has
+        several need the ordered scan for changes, of which the distinct ones
+        reach the driver. Columns are added first; what is dropped is settled
+        when all changes are known, so a column cannot change its type within a
+        batch.
         """
         keyed = staged.filter(F.col("key").isNotNull())
-        seen = (
-            keyed.filter(F.col("op") == records.UPSERT)
-            .groupBy("table", "fp")
-            .agg(
-                F.min(records.order_of_record()).alias("first"),
-                F.any_value("key_schema").alias("key_schema"),
-                F.any_value("value_schema").alias("value_schema"),
-            )
-        )
-        texts: dict[str, tuple[str | None, str | None]] = {}
-        firsts: dict[str, list[tuple[str, int, int]]] = {}
-        for r in seen.toLocalIterator():
-            texts[r["fp"]] = (r["key_schema"], r["value_schema"])
-            firsts.setdefault(r["table"], []).append((r["fp"], r["first"]["partition"], r["first"]["offset"]))
+        upserts = keyed.filter(F.col("op") == records.UPSERT)
+        seen = upserts.groupBy("table", "partition", "fp").agg(F.min("offset").alias("first")).collect()
+        per_partition = Counter((r["table"], r["partition"]) for r in seen)
+        several = sorted({table for (table, _), n in per_partition.items() if n > 1})
+        found = [(r["table"], r["partition"], None, r["fp"], r["first"], r["first"]) for r in seen if r["table"] not in several]
+        if several:
+            rows = upserts.filter(F.col("table").isin(several)).select("table", "partition", "offset", "fp")
+            order = ["table", "partition", "previous_fp", "fp", "first", "last"]
+            found += map(tuple, schema.moves(rows).select(order).collect())
+        texts = self._texts(upserts, {r["fp"]: (r["table"], r["partition"], r["first"]) for r in seen}) if seen else {}
         plans = {name: _TablePlan(entry.layout, shapes={}, refused={}) for name, entry in known.items()}
-
-        def meet(table: str, fp: str, partition: int, offset: int) -> None:
+        for table, partition, _, fp, first, _ in sorted(found, key=lambda m: (m[0], m[1], m[4])):
             plan = plans.setdefault(table, _TablePlan(None, shapes={}, refused={}, is_new=True))
-            plan.first_upsert = plan.first_upsert or (partition, offset)
-            self._evolve(plan, fp, texts[fp], (batch, partition, offset))
-
-        several = [table for table, found in firsts.items() if len(found) > 1]
-        for table, found in firsts.items():
-            if len(found) == 1:
-                meet(table, *found[0])
-        if several:
-            rows = keyed.filter(F.col("table").isin(several)).select("table", "partition", "offset", "fp")
-            changed = schema.fingerprint_changes(rows.filter(F.col("fp").isNotNull()))
-            for r in changed.sort("table", "partition", "offset").toLocalIterator():
-                meet(r["table"], r["fp"], r["partition"], r["offset"])
+            plan.first_upsert = plan.first_upsert or (partition, first)
+            if fp not in plan.shapes and fp not in plan.refused:
+                self._evolve(plan, fp, texts[fp], (batch, partition, first))
+        if self.options.evolves and not self.options.allow_missing:
+            for table, plan in plans.items():
+                moves = [
+                    # after a refused schema, what came before it is taken to be the same
+                    (partition, plan.shapes.get(before, plan.shapes[fp]) if before else None, plan.shapes[fp], last)
+                    for name, partition, before, fp, _, last in found
+                    if name == table and fp in plan.shapes
+                ]
+                if moves:
+                    plan.layout, plan.starts = layouts.settle(plan.layout, moves, batch)
         return plans
 
+    def _texts(self, upserts: DataFrame, first: Mapping[str, tuple]) -> dict[str, tuple[str | None, str | None]]:
+        """Schema texts by fingerprint, read from one record of each."""
+        rows = [(fp, *place) for fp, place in first.items()]
+        wanted = self.spark.createDataFrame(rows, "fp string, `table` string, partition int, offset bigint")
+        found = attach(upserts, wanted.select("*", F.lit(True).alias("_wanted")), ["table", "partition", "offset", "fp"], "inner")
+        return {r["fp"]: (r["key_schema"], r["value_schema"]) for r in found.toLocalIterator()}
+
     def _evolve(self, plan: _TablePlan, fp: str, texts: tuple[str | None, str | None], at: At) -> None:
         if None in texts:
             plan.refused[fp] = "no_schema"
@@ -190,7 +200,7 @@ class FeedSink:
             if plan.layout is None:
                 plan.layout = layouts.create(key, value)
             else:
-                plan.layout = layouts.evolve(plan.layout, key, value, self.options, at)
+                plan.layout = layouts.evolve(plan.layout, key, value, replace(self.options, allow_missing=True), at)
             plan.shapes[fp] = [f.name for f in value]
             plan.fields[fp] = {f.name: f for f in (*value, *key)}
         except RefusedSchema as refusal:
@@ -372,11 +382,11 @@ class FeedSink:
         )
 
     def _with_starts(self, rows: DataFrame, started: Starts) -> DataFrame:
-        """Add ``starts``: per column added in this batch, its first record."""
+        """Add ``starts``: per column that came back in this batch, its first offset by partition."""
         if not started:
             return rows
         frame = self.spark.createDataFrame(
-            list(started.items()), "`table` string, starts map<string, struct<partition: int, offset: bigint>>"
+            list(started.items()), "`table` string, starts map<string, map<int, bigint>>"
         )
         return attach(rows, frame, ["table"])
 
@@ -388,7 +398,7 @@ class FeedSink:
             test = test & F.col(f"v_{members[0]}").isNotNull()
         if started:
             start = F.col("starts")[members[0]]
-            test = test & (start.isNull() | (F.struct("partition", "offset") >= start))
+            test = test & (start.isNull() | (F.col("offset") >= start[F.col("partition")]))
         return F.coalesce(test, F.lit(False))
 
 
@@ -417,16 +427,6 @@ def _shapes_of(plans: Mapping[str, _TablePlan]) -> dict[str, list[str]]:
     return {fp: names for plan in plans.values() for fp, names in plan.shapes.items()}
 
 
-def _started(plans: Mapping[str, _TablePlan], batch: int) -> Starts:
-    """Per table, the columns that this batch adds, and their first record."""
-    found = {}
-    for name, plan in plans.items():
-        fresh = {c: at[1:] for c, at in plan.layout.since.items() if at[0] == batch}
-        if fresh:
-            found[name] = fresh
-    return found
-
-
 def _may_exceed_zero(seen: Observation, name: str) -> bool:
     """Whether an observed count may be above zero.
 

@@ -123,6 +123,53 @@ def test_dropped_column_comes_back_empty(spark):
     assert held(same_store) == [(1, "x", None), (2, "v", 5), (3, "w", None)]
 
 
+def placed(partition, row):
+    return (row[0], partition, *row[2:])
+
+
+def test_partitions_that_get_a_column_keep_its_values(spark):
+    a = {"a": "string"}
+    rows = [
+        placed(p, row)
+        for p in (0, 1)
+        for row in (
+            upsert(1, a, {"id": 10 + p, "a": "x"}),
+            upsert(2, AB, {"id": 20 + p, "a": "y", "b": 7 + p}),
+        )
+    ]
+    want = [(10, "x", None), (11, "x", None), (20, "y", 7), (21, "y", 8)]
+    for split in (4, 2):
+        sink, store = sink_on(spark, "partitions")
+        for batch, at in enumerate(range(0, 4, split)):
+            apply(sink, batch, *rows[at : at + split])
+        assert held(store) == want
+        # one partition drops the column, the other still has it
+        apply(sink, 9, placed(0, upsert(3, a, {"id": 30, "a": "z"})))
+        assert held(store) == [*want, (30, "z", None)]
+        apply(sink, 10, placed(1, upsert(3, a, {"id": 31, "a": "z"})))
+        assert held(store) == [(10, "x"), (11, "x"), (20, "y"), (21, "y"), (30, "z"), (31, "z")]
+
+
+def test_alternating_producers_are_few_steps(spark, monkeypatch):
+    kinds = [{"a": "string"}, AB]
+    rows = [upsert(n, kinds[n % 2], {"id": n, "a": "x", **({"b": n} if n % 2 else {})}) for n in range(400)]
+    met = []
+    evolve = FeedSink._evolve
+    monkeypatch.setattr(FeedSink, "_evolve", lambda *about: met.append(about) or evolve(*about))
+    sink, store = sink_on(spark, "alternating")
+    apply(sink, 0, *rows)
+    assert len(met) == 2
+    # the column was dropped before the last record, which adds it again
+    assert [r for r in held(store) if r[2] is not None] == [(399, "x", 399)]
+
+
+def test_stage_holds_one_batch(spark):
+    sink, store = sink_on(spark, "staged")
+    for n in range(3):
+        apply(sink, n, upsert(n, AB, {"id": n, "a": "x", "b": n}))
+    assert spark.read.parquet(f"{store.root}/stage").count() == 1
+
+
 def test_rejects(spark):
     sink, store = sink_on(spark, "rejects")
     bad_text = upsert(7, AB, {"id": 4, "a": "x", "b": "many"})
