@@ -48,8 +48,8 @@ class Encoder:
         if len(self.young) > TABLE_SIZE:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        wanted -= young.keys()
-        known = wanted & old.keys()
+        wanted = {k for k in wanted if k not in young}
+        known = {k for k in wanted if k in old}
         young.update(zip(known, map(old.__getitem__, known), strict=True))
         new = list(wanted - known)
         found = self.encode([k[0] if isinstance(k, tuple) else " " + k for k in new])
