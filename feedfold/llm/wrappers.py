@@ -17,7 +17,9 @@ notices, adverts, forms and comments go by their tags, roles and class words;
 texts that are constant over many pages and blocks that are mostly links go too.
 The content is the article (or main) node if there is one, or else the
 smallest node that holds most of the remaining text. Pages are then read by
-the cut wrapper of their host.
+the cut wrapper of their host: children are aligned to the wrapper's in order, so
+siblings of one key keep apart, and a node is cut for links or a constant text only if
+it is mostly links, or has that text, itself.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by two line breaks in page order; blocks
@@ -258,58 +260,124 @@ def words_of(key: str) -> tuple[str, set[str], set[str]]:
     return parts[0], {p[1:] for p in parts[1:] if p[0] == "."}, {p[1:] for p in parts[1:] if p[0] == "@"}
 
 
-def is_boilerplate(node: list, pages: int, inside: bool) -> bool:
-    """Whether a wrapper node is no content, by its names and by what it held."""
+def verdict_of(node: list, pages: int) -> int:
+    """Whether a wrapper node is no content, by its names (CUT) or by what it held (LINKED, SAME)."""
     tag, words, roles = words_of(node[KEY])
     if tag in BOILERPLATE_TAGS or roles & BOILERPLATE_ROLES:
-        return True
+        return CUT
     if tag not in ("body", "html", "article", "main", "p") and words & BOILERPLATE_WORDS:
-        return True
-    if tag == "header" and not inside:
-        return True
-    if tag in ("ul", "ol", "table", "div", "section", "p") and node[CHARS] and node[LINKS] > 0.6 * node[CHARS]:
-        return True
+        return CUT
+    if tag in ("ul", "ol", "table", "div", "section", "p") and node[CHARS] and node[LINKS] > LINK_SHARE * node[CHARS]:
+        return LINKED
     # the same short text on most of many pages
     constant = not node[CHILDREN] and isinstance(node[TEXT], str) and node[TEXT]
-    return bool(constant and pages >= 5 and node[PAGES] >= 0.6 * pages and tag not in INLINE)
+    return SAME if constant and pages >= 5 and node[PAGES] >= 0.6 * pages and tag not in INLINE else 0
 
 
-CONTENT, CUT, PASS = 1, 2, 3
+#: CUT holds for every node of a key; LINKED and SAME only for a node that is mostly links, or has the text, itself.
+CUT, LINKED, SAME = 1, 2, 3
+LINK_SHARE = 0.6
+# A cut node is [key, verdict, constant text or null, children], with the children of the wrapper in their places.
+VERDICT, SAID, KIDS = 1, 2, 3
 
 
-def cut_wrapper(wrapper: list) -> dict:
-    """What to do at each path of a wrapper: content starts, boilerplate is cut."""
-    pages, actions, areas = wrapper[PAGES], {}, []
+def cut_tree(wrapper: list) -> list:
+    """What to do at each node of a wrapper."""
+    pages = wrapper[PAGES]
+
+    def visit(node: list) -> list:
+        verdict = verdict_of(node, pages)
+        kids = [] if verdict == CUT else [visit(c) for c in node[CHILDREN]]
+        return [node[KEY], verdict, node[TEXT] if verdict == SAME else None, kids]
+
+    return visit(wrapper)
+
+
+def places(keys: list[str], kids: list[list]) -> list[int | None]:
+    """For children in order the places of the wrapper's children that take them; those of one key may have several."""
+    at, out = 0, []
+    for key in keys:
+        if not (at < len(kids) and kids[at][KEY] == key):
+            later = next((x for x in range(at + 1, len(kids)) if kids[x][KEY] == key), None)
+            if later is None:
+                out.append(next((x for x in range(min(at, len(kids))) if kids[x][KEY] == key), None))
+                continue
+            at = later
+        out.append(at)
+    return out
+
+
+def weighed(wrapper: list, tree: list) -> list[tuple]:
+    """Per node that a cut leaves: place, names, characters left, rank, whether named as content, tag."""
+    areas: list[tuple] = []
 
-    def visit(node: list, path: str, inside: bool) -> int:
+    def visit(node: list, cut: list, path: str, names: str) -> int:
         """Characters that are left below the node."""
         tag, words, roles = words_of(node[KEY])
-        inside = inside or tag in ("article", "main") or "main" in roles
-        if is_boilerplate(node, pages, inside):
-            actions[path] = CUT
+        if cut[VERDICT] == CUT or (cut[VERDICT] == LINKED and node[LINKS] > LINK_SHARE * node[CHARS]):
             return 0
-        below = [visit(c, f"{path}/{c[KEY]}", inside) for c in node[CHILDREN]]
-        left = node[CHARS] - sum(c[CHARS] for c in node[CHILDREN]) + sum(below)
+        if cut[VERDICT] == SAME and node[TEXT] == cut[SAID]:
+            return 0
+        left = node[CHARS] - sum(c[CHARS] for c in node[CHILDREN])
+        for c, place in zip(node[CHILDREN], places([c[KEY] for c in node[CHILDREN]], cut[KIDS]), strict=True):
+            if place is not None:
+                left += visit(c, cut[KIDS][place], f"{path}/{place}", f"{names}/{c[KEY]}")
         rank = 2 if tag == "article" else 1 if tag == "main" or "main" in roles else 0
-        areas.append((path, left, rank, bool(words & CONTENT_WORDS), tag))
+        areas.append((path, names, left, rank, bool(words & CONTENT_WORDS), tag))
         return left
 
-    total = visit(wrapper, wrapper[KEY], False)
-    named = [a for a in areas if a[2] and a[1] > 0.2 * total] or [a for a in areas if a[3] and a[4] not in INLINE and a[1] > 0.5 * total]
+    visit(wrapper, tree, "", wrapper[KEY])
+    return areas
+
+
+def chosen(areas: list[tuple]) -> list[str]:
+    """Places where content starts."""
+    if not areas:
+        return [""]
+    total = areas[-1][2]  # the root comes last
+    held: dict[str, int] = {}
+    for _, names, left, *_ in areas:
+        held[names] = held.get(names, 0) + left
+    named = [a for a in areas if a[3] and held[a[1]] > 0.2 * total]
+    named = named or [a for a in areas if a[4] and a[5] not in INLINE and held[a[1]] > 0.5 * total]
     if named:
-        best = max(a[2] for a in named)
-        for area in named:
-            if area[2] == best:
-                actions.setdefault(area[0], CONTENT)
-    else:
-        holds = [a for a in areas if a[1] >= 0.7 * total and a[4] not in INLINE and a[4] != "p"]
-        path = min(holds, key=lambda a: (a[1], -a[0].count("/")), default=(wrapper[KEY],))[0]
-        actions.setdefault(path, CONTENT)
-    return actions
+        best = max(a[3] for a in named)
+        return sorted({a[0] for a in named if a[3] == best})
+    holds = [a for a in areas if a[2] >= 0.7 * total and a[5] not in INLINE and a[5] != "p"]
+    return [min(holds, key=lambda a: (a[2], -a[0].count("/")), default=("",))[0]]
+
+
+def cut_wrapper(wrapper: list) -> dict:
+    """The cut of a wrapper and the places where content starts."""
+    tree = cut_tree(wrapper)
+    return {"tree": tree, "content": chosen(weighed(wrapper, tree))}
+
+
+def sizes(node: Node, linked: bool = False) -> tuple[int, int]:
+    """Characters of a node, and those in links."""
+    linked = linked or node.tag == "a"
+    own = len(squeezed(" ".join(c for c in node.children if isinstance(c, str))))
+    chars, links = own, own if linked else 0
+    for child in node.children:
+        if not isinstance(child, str):
+            more = sizes(child, linked)
+            chars, links = chars + more[0], links + more[1]
+    return chars, links
+
+
+def is_cut(node: Node, cut: list) -> bool:
+    """Whether a node of a page goes, at its place in a wrapper and by what it holds itself."""
+    if cut[VERDICT] == LINKED:
+        chars, links = sizes(node)
+        return links > LINK_SHARE * chars
+    if cut[VERDICT] == SAME:
+        return all(isinstance(c, str) for c in node.children) and squeezed(" ".join(node.children)) == cut[SAID]
+    return cut[VERDICT] == CUT
 
 
 def blocks_of(page: Node, actions: dict) -> list[str]:
     """Texts of the blocks of a page that the cut wrapper of its host leaves."""
+    content = set(actions["content"])
     blocks: list[str] = []
     buffer: list[str] = []
 
@@ -319,28 +387,32 @@ def blocks_of(page: Node, actions: dict) -> list[str]:
         if text:
             blocks.append(text)
 
-    def walk(node: Node, path: str, inside: bool) -> None:
-        action = actions.get(path)
-        if action == CUT:
+    def walk(node: Node, cut: list, path: str, inside: bool) -> None:
+        if is_cut(node, cut):
             return
-        inside = inside or action == CONTENT
+        inside = inside or path in content
         block = node.tag not in INLINE and node.tag not in VOID
         if block:
             flush()
+        found = iter(places([c.key for c in node.children if not isinstance(c, str)], cut[KIDS]))
         for child in node.children:
             if isinstance(child, str):
                 if inside:
                     buffer.append(child)
-            elif child.tag == "br":
+                continue
+            place = next(found)
+            if child.tag == "br":
                 buffer.append(" ")
             elif child.tag == "hr":
                 flush()
-            else:
-                walk(child, f"{path}/{child.key}", inside)
+            elif place is not None:
+                walk(child, cut[KIDS][place], f"{path}/{place}", inside)
+            else:  # no page of the wrapper has it here: only names can tell
+                walk(child, cut_tree(wrapper_of(child)), "-", inside)
         if block:
             flush()
 
-    walk(page, page.key, False)
+    walk(page, actions["tree"], "", False)
     flush()
     return blocks
 

@@ -46,3 +46,26 @@ def test_broken_and_deep_markup(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     texts = {r["page_id"]: r["text"] for r in wrappers.extract(frame).collect()}
     assert texts[1] == "one\n\ntwo\n\nthree" and texts[3] == "deep" and texts[4] == "a b\n\nc\n\nd"
+
+
+def texts_of(spark, htmls):
+    rows = [(n, f"https://one.org/{n}", html) for n, html in enumerate(htmls)]
+    found = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+def test_siblings_of_one_key_keep_apart(spark):
+    words = [f"Page {n} tells a long story of its own " * 4 for n in range(8)]
+    told = [w.strip() for w in words]
+    linked = "<article><h1>H{0}</h1><p>{1}</p><ul><li>item {0}</li></ul><p><a href='/x'>Read on {0}</a></p></article>"
+    assert texts_of(spark, [linked.format(n, w) for n, w in enumerate(words)]) == [
+        f"H{n}\n\n{t}\n\nitem {n}" for n, t in enumerate(told)
+    ]
+    constant = "<article><p>Welcome to this site</p><h1>H{0}</h1><p>{1}</p></article>"
+    assert texts_of(spark, [constant.format(n, w) for n, w in enumerate(words)]) == [f"H{n}\n\n{t}" for n, t in enumerate(told)]
+    bare = "<body><div><a href='/a'>One</a> <a href='/b'>Two</a></div><h1>H{0}</h1><div>{1}</div></body>"
+    assert texts_of(spark, [bare.format(n, w) for n, w in enumerate(words)]) == told
+    # one page lacks the list: its text meets the place of no link
+    other = "<article><h1>H9</h1><p><a href='/x'>Read on 9</a></p><ul><li>item</li></ul><p>{0}</p></article>"
+    short = "<article><h1>H8</h1><p>{0}</p></article>"
+    assert all(t in x for t, x in zip(told, texts_of(spark, [other.format(w) for w in words[:7]] + [short.format(words[7])]), strict=True))
