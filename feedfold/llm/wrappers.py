@@ -15,11 +15,15 @@ Each node also sums up what it held: pages, characters, characters in links.
 From these the wrapper of a host is cut once: menus, headers, footers, sidebars,
 notices, adverts, forms and comments go by their tags, roles and class words;
 texts that are constant over many pages and blocks that are mostly links go too.
-The content is the article (or main) node if there is one, or else the
+A class word does not cut a node that holds most of the text, unless the word is
+one of comments. Pages of a host fall into layouts, by the kinds of named content they have
+(article, main, content words). The content of a layout is the article (or main) node if there is one, or else the
 smallest node that holds most of the remaining text. Pages are then read by
 the cut wrapper of their host: children are aligned to the wrapper's in order, so
 siblings of one key keep apart, and a node is cut for links or a constant text only if
-it is mostly links, or has that text, itself.
+it is mostly links, or has that text, itself. A page of whose remaining text that content
+holds little has its area chosen on the page itself; a page that the cut leaves next to nothing of is cut by names only,
+and if nothing is left then, by tags and roles only. So only pages whose whole text is in menus, headers, footers and the like are empty.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by two line breaks in page order; blocks
@@ -37,6 +41,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pandas as pd
@@ -74,6 +79,8 @@ BOILERPLATE_WORDS = set(
     "discussion respond related recommended recommendations trending pagination pager toolbar widget widgets copyright legal "
     "disclaimer skip search form tags byline".split()
 )
+#: Words of talk about a page, which may be longer than the page.
+TALK_WORDS = set("comment comments reply replies disqus discussion respond".split())
 CONTENT_WORDS = set("article content post entry story main body text".split())
 
 TOKEN = re.compile(
@@ -255,18 +262,44 @@ def expression(node: list) -> str:
     return f"<{node[KEY]}>({inside.strip()}){mark}"
 
 
+@lru_cache(10_000)
 def words_of(key: str) -> tuple[str, set[str], set[str]]:
     parts = re.split(r"(?=[.@])", key)
     return parts[0], {p[1:] for p in parts[1:] if p[0] == "."}, {p[1:] for p in parts[1:] if p[0] == "@"}
 
 
-def verdict_of(node: list, pages: int) -> int:
+#: How a key counts by its names: cut always, cut whatever it holds, or cut unless it holds most of the text.
+ALWAYS, SAID_SO, UNLESS_MOST = 3, 2, 1
+
+
+@lru_cache(10_000)
+def named_cut(key: str) -> int:
+    tag, words, roles = words_of(key)
+    if tag in BOILERPLATE_TAGS - {"form"} or roles & BOILERPLATE_ROLES:
+        return ALWAYS
+    if tag not in ("body", "html", "article", "main", "p") and words & BOILERPLATE_WORDS:
+        return SAID_SO if words & TALK_WORDS else UNLESS_MOST
+    return UNLESS_MOST if tag == "form" else 0
+
+
+def loose(node: list) -> int:
+    """Characters of a wrapper node outside what is always cut."""
+    if named_cut(node[KEY]) == ALWAYS:
+        return 0
+    return node[CHARS] - sum(c[CHARS] - loose(c) for c in node[CHILDREN])
+
+
+def verdict_of(node: list, pages: int, total: int, level: int) -> int:
     """Whether a wrapper node is no content, by its names (CUT) or by what it held (LINKED, SAME)."""
-    tag, words, roles = words_of(node[KEY])
-    if tag in BOILERPLATE_TAGS or roles & BOILERPLATE_ROLES:
+    tag, names = words_of(node[KEY])[0], named_cut(node[KEY])
+    if names == ALWAYS:
         return CUT
-    if tag not in ("body", "html", "article", "main", "p") and words & BOILERPLATE_WORDS:
+    if level == ALWAYS:
+        return 0
+    if names == SAID_SO or (names == UNLESS_MOST and loose(node) <= MOST * total):
         return CUT
+    if level == SAID_SO:
+        return 0
     if tag in ("ul", "ol", "table", "div", "section", "p") and node[CHARS] and node[LINKS] > LINK_SHARE * node[CHARS]:
         return LINKED
     # the same short text on most of many pages
@@ -277,16 +310,18 @@ def verdict_of(node: list, pages: int) -> int:
 #: CUT holds for every node of a key; LINKED and SAME only for a node that is mostly links, or has the text, itself.
 CUT, LINKED, SAME = 1, 2, 3
 LINK_SHARE = 0.6
+#: A node with a boilerplate class that holds more than this share of the text is a layout, not boilerplate.
+MOST = 0.7
 # A cut node is [key, verdict, constant text or null, children], with the children of the wrapper in their places.
 VERDICT, SAID, KIDS = 1, 2, 3
 
 
-def cut_tree(wrapper: list) -> list:
-    """What to do at each node of a wrapper."""
-    pages = wrapper[PAGES]
+def cut_tree(wrapper: list, level: int = UNLESS_MOST) -> list:
+    """What to do at each node of a wrapper; from SAID_SO on by names only, at ALWAYS by tags and roles only."""
+    pages, total = wrapper[PAGES], loose(wrapper)
 
     def visit(node: list) -> list:
-        verdict = verdict_of(node, pages)
+        verdict = verdict_of(node, pages, total, level)
         kids = [] if verdict == CUT else [visit(c) for c in node[CHILDREN]]
         return [node[KEY], verdict, node[TEXT] if verdict == SAME else None, kids]
 
@@ -347,10 +382,34 @@ def chosen(areas: list[tuple]) -> list[str]:
     return [min(holds, key=lambda a: (a[2], -a[0].count("/")), default=("",))[0]]
 
 
-def cut_wrapper(wrapper: list) -> dict:
-    """The cut of a wrapper and the places where content starts."""
-    tree = cut_tree(wrapper)
-    return {"tree": tree, "content": chosen(weighed(wrapper, tree))}
+@lru_cache(10_000)
+def kind_of(key: str) -> str:
+    tag, words, roles = words_of(key)
+    if tag in ("article", "main") or "main" in roles:
+        return "article" if tag == "article" else "main"
+    return ".".join([tag, *sorted(words & CONTENT_WORDS)]) if tag not in INLINE and words & CONTENT_WORDS else ""
+
+
+def layout_of(page: Node) -> str:
+    """The kinds of named content of a page: its article and main nodes, and tags with content words."""
+    kinds: set[str] = set()
+    nodes = [page]
+    while nodes:
+        node = nodes.pop()
+        if named_cut(node.key) != ALWAYS:
+            kinds.add(kind_of(node.key))
+            nodes += [c for c in node.children if not isinstance(c, str)]
+    return " ".join(sorted(kinds - {""}))
+
+
+def cut_wrappers(layouts: dict[str, list]) -> dict:
+    """The cut of a host, from all its layouts, and for each layout the places where content starts."""
+    wrappers = list(layouts.values())
+    whole = wrappers[0]
+    for wrapper in wrappers[1:]:
+        whole = merged(whole, wrapper)
+    tree = cut_tree(whole)
+    return {"tree": tree, "content": {name: chosen(weighed(w, tree)) for name, w in layouts.items()}}
 
 
 def sizes(node: Node, linked: bool = False) -> tuple[int, int]:
@@ -375,11 +434,13 @@ def is_cut(node: Node, cut: list) -> bool:
     return cut[VERDICT] == CUT
 
 
-def blocks_of(page: Node, actions: dict) -> list[str]:
-    """Texts of the blocks of a page that the cut wrapper of its host leaves."""
-    content = set(actions["content"])
+def read(page: Node, tree: list, content: list[str]) -> tuple[list[str], int, int, int, bool]:
+    """Blocks in content; characters in content, left by the cut, and outside what is always cut; whether article or main gave text."""
+    starts = set(content)
     blocks: list[str] = []
     buffer: list[str] = []
+    kept = left = gone = 0
+    ranked = False
 
     def flush() -> None:
         text = squeezed("".join(buffer))
@@ -387,17 +448,26 @@ def blocks_of(page: Node, actions: dict) -> list[str]:
         if text:
             blocks.append(text)
 
-    def walk(node: Node, cut: list, path: str, inside: bool) -> None:
+    def walk(node: Node, cut: list, path: str, inside: bool, best: bool) -> None:
+        nonlocal kept, left, gone, ranked
         if is_cut(node, cut):
+            if named_cut(node.key) != ALWAYS:
+                gone += loose(wrapper_of(node))
             return
-        inside = inside or path in content
+        if path in starts:
+            tag, _, roles = words_of(node.key)
+            inside, best = True, best or tag in ("article", "main") or "main" in roles
         block = node.tag not in INLINE and node.tag not in VOID
         if block:
             flush()
         found = iter(places([c.key for c in node.children if not isinstance(c, str)], cut[KIDS]))
         for child in node.children:
             if isinstance(child, str):
+                chars = len(child.strip())
+                left += chars
                 if inside:
+                    kept += chars
+                    ranked = ranked or (best and chars > 0)
                     buffer.append(child)
                 continue
             place = next(found)
@@ -406,14 +476,33 @@ def blocks_of(page: Node, actions: dict) -> list[str]:
             elif child.tag == "hr":
                 flush()
             elif place is not None:
-                walk(child, cut[KIDS][place], f"{path}/{place}", inside)
+                walk(child, cut[KIDS][place], f"{path}/{place}", inside, best)
             else:  # no page of the wrapper has it here: only names can tell
-                walk(child, cut_tree(wrapper_of(child)), "-", inside)
+                walk(child, cut_tree(wrapper_of(child), SAID_SO), "-", inside, best)
         if block:
             flush()
 
-    walk(page, actions["tree"], "", False)
+    walk(page, tree, "", False, False)
     flush()
+    return blocks, kept, left, left + gone, ranked
+
+
+def blocks_of(page: Node, actions: dict) -> list[str]:
+    """Texts of the blocks of a page by the cut and content of its host, or by its own where these do not fit it."""
+    tree = actions["tree"]
+    blocks, kept, left, whole, ranked = read(page, tree, actions["content"].get(layout_of(page), []))
+    if kept >= (0.2 if ranked else 0.5) * left and (left >= 0.1 * whole or (ranked and kept)):
+        return blocks
+    own = wrapper_of(page)
+    if left and kept < (0.2 if ranked else 0.5) * left:  # the content of the host holds little of this page
+        blocks, kept, left, whole, ranked = read(page, tree, chosen(weighed(own, tree)))
+    if left >= 0.1 * whole or (ranked and kept):
+        return blocks
+    for level in (SAID_SO, ALWAYS):  # the cut of the host leaves next to nothing
+        tree = cut_tree(own, level)
+        found = read(page, tree, [""] if left else chosen(weighed(own, tree)))
+        if found[0] and found[1] > kept:
+            return found[0]
     return blocks
 
 
@@ -430,31 +519,47 @@ def fold_rows(rows: Iterator[tuple[str, str]]) -> dict[str, list]:
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """(host, wrapper): the wrapper of every host as JSON, from rows (host, html)."""
+    """(host, layout, wrapper): the wrapper of every layout of a host as JSON, from rows (host, html)."""
+
+    def rows_of(held: dict[tuple[str, str], list]) -> pd.DataFrame:
+        hosts, layouts = [h for h, _ in held], [x for _, x in held]
+        return pd.DataFrame({"host": hosts, "layout": layouts, "wrapper": [json.dumps(w) for w in held.values()]})
 
     def of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, list] = {}
+        held: dict[tuple[str, str], list] = {}
         for batch in batches:
             for host, html in zip(batch["host"], batch["html"], strict=True):
-                made = wrapper_of(parse(html))
-                held[host] = merged(held[host], made) if host in held else made
+                page = parse(html)
+                made, key = wrapper_of(page), (host, layout_of(page))
+                held[key] = merged(held[key], made) if key in held else made
             if len(held) > 2_000:  # many hosts in one task: hand over what there is
-                yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]})
+                yield rows_of(held)
                 held = {}
         if held:
-            yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]})
+            yield rows_of(held)
 
     def together(group: pd.DataFrame) -> pd.DataFrame:
         parts = sorted(group["wrapper"])
         whole = json.loads(parts[0])
         for part in parts[1:]:
             whole = merged(whole, json.loads(part))
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(whole)]})
+        return rows_of({(group["host"].iloc[0], group["layout"].iloc[0]): whole})
 
-    parts = pages.select("host", "html").where("html != ''").mapInPandas(of_pages, "host string, wrapper string")
+    names = "host string, layout string, wrapper string"
+    parts = pages.select("host", "html").where("html != ''").mapInPandas(of_pages, names)
     parts = landed(parts, "wrapper_parts").withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(PARTS)))
-    some = parts.groupBy("host", "part").applyInPandas(together, "host string, wrapper string")
-    return some.groupBy("host").applyInPandas(together, "host string, wrapper string")
+    some = parts.groupBy("host", "layout", "part").applyInPandas(together, names)
+    return some.groupBy("host", "layout").applyInPandas(together, names)
+
+
+def cuts(wrappers: DataFrame) -> DataFrame:
+    """(host, actions): what to do with the pages of every host, as JSON; layouts are few, as their names are."""
+
+    def cut(group: pd.DataFrame) -> pd.DataFrame:
+        layouts = {x: json.loads(w) for x, w in sorted(zip(group["layout"], group["wrapper"], strict=True))}
+        return pd.DataFrame({"host": [group["host"].iloc[0]], "actions": [json.dumps(cut_wrappers(layouts))]})
+
+    return wrappers.groupBy("host").applyInPandas(cut, "host string, actions string")
 
 
 def extract(
@@ -465,11 +570,7 @@ def extract(
         pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")), "html", "url"
     )
 
-    @F.pandas_udf("string")
-    def cut(wrappers: pd.Series) -> pd.Series:
-        return wrappers.map(lambda w: json.dumps(cut_wrapper(json.loads(w))))
-
-    wrappers = landed(infer(rows).select("host", cut("wrapper").alias("actions")), "wrappers")
+    wrappers = landed(cuts(infer(rows)), "wrappers")
 
     @F.pandas_udf("string")
     def main_text(htmls: pd.Series, actions: pd.Series) -> pd.Series:

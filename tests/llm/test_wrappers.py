@@ -69,3 +69,21 @@ def test_siblings_of_one_key_keep_apart(spark):
     other = "<article><h1>H9</h1><p><a href='/x'>Read on 9</a></p><ul><li>item</li></ul><p>{0}</p></article>"
     short = "<article><h1>H8</h1><p>{0}</p></article>"
     assert all(t in x for t, x in zip(told, texts_of(spark, [other.format(w) for w in words[:7]] + [short.format(words[7])]), strict=True))
+
+
+def test_layouts_of_one_host(spark):
+    told = [f"Page {n} tells a long story of its own, and no other page does" for n in range(12)]
+    article = "<body><nav>Menu</nav><article><h1>H{0}</h1><p>{1}</p></article></body>"
+    prose = "<body><nav>Menu</nav><div class='prose'><h1>H{0}</h1><p>{1}</p></div></body>"
+    content = "<body><nav>Menu</nav><div class='content'><h1>H{0}</h1><p>{1}</p></div></body>"
+    wanted = [f"H{n}\n\n{t}" for n, t in enumerate(told)]
+    for few, many in ((article, prose), (prose, content), (prose, article)):
+        assert texts_of(spark, [(few if n < 4 else many).format(n, t) for n, t in enumerate(told)]) == wanted
+    plain = "<body><div class='layout no-sidebar'><h1>H{0}</h1><p>{1}</p></div><div class='sidebar'><p>Most read</p></div></body>"
+    assert texts_of(spark, [plain.format(n, t) for n, t in enumerate(told)]) == wanted
+    # a layout of few pages, and copies of one page: the cut of the host leaves nothing of them
+    assert texts_of(spark, [(plain if n < 2 else article).format(n, t) for n, t in enumerate(told)]) == wanted
+    assert texts_of(spark, [prose.format(7, told[7])] * 6) == [f"H7\n\n{told[7]}"] * 6
+    talk = "<body><div>{1}</div><div class='comments'><p>" + "I think {0} so. " * 30 + "</p></div></body>"
+    assert texts_of(spark, [talk.format(n, t) for n, t in enumerate(told)])[3].startswith(told[3])
+    assert texts_of(spark, ["<body><nav>Menu only</nav></body>"]) == [""]
