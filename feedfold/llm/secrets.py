@@ -1,9 +1,11 @@
 """Secrets in source, configuration and prose, found by patterns and by reading assignments.
 
 Three fixed patterns give the base spans. Beyond them, the text is read the
-way a lexer reads source and configuration: every line (and every part
-between ``;`` or ``,``) that has the form *name, sign, value* gives a pair of a name and a
-literal or another name. Names that stand for literals are followed (constants
+way a lexer reads source and configuration: every *name, sign, value*, perhaps with a
+type between a colon and the sign, gives a pair of a name and a literal or another name. Unquoted
+values are read again for pairs inside them. An unquoted value is another name if it has no digits or
+is assigned in the document. In ``a: b = value`` both ``a`` and ``b`` are given the
+value, as ``b`` may be a type or a name. Names that stand for literals are followed (constants
 are propagated, through chains, within the document), and a literal is scored by
 the names it reaches: the words of the name (split at case, digits and
 punctuation) against sensitive words, the literal's length, its characters and its
@@ -57,10 +59,14 @@ STAND_INS = re.compile(r"(?i)^(?:x+|\*+|<.*>|\$\{.*\}|\{\{.*\}\}|your[-_ ].*|cha
 THRESHOLD = 6.0
 MIN_LITERAL = 8
 
-PAIR = re.compile(
-    r"""(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*)["']?\]?[ \t]*(?P<sign>:=|=>|[:=])(?!=)[ \t]*"""
+SIGN = re.compile(r"(?::=|=>|[:=])(?!=)[ \t]*")
+VALUE = re.compile(
     r"""(?:"(?P<double>[^"\n]*)"|'(?P<single>[^'\n]*)'|`(?P<tick>[^`\n]*)`|(?P<bare>[^\s"'`,;(){}\[\]]+))"""
 )
+NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
+TYPE = r"(?:(?:[&*]|'[a-z_]+[ ])*(?:(?:mut|dyn|const|final|readonly)[ ])?[A-Za-z_][\w.]*(?:::\w+)*|\[[^\n=\]]*\])(?:<[^\n=;\"]*>|\[[^\n=;\"\]]*\])*[?!*]*"
+#: A type between a colon and the sign of a declaration.
+ANNOTATED = re.compile(rf"(?P<type>{TYPE}(?:[ \t]*\|[ \t]*{TYPE})*)[ \t]*=(?![=>])", re.ASCII)
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 
@@ -97,34 +103,78 @@ def literal_score(literal: str) -> float:
     return min(len(literal), 32) / 16 + (kinds - 1) + max(0.0, entropy(literal) - 2.5)
 
 
+def name_before(text: str, sign: int, floor: int) -> str:
+    """The name that ends before a sign, perhaps in quotes or brackets or marked optional; empty if there is none."""
+    end = sign
+    while end > floor and text[end - 1] in " \t":
+        end -= 1
+    for marks in ("?!", "]", "\"'"):
+        if end > floor and text[end - 1] in marks:
+            end -= 1
+    start = end
+    while start > floor and text[start - 1] in NAME_CHARS:
+        start -= 1
+    return text[start:end].lstrip("0123456789.-")
+
+
 def lexed_spans(text: str) -> list[tuple[int, int, str]]:
     """Literals that a sensitive name is given, directly or through other names."""
     if "=" not in text and ":" not in text:
         return []
-    literals: list[tuple[str, str, int, int]] = []
-    aliases: dict[str, set[str]] = {}  # from a name to the names that take its value
-    for m in PAIR.finditer(text):
-        quoted = next((g for g in ("double", "single", "tick") if m[g] is not None), None)
-        value, (start, end) = m[quoted or "bare"], m.span(quoted or "bare")
-        if not quoted and IDENTIFIER.match(value) and not any(c.isdigit() for c in value):
-            aliases.setdefault(value, set()).add(m["name"])
+    pairs: list[tuple[str, str, str, int, int]] = []  # name, name it is the type of, word of a bare value, place of the value
+    by_colon: dict[str, set[str]] = {}  # from a name to the names that take its value
+    by_equals: dict[str, set[str]] = {}
+    bare: list[tuple[str, str, str]] = []
+    declared, declares, at, floor, run = "", -1, 0, 0, 0
+    while m := SIGN.search(text, at):
+        at = m.end()
+        name = name_before(text, m.start(), floor)
+        outer = declared if m.start() == declares else ""
+        colon = m[0].rstrip() == ":"
+        typed = ANNOTATED.match(text, at) if colon and name else None
+        if typed:
+            declared, declares = name, text.index("=", typed.end("type"))
+        if at < run:  # inside a bare value, which ends where the outer one ends
+            plain, start, end = True, at, run
+        elif value := VALUE.match(text, at):
+            plain = value.lastgroup == "bare"
+            start, end = value.span(value.lastgroup)
+            if plain:
+                run = end
+            else:
+                at = floor = value.end()
         else:
-            literals.append((m["name"], value, start, end))
-    found = []
-    for name, value, start, end in literals:
-        worth = literal_score(value)
-        if worth == -math.inf:
             continue
-        reached, best = [name], -math.inf
-        seen = {name}
+        if not (name or outer) or (typed and start <= typed.start() and end <= declares):
+            continue
+        word = text[start:end] if plain and IDENTIFIER.match(text[start:end]) else ""
+        pairs.append((name, outer, word, start, end))
+        if word:
+            bare.append((":" if colon else "=", outer or name, word))
+    assigned = {n for name, outer, *_ in pairs for n in (name, outer)}
+    another = {w for w in {b[2] for b in bare} if w in assigned or not any(c.isdigit() for c in w)}
+    for sign, name, word in bare:
+        if word in another:
+            (by_colon if sign == ":" else by_equals).setdefault(word, set()).add(name)
+    found: list[tuple[int, int, str]] = []
+    for name, outer, word, start, end in pairs:
+        if word in another or (found and found[-1][0] <= start and end <= found[-1][1]):
+            continue
+        # before a sign and after a colon may stand a type: what is declared to be of it does not take this value
+        seen = {n for n in (name, outer) if n}
+        best = max(map(name_score, seen))
+        reached = [outer or name]
+        if outer and name:
+            more = by_equals.get(name, set()) - seen
+            seen |= more
+            reached += more
         while reached:
             now = reached.pop()
             best = max(best, name_score(now))
-            for other in aliases.get(now, ()):
-                if other not in seen:
-                    seen.add(other)
-                    reached.append(other)
-        if best > 0 and best + worth >= THRESHOLD:
+            for other in (by_colon.get(now, set()) | by_equals.get(now, set())) - seen:
+                seen.add(other)
+                reached.append(other)
+        if best > 0 and best + literal_score(text[start:end]) >= THRESHOLD:
             found.append((start, end, "lexed"))
     return found
 

@@ -55,3 +55,23 @@ def test_masking(spark):
     rows = secrets.redact(frame)
     assert rows.columns == frame.columns
     assert {r["doc_id"]: r["text"] for r in rows.collect()} == {1: secrets.masked(text), 2: None, 3: "", 4: "plain"}
+
+
+def test_declarations_and_inner_pairs():
+    literal = "S3cr3tV4lue99"
+    for declared in (
+        'dbPwd: string = "%s"', 'val dbPwd: String = "%s"', "const DB_PWD: &'static str = \"%s\";", 'password: str = "%s"',
+        'password?: string | null = "%s"', "let token: Option<&str> = '%s'", 'password: string="%s"', 'pwd: Optional[str] = "%s"',
+        'auth_secret: Dict[str, str] = "%s"; apiKey: string = "%s"',
+    ):
+        text = declared.replace("%s", literal)
+        assert literal in lexed(text), text
+        assert literal not in secrets.masked(text), text
+    assert lexed("INFO: auth_key=Zx81Qp72Lm93") == ["Zx81Qp72Lm93"]
+    assert lexed("url=https://h.org/?a=1;log:auth_key=Zx81Qp72Lm93") == ["Zx81Qp72Lm93"]
+    assert lexed('K2 = "Zx81-Qp72-Lm93-Tt"; SECRET_KEY = K2') == ["Zx81-Qp72-Lm93-Tt"]
+    assert lexed('LOG: k2="Zx81-Qp72-Lm93-Tt"; SECRET_KEY = k2') == ["Zx81-Qp72-Lm93-Tt"]
+    assert lexed("auth_key = Zx81Qp72Lm93") == ["Zx81Qp72Lm93"]
+    # a type that a secret has is no name of other values of the type
+    assert lexed('dbPwd: string;\ntitle: string = "PublicTitle-2024x"') == []
+    assert lexed("a=" * 3_000) == []
