@@ -46,6 +46,8 @@ MANTISSA = 10
 #: An estimate may lie so many standard errors below the similarity and still be checked.
 ERRORS = 6
 BLOCK = 512
+#: Orders rows by id, null ids last, and by text.
+NAMED = "struct(d IS NULL AS nameless, d, t)"
 EMPTY = np.uint16(0xFFFF)
 
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -249,15 +251,14 @@ def left_apart(bands: DataFrame, classes: DataFrame, labels: DataFrame, percent:
     return blocks.applyInPandas(compare, "a long, b long").distinct()
 
 
-def resolve(
-    docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Per row (d, t, n, component): id, hash of the text, size of its set and smallest id of its component."""
+def with_firsts(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """What ``resolve`` gives, and first: the smallest hash of a text that has the smallest id in the component."""
     docs = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text"))
     rows = landed(sketched(docs, k, "d", "text"), "sketches")
     classes = rows.where("x IS NOT NULL").groupBy("x").agg(
-        F.min("d").alias("d"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min(F.expr(NAMED)).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
+    classes = classes.select("x", "least.d", "least.t", "n", "sketch")
     classes = landed(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
     bands = bands_of(classes)
     shared = bands.groupBy("band").agg(F.min("c").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -270,22 +271,36 @@ def resolve(
     if not more.isEmpty():
         labels = components(labels.union(more))
     named = classes.join(labels.withColumnRenamed("u", "c"), "c", "left").select(
-        "x", "d", F.coalesce("v", "c").alias("label")
+        "x", "d", "t", F.coalesce("v", "c").alias("label")
     )
-    smallest = named.groupBy("label").agg(F.min("d").alias("component"))
-    by_class = landed(named.join(smallest, "label").select("x", "component"), "class_components")
+    smallest = named.groupBy("label").agg(F.min(F.expr(NAMED)).alias("least"))
+    by_class = named.select("x", "label").join(smallest, "label")
+    by_class = landed(by_class.select("x", F.col("least.d").alias("component"), F.col("least.t").alias("first")), "class_components")
+    alone = F.col("x").isNull()
     return rows.join(by_class, "x", "left").select(
-        "d", "t", "n", F.when(F.col("x").isNull(), F.col("d")).otherwise(F.col("component")).alias("component")
+        "d",
+        "t",
+        "n",
+        F.when(alone, F.col("d")).otherwise(F.col("component")).alias("component"),
+        F.when(alone, F.col("t")).otherwise(F.col("first")).alias("first"),
     )
 
 
+def resolve(
+    docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per row (d, t, n, component): id, hash of the text, size of its set and smallest id of its component."""
+    return with_firsts(docs, k, percent, id_col, text_col).drop("first")
+
+
 def dedup(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of documents that stay: one of each component, with all their columns.
 
-    Rows that repeat an id and its text are reduced to one.
+    Rows are named by id and text, as ids may be null or repeated; the smallest name of a component
+    stays, null ids last. Rows that repeat an id and its text are reduced to one.
     """
-    found = landed(resolve(docs, k, percent, id_col, text_col), "found_components")
-    gone = found.where("NOT d <=> component").select("d", "t").distinct()
+    found = landed(with_firsts(docs, k, percent, id_col, text_col), "found_components")
+    gone = found.where("NOT (d <=> component AND t = first)").select("d", "t").distinct()
     twice = found.groupBy("d", "t").agg(F.count("*").alias("n")).where("n > 1").select("d", "t")
 
     def same(rows: DataFrame):

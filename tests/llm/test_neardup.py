@@ -83,3 +83,15 @@ def test_estimates():
             a, b = neardup.registers(pool[n:]), neardup.registers(pool[: 2000 - n])
             found.append(neardup.estimates(a[None], b[None])[0])
         assert abs(np.mean(found) - overlap) < 0.02
+
+
+def test_one_stays_of_null_and_shared_ids(spark):
+    base = [f"w{i}" for i in range(100)]
+    near = [" ".join([*base[:-1], f"end{n}"]) for n in range(6)]
+    far = [" ".join(f"{w}x" for w in [*base[:-1], f"end{n}"]) for n in range(6)]
+    docs = [(None, t) for t in near] + [(4, t) for t in far] + [(None, near[0]), (4, far[0]), (9, far[1] + " y"), (None, ""), (None, "q r s")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = [tuple(r) for r in neardup.dedup(frame, k=4).collect()]
+    assert sum(t in near for _, t in kept) == 1
+    assert [i for i, t in kept if t in far or t.endswith(" y")] == [4]
+    assert sorted(t for _, t in kept if len(t) < 10) == ["", "q r s"] and len(kept) == 4
