@@ -92,12 +92,18 @@ def stored_patches(rows: DataFrame, keys: Sequence[str], groups: Groups) -> Data
     )
 
 
-def combine(rows: DataFrame, keys: Sequence[str], groups: Groups, *extra: Column) -> DataFrame:
-    """Fold patches to one per key; ``extra`` are further aggregates."""
+def combine(
+    rows: DataFrame, keys: Sequence[str], groups: Iterable[str], *extra: Column, found: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Fold patches to one per key; ``extra`` are further aggregates.
+
+    ``found`` gives the values of groups that are not columns of that name.
+    """
     values = []
     for name in groups:
-        counts = F.col("reset") | F.col(name).isNotNull()
-        values.append(F.max_by(name, F.when(counts, F.col("ord"))).alias(name))
+        value = (found or {}).get(name, F.col(name))
+        counts = F.col("reset") | value.isNotNull()
+        values.append(F.max_by(value, F.when(counts, F.col("ord"))).alias(name))
     return rows.groupBy(*keys).agg(
         F.max("ord").alias("ord"),
         F.max_by("alive", "ord").alias("alive"),

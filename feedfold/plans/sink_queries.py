@@ -7,15 +7,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedfold.operators.layout import Layout
 from feedfold.options import Options
 from feedfold.plans import build, fixtures, fold_queries, schema_queries
 from feedfold.plans.feed_queries import LOG
 from feedfold.session import scratch_path
-from feedfold.sinks import lake
+from feedfold.sinks import buckets, lake
 from feedfold.sinks.store import TableStore
 from feedfold.sources.feed import FEED_SCHEMA, read_feed, stream_feed
 from feedfold.streaming.apply import FeedSink
-from feedfold.streaming.stateful import merge_stream
+from feedfold.streaming.merge import RowMerger
 
 # The feed lands in slices that are cut at the start of these days; the first and the last are open.
 LANDINGS = ["2024-01-09", "2024-01-16", "2024-01-24"]
@@ -53,23 +54,23 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patch merge with one row of state per key; the last output of a key is its row."""
+    """Patch merge that gives out the changed rows of each batch; the last output of a key is its row."""
     root = scratch_path(spark, "stream_merge")
     options = Options(profile="row_cache", allow_missing=True)
-    feed = fixtures.user_feed(spark, sf_dir)
-    for rows in _slices(feed):
+    store = TableStore(spark, f"{root}/rows", options)
+
+    def keep(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{root}/merged/batch={batch}")
+
+    merger = RowMerger(store, fold_queries.USER_KEY, fold_queries.USER_VALUE, keep)
+    for number, rows in enumerate(_slices(fixtures.user_feed(spark, sf_dir))):
         _land(rows, f"{root}/feed")
         records = build.prepare(stream_feed(spark, f"{root}/feed"), options)
         records = build.with_typed_key(records, fold_queries.USER_KEY, options)
         records = build.with_typed_value(records, fold_queries.USER_VALUE, options)
-        merged = merge_stream(records, fold_queries.USER_KEYS, ["event_type", "value"])
-
-        def keep(changed: DataFrame, batch: int) -> None:
-            changed.write.mode("overwrite").parquet(f"{root}/merged/batch={batch}")
-
-        writer = merged.writeStream.outputMode("update").foreachBatch(keep)
-        writer = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-        writer.start().awaitTermination()
+        merger.start(records, f"{root}/checkpoint").awaitTermination()
+        if number == 1:
+            store.compact()
     outputs = spark.read.parquet(f"{root}/merged")
     last = outputs.groupBy(*fold_queries.USER_KEYS).agg(
         F.max_by(F.struct("alive", "event_type", "value"), F.struct("partition", "offset")).alias("_last")
@@ -119,12 +120,72 @@ BUCKET_BALANCE = f"""
 SELECT table_name, count(*) AS records, count(*) AS placed
 FROM ({fold_queries.UPSERT_LATEST}) GROUP BY 1"""
 
+def bucket_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys per hash bucket of stored tables, after a compaction and another batch, read from the buckets' files."""
+    schemas = {f"app_t_{n}": (fixtures.KEY_FIELDS, fixtures.VALUE_FIELDS[2:]) for n in range(16)}
+    store = TableStore(spark, scratch_path(spark, "bucket_store"), Options())
+    sink = FeedSink(store, schemas)
+    for batch, rows in enumerate(_slices(fixtures.flat_feed(spark, sf_dir))[:2]):
+        sink.apply(rows, batch)
+        store.compact()
+    units: dict[str, Layout] = {path: e.layout for e in store.catalog().tables.values() for path, _ in e.base}
+    held = [buckets.read_unit(spark, path, store.patch_schema(layout)) for path, layout in units.items()]
+    rows = [frame.select(F.col("table").alias("table_name"), buckets.BUCKET, "key.user_id", "key.k") for frame in held]
+    places = reduce(DataFrame.union, rows).groupBy("table_name", "user_id", "k").agg(
+        F.count_distinct(buckets.BUCKET).alias("places"), F.max(buckets.BUCKET).alias("bucket")
+    )
+    return places.groupBy("table_name", "bucket").agg(
+        F.count("*").alias("keys"), F.max("places").alias("most_places"), F.sum(F.col("user_id") * 100 + F.col("k")).alias("key_sum")
+    )
+
+
+def _hash_sql(source: str, parts: list[tuple[str, int]], name: str) -> str:
+    """Steps of the 32-bit hash of numbers, over ``source``; each part is an expression and the bytes of its number."""
+    mask, steps = 4294967295, []
+
+    def step(expression: str) -> None:
+        steps.append(f"{name}{len(steps)} AS (SELECT * REPLACE ({expression}) FROM {name if steps else source}{len(steps) - 1 if steps else ''})")
+
+    def turned(value: str, by: int) -> str:
+        return f"((({value}) << {by}) & {mask}) | (({value}) >> {32 - by})"
+
+    def times(value: str, by: int) -> str:
+        return f"CAST(CAST({value} AS HUGEINT) * {by} % 4294967296 AS BIGINT)"
+
+    for value, size in parts:
+        for word in range(size // 4):
+            step(f"({value} >> {32 * word}) & {mask} AS w")
+            step(f"{times('w', 0xCC9E2D51)} AS w")
+            step(f"{times('(' + turned('w', 15) + ')', 0x1B873593)} AS w")
+            step("xor(h, w) AS h")
+            step(f"({turned('h', 13)}) * 5 + {0xE6546B64} & {mask} AS h")
+        step(f"xor(h, {size}) AS h")
+        step("xor(h, h >> 16) AS h")
+        step(f"{times('h', 0x85EBCA6B)} AS h")
+        step("xor(h, h >> 13) AS h")
+        step(f"{times('h', 0xC2B2AE35)} AS h")
+        step("xor(h, h >> 16) AS h")
+    return ", ".join([*steps, f"{name} AS (SELECT * FROM {name}{len(steps) - 1})"])
+
+
+BUCKET_STORE = f"""
+WITH {LOG}, rows AS (
+  SELECT table_name, user_id, k, CAST(42 AS BIGINT) AS h, CAST(0 AS BIGINT) AS w FROM (
+    SELECT *, row_number() OVER (PARTITION BY table_name, user_id, k ORDER BY event_id DESC) AS rn
+    FROM log WHERE ts < TIMESTAMP '{LANDINGS[1]} 00:00:00'
+  ) WHERE rn = 1 AND op = 'u'
+), {_hash_sql("rows", [("user_id", 8), ("CAST(k AS BIGINT)", 4)], "hashed")}
+SELECT table_name, CAST(((h - CASE WHEN h >= 2147483648 THEN 4294967296 ELSE 0 END) % 5 + 5) % 5 AS INTEGER) AS bucket,
+       count(*) AS keys, CAST(1 AS BIGINT) AS most_places, CAST(sum(user_id * 100 + k) AS BIGINT) AS key_sum
+FROM hashed GROUP BY 1, 2"""
+
 QUERIES = {
     "feed_files": feed_files,
     "stream_apply": stream_apply,
     "stream_merge": stream_merge,
     "lake_write": lake_write,
     "bucket_balance": bucket_balance,
+    "bucket_store": bucket_store,
 }
 
 SQL = {
@@ -133,4 +194,5 @@ SQL = {
     "stream_merge": fold_queries.DELETE_REINSERT,
     "lake_write": fold_queries.UPSERT_LATEST,
     "bucket_balance": BUCKET_BALANCE,
+    "bucket_store": BUCKET_STORE,
 }

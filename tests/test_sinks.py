@@ -10,7 +10,6 @@ from feedfold.options import Options
 from feedfold.plans import build, fixtures
 from feedfold.session import landed, scratch_path
 from feedfold.sinks import lake
-from feedfold.streaming.stateful import fold_frame
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -115,21 +114,6 @@ def test_hot_key_is_folded_before_the_shuffle(spark):
     assert [tuple(r) for r in fold.latest(rows, ["k"], "v").collect()] == [(1, count - 1)]
 
 
-def test_fold_frame_is_the_fold():
-    import pandas as pd
-
-    rows = pd.DataFrame(
-        [
-            (1, 0, 1, True, False, "x", True), (1, 0, 2, False, True, None, False), (2, 0, 3, True, False, "y", True),
-            (1, 0, 5, True, False, None, False), (2, 0, 4, True, False, None, False),
-        ],
-        columns=["k", "partition", "offset", "alive", "reset", "a", "has_a"],
-    )
-    folded = fold_frame(rows, ["k"], ["a"]).set_index("k")
-    assert folded.loc[1, ["offset", "alive", "reset", "has_a"]].tolist() == [5, True, True, False]
-    assert folded.loc[2, ["offset", "alive", "reset", "a", "has_a"]].tolist() == [4, True, False, "y", True]
-
-
 def test_strict_batch_plans_raise(spark):
     rows = spark.createDataFrame([("t", None), ("t", "k")], "`table` string, key string")
     flagged = records.split_rejects(rows, {"null_key": records.null_key(rows)})

@@ -95,14 +95,90 @@ def test_splits_replay_compaction_and_as_of(spark):
     assert tuple(counts) == (11, 11)
 
 
-def test_changed_keys_beyond_the_limit_give_the_same_rows(spark, monkeypatch):
-    sink, store = sink_on(spark, "limit")
-    apply(sink, 0, upsert(1, AB, {"id": 1, "a": "x", "b": 1}), upsert(2, AB, {"id": 2, "a": "y", "b": 2}))
+def numbered(n, a="x", offset=None):
+    return upsert(n if offset is None else offset, AB, {"id": n, "a": a, "b": n})
+
+
+def test_reading_base_and_deltas_needs_no_shuffle(spark, capsys):
+    sink, store = sink_on(spark, "buckets")
+    apply(sink, 0, *[numbered(n) for n in range(60)])
+    store.compact()
+    apply(sink, 1, delete(60, 1), numbered(70, "z"))
+    apply(sink, 2, numbered(2, "w", 71))
+    rows = store.current("t")
+    rows.explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 3
+    want = [(n, "w" if n == 2 else "x", n) for n in range(60) if n != 1] + [(70, "z", 70)]
+    assert sorted(map(tuple, rows.collect())) == want
+    apply(sink, 3, numbered(3, "v", 80))
+    store.compact()
+    assert sorted(map(tuple, store.current("t").collect())) == [(3, "v", 3) if r[0] == 3 else r for r in want]
+
+
+def test_compaction_leaves_other_buckets_alone(spark):
+    sink, store = sink_on(spark, "compaction")
+    apply(sink, 0, *[numbered(n) for n in range(60)], upsert(90, AB, {"id": 1, "a": "u", "b": 1}, topic="u"))
+    store.compact()
+    before = store.catalog().tables["t"].base
+    assert [held for _, held in before] == [(0, 1, 2, 3, 4)]
+    apply(sink, 1, numbered(7, "z", 100))
+    bucket = spark.sql("SELECT pmod(hash(named_struct('id', 7L)), 5) AS b").head().b
+    store.compact()
+    after = store.catalog().tables
+    assert [held for _, held in after["t"].base] == [tuple(b for b in range(5) if b != bucket), (bucket,)]
+    assert after["t"].base[0][0] == before[0][0] and len(after["u"].base) == 1 and not after["t"].deltas
+    assert held(store) == sorted([(n, "z" if n == 7 else "x", n) for n in range(60)], key=str)
+    assert held(store, "u") == [(1, "u", 1)]
+    # every row of the bucket goes; its folder is then empty
+    apply(sink, 2, *[delete(200 + n, n) for n in range(60)])
+    store.compact()
+    assert held(store) == [] and held(store, "u") == [(1, "u", 1)]
+
+
+def test_columns_that_come_back_stay_empty_in_buckets_that_compaction_left_alone(spark):
+    sink, store = sink_on(spark, "since")
+    apply(sink, 0, *[numbered(n) for n in range(20)])
+    store.compact()
+    apply(sink, 1, upsert(100, {"a": "string"}, {"id": 100, "a": "y"}))
+    apply(sink, 2, upsert(101, AB, {"id": 101, "a": "z", "b": 1}))
+    want = sorted([*((n, "x", None) for n in range(20)), (100, "y", None), (101, "z", 1)], key=str)
+    assert held(store) == want
+    store.compact()
+    assert len(store.catalog().tables["t"].base) == 2 and held(store) == want
+    apply(sink, 3, *[numbered(n, "q", 200 + n) for n in range(20)])
+    store.compact()
+    store.compact()
+    assert held(store) == sorted([*((n, "q", n) for n in range(20)), (100, "y", None), (101, "z", 1)], key=str)
+
+
+def test_another_number_of_buckets_rewrites_all(spark):
+    sink, store = sink_on(spark, "rebucket")
+    apply(sink, 0, *[numbered(n) for n in range(30)])
     store.compact()
-    apply(sink, 1, delete(3, 1), upsert(4, AB, {"id": 3, "a": "z", "b": 3}))
-    small = held(store)
-    monkeypatch.setattr("feedfold.sinks.store.CHANGED_KEYS", 0)
-    assert held(store) == small == [(2, "y", 2), (3, "z", 3)]
+    wider = TableStore(spark, store.root, Options(buckets=7))
+    apply(FeedSink(wider), 1, numbered(3, "z", 50))
+    want = sorted([(n, "z" if n == 3 else "x", n) for n in range(30)], key=str)
+    assert held(wider) == want
+    wider.compact()
+    (base,) = wider.catalog().tables["t"].base
+    assert base[1] == tuple(range(7)) and held(wider) == want
+
+
+def test_finding_the_newest_catalog_reads_a_bounded_number_of_versions(spark, monkeypatch):
+    store = TableStore(spark, scratch_path(spark, "versions"), Options())
+    catalog = store.catalog()
+    for _ in range(37):
+        catalog = store.commit(catalog)
+    read = []
+    versions = TableStore._versions
+    monkeypatch.setattr(TableStore, "_versions", lambda self, *about: read.append(about) or versions(self, *about))
+    assert TableStore(spark, store.root, Options()).catalog().version == 37
+    assert store.catalog().version == 37
+    assert read == [(32, 48), (37, 53)]
+    # a note that is lost is made up for from the first version on
+    spark.createDataFrame([], "version bigint").write.mode("overwrite").parquet(f"{store.root}/head")
+    assert TableStore(spark, store.root, Options()).catalog().version == 37
 
 
 def test_dropped_column_comes_back_empty(spark):
