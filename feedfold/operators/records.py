@@ -44,9 +44,9 @@ def drop_disabled_deletes(records: DataFrame, options: Options) -> DataFrame:
 
 
 def first_upserts(records: DataFrame) -> DataFrame:
-    """Arrival order of the first upsert of each table that has one."""
+    """Arrival order of the first upsert of each table that has one; one without a key does not count."""
     return (
-        records.filter(F.col("op") == UPSERT)
+        records.filter((F.col("op") == UPSERT) & F.col("key").isNotNull())
         .groupBy("table")
         .agg(F.min(order_of_record()).alias("first_upsert"))
     )

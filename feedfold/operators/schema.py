@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,17 +101,40 @@ def change_points(log: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def numbered_changes(log: DataFrame, span: int = SPAN) -> DataFrame:
-    """Change points with ``epoch``, counted from 1 per table."""
-    return running_total(change_points(log, span), ["table"], F.lit(1), "epoch", span)
+    """Change points with ``epoch``, counted from 1 per table and topic partition."""
+    return running_total(change_points(log, span), ["table", "partition"], F.lit(1), "epoch", span)
 
 
 def with_epochs(log: DataFrame, span: int = SPAN) -> DataFrame:
-    """Add ``epoch``: how many schema changes of the table lie at or before the record.
+    """Add ``epoch``: how many schema changes lie at or before the record in its topic partition.
 
-    Rows of one epoch are written before the next epoch's change is made.
+    Partitions have no order among each other. Rows of one epoch of a partition are
+    written before the next epoch's change is made.
     """
     rows = flag_changes(log, span)
-    return running_total(rows, ["table"], F.col("changed").cast("int"), "epoch", span)
+    return running_total(rows, ["table", "partition"], F.col("changed").cast("int"), "epoch", span)
+
+
+def epoch_vectors(epochs: DataFrame) -> DataFrame:
+    """Per table, the last epoch of each partition, and how far all and any of them are.
+
+    ``epochs`` has ``table, partition, epoch``, in any number of rows. ``frontier`` is the epoch
+    that every partition of the table has reached: the changes up to it are behind all
+    partitions. ``ahead`` is the furthest one.
+    """
+    ends = epochs.groupBy("table", "partition").agg(F.max("epoch").alias("epoch"))
+    place = F.struct("partition", "epoch")
+    return ends.groupBy("table").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(place))).alias("vector"),
+        F.min("epoch").alias("frontier"),
+        F.max("epoch").alias("ahead"),
+    )
+
+
+def with_frontier(epochs: DataFrame) -> DataFrame:
+    """Add ``settled``: whether the table's frontier has reached the row's epoch."""
+    known = attach(epochs, epoch_vectors(epochs).select("table", "frontier"), ["table"])
+    return known.withColumn("settled", F.col("epoch") <= F.col("frontier")).drop("frontier")
 
 
 def schema_catalog(log: DataFrame) -> DataFrame:
@@ -145,7 +170,11 @@ def schema_diff(fields: DataFrame, columns: DataFrame, on: list[str]) -> DataFra
 
 
 def needs_change(diff: DataFrame, on: list[str], allow_missing: bool) -> DataFrame:
-    """Whether the table must be altered, and whether it cannot be."""
+    """Whether the table must be altered, and whether it cannot be.
+
+    The same rule decides over all columns of a record's value and, apart from it, over the fields
+    of its key against the table's key columns; ``needs_any_change`` joins the two.
+    """
     new = F.bool_or(F.col("status") == NEW)
     dropped = F.bool_or(F.col("status") == DROPPED)
     change = new if allow_missing else new | dropped
@@ -154,29 +183,39 @@ def needs_change(diff: DataFrame, on: list[str], allow_missing: bool) -> DataFra
     )
 
 
+def needs_any_change(keys: DataFrame, values: DataFrame, on: list[str]) -> DataFrame:
+    """The decision over a record from those over its key and over its value; a delete has none over a value."""
+    sides = [
+        side.select(*on, F.col("needs_change").alias(f"{name}_change"), F.col("conflict").alias(f"{name}_conflict"))
+        for name, side in (("key", keys), ("value", values))
+    ]
+    either = sides[0].join(sides[1], on, "full_outer")
+    told = [F.coalesce(F.col(c), F.lit(False)) for c in ("key_change", "value_change", "key_conflict", "value_conflict")]
+    return either.select(*on, (told[0] | told[1]).alias("needs_change"), (told[2] | told[3]).alias("conflict"))
+
+
 def type_conflicts(diff: DataFrame) -> DataFrame:
     return diff.filter(F.col("status") == CONFLICT)
 
 
-def previous_layout(fields: DataFrame, allow_missing: bool) -> DataFrame:
+def previous_layout(fields: DataFrame, allow_missing: bool, by: Sequence[str] = ("table",)) -> DataFrame:
     """Columns the table has before each epoch, from the fields of all epochs.
 
-    ``fields`` has ``table, epoch, field, column_type``, keys included. Unless
-    missing fields are allowed, the table follows the last epoch exactly; else
-    it keeps every column once seen.
+    ``fields`` has ``by``, ``epoch, field, column_type``. Epochs are counted within ``by``,
+    which names the topic partition, too, where there are several. Unless missing fields
+    are allowed, the table follows the last epoch exactly; else it keeps
+    every column once seen.
     """
     if not allow_missing:
-        return fields.select(
-            "table", (F.col("epoch") + 1).alias("epoch"), "field", "column_type"
-        )
-    epochs = fields.select("table", "epoch").distinct()
-    since = fields.groupBy("table", "field").agg(
+        return fields.select(*by, (F.col("epoch") + 1).alias("epoch"), "field", "column_type")
+    epochs = fields.select(*by, "epoch").distinct()
+    since = fields.groupBy(*by, "field").agg(
         F.min("epoch").alias("since"), F.min_by("column_type", "epoch").alias("column_type")
     )
     return (
-        epochs.join(since, "table")
+        epochs.join(since, list(by))
         .filter(F.col("since") < F.col("epoch"))
-        .select("table", "epoch", "field", "column_type")
+        .select(*by, "epoch", "field", "column_type")
     )
 
 

@@ -34,23 +34,96 @@ def with_typed_key(rows: DataFrame, key_fields: Sequence[Field], options: Option
 
 def with_sound_key(rows: DataFrame, key_fields: Sequence[Field], options: Options) -> DataFrame:
     """Add the key columns; records whose key does not give all of them are left out."""
+    return _with_key(rows, key_fields, options).filter("_key_reason IS NULL").drop("_key_reason")
+
+
+def _with_key(rows: DataFrame, key_fields: Sequence[Field], options: Options) -> DataFrame:
+    """Add the key columns and ``_key_reason``: why the key is no good."""
     fields = list(key_fields)
     parsed = rows.withColumn("_key", decode_json(F.col("key"), fields, CORRUPT))
-    parsed = parsed.withColumn("_whole", looks_like_object(F.col("key")) & F.col("_key")[CORRUPT].isNull())
+    parsed = parsed.withColumn("_corrupt_key", F.col("_key")[CORRUPT].isNotNull())
     typed = convert.typed(parsed, "_key", fields, options)
-    there = [F.col(f.name).isNotNull() for f in fields]
-    return typed.filter(reduce(Column.__and__, there, F.col("_whole") & (F.size("failed") == 0))).drop("failed", "_whole")
+    lacks = reduce(Column.__or__, [F.col(f.name).isNull() for f in fields], F.lit(False))
+    reason = (
+        F.when(F.col("key").isNull(), "null_key")
+        .when(~looks_like_object(F.col("key")), "malformed_key")
+        .when(F.col("_corrupt_key") | (F.size("failed") > 0), "cast_failed")
+        .when(lacks, "null_key")
+    )
+    return typed.withColumn("_key_reason", reason).drop("failed", "_corrupt_key")
 
 
 def sound_values(rows: DataFrame, fields: Sequence[Field], options: Options, prefix: str = "") -> DataFrame:
     """Replace ``value`` by its columns (or add them, with a prefix); upserts with a bad value are left out."""
+    return _with_values(rows, fields, options, prefix).filter("_value_reason IS NULL").drop("_value_reason")
+
+
+def _with_values(rows: DataFrame, fields: Sequence[Field], options: Options, prefix: str = "") -> DataFrame:
+    """Replace ``value`` by its columns (or add them, with a prefix), and add ``_value_reason``: why an upsert's value is no good."""
     parsed = rows.withColumn("_value", decode_json(F.col("value"), list(fields), CORRUPT))
-    whole = (F.col("op") == records.DELETE) | (looks_like_object(F.col("value")) & F.col("_value")[CORRUPT].isNull())
-    parsed = parsed.withColumn("_whole", F.coalesce(whole, F.lit(False)))
+    malformed = ~F.coalesce(looks_like_object(F.col("value")), F.lit(False))
+    told = F.when(malformed, "malformed_value").when(F.col("_value")[CORRUPT].isNotNull(), "cast_failed")
+    parsed = parsed.withColumn("_told", told)
     if not prefix:
         parsed = parsed.drop("value")
     typed = convert.typed(parsed, "_value", list(fields), options, prefix)
-    return typed.filter(F.col("_whole") & (F.size("failed") == 0)).drop("failed", "_whole")
+    reason = F.coalesce("_told", F.when(F.size("failed") > 0, "cast_failed"))
+    return typed.withColumn("_value_reason", F.when(F.col("op") != records.DELETE, reason)).drop("failed", "_told")
+
+
+def flagged_records(
+    feed: DataFrame, key_fields: Sequence[Field], value_fields: Sequence[Field], options: Options
+) -> DataFrame:
+    """Routed, classified and typed records with ``reason``, from one parse of each.
+
+    Reasons are those of a stream whose tables have these keys. Value columns carry the
+    prefix ``v_``; ``key`` and ``value`` stay as they were sent.
+    """
+    names = [f.name for f in key_fields]
+    rows = prepare(feed, options)
+    keyed = _with_key(rows, key_fields, options)
+    typed = _with_values(keyed, [f for f in value_fields if f.name not in names], options, "v_")
+    other_key = records.key_changed(F.json_object_keys("key"), "_names")
+    no_object = ~F.coalesce(looks_like_object(F.col("key")), F.lit(False))
+    reason = F.coalesce(
+        F.when(no_object, F.col("_key_reason")),
+        F.when(F.col("stray"), "malformed_value"),
+        F.when(F.col("_value_reason") == "malformed_value", F.col("_value_reason")),
+        F.when(other_key, "delete_key_change"),
+        F.when(F.col("_key_reason") == "cast_failed", "cast_failed"),
+        F.col("_value_reason"),
+        F.col("_key_reason"),
+    )
+    flagged = typed.withColumn("_names", F.array(*map(F.lit, names))).withColumn("reason", reason)
+    return flagged.drop("_names", "_key_reason", "_value_reason")
+
+
+def rows_and_rejects(
+    feed: DataFrame, key_fields: Sequence[Field], value_fields: Sequence[Field], options: Options
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Current rows, the reject table, and counts of records by table and operation.
+
+    The feed is read and parsed once: flagged records are written down, and all three
+    results come from there. With ``strict`` a reject raises.
+    """
+    key_names = [f.name for f in key_fields]
+    columns = [f.name for f in value_fields if f.name not in key_names]
+    keys = ["table", *key_names]
+    flagged = landed(flagged_records(feed, key_fields, value_fields, options), "flagged")
+    enabled = F.lit(options.deletes) | (F.col("op") != records.DELETE)
+    leading = F.col("leading") if options.evolves else F.lit(False)
+    counted = records.flag_leading_deletes(flagged).withColumn("applied", F.col("reason").isNull() & enabled & ~leading)
+    counts = records.op_counts(counted, "table")
+    good = records.drop_disabled_deletes(records.accepted(flagged, options), options)
+    if options.null_overwrites:
+        rows = fold.latest(good, keys, *[f"v_{c}" for c in columns])
+        rows = rows.select(*keys, *[F.col(f"v_{c}").alias(c) for c in columns])
+    else:
+        groups = fold.single_groups([f"v_{c}" for c in columns])
+        present = {g: F.col(members[0]).isNotNull() for g, members in groups.items()}
+        rows = fold.fold(good, keys, groups, present)
+        rows = rows.select(*keys, *[F.col(f"v_{c}").alias(c) for c in columns])
+    return rows, records.rejected(flagged), counts
 
 
 def with_typed_value(

@@ -226,6 +226,88 @@ SELECT segment, count(*) AS records, min(event_id) AS first_offset, max(event_id
 FROM numbered GROUP BY 1"""
 
 
+#: Short segments, so that each topic partition has several.
+TOPIC_SEGMENT_ROWS = 20
+
+
+def flush_topic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write segments of each topic partition; many topics share a partition number."""
+    feed = fixtures.flat_feed(spark, sf_dir, partition=F.col("event_id") % 2)
+    place = ["topic", "partition"]
+    cut = flush_segments(feed.select(*place, "offset", F.col("value").isNull().alias("gone")), TOPIC_SEGMENT_ROWS, place)
+    return cut.groupBy(*place, "segment").agg(
+        F.count("*").alias("records"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.count_if("gone").alias("deletes"),
+    )
+
+
+FLUSH_TOPIC_SEGMENTS = f"""
+WITH {LOG}, numbered AS (
+  SELECT *, CAST(event_id % 2 AS INTEGER) AS partition,
+         (row_number() OVER (PARTITION BY user_id % 16, event_id % 2 ORDER BY event_id) - 1) // {TOPIC_SEGMENT_ROWS} AS segment
+  FROM log
+)
+SELECT 'app.t_' || (user_id % 16) AS topic, partition, segment, count(*) AS records, min(event_id) AS first_offset,
+       max(event_id) AS last_offset, count(*) FILTER (WHERE op = 'd') AS deletes
+FROM numbered GROUP BY 1, 2, 3"""
+
+
+def _bad_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return build.rows_and_rejects(fixtures.bad_feed(spark, sf_dir), fixtures.KEY_FIELDS, fixtures.VALUE_FIELDS, PLAIN)
+
+
+def reject_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record that its table cannot take, and why."""
+    _, bad, _ = _bad_split(spark, sf_dir)
+    return bad.select(F.col("table").alias("table_name"), "partition", "offset", "reason")
+
+
+_BAD = f"""
+{LOG}, told AS (
+  SELECT *, event_id % {fixtures.KINDS} AS kind, CASE event_id % {fixtures.KINDS}
+    WHEN 0 THEN 'null_key' WHEN 1 THEN 'malformed_key' WHEN 2 THEN 'malformed_key' WHEN 3 THEN 'null_key'
+    WHEN 4 THEN CASE WHEN op = 'd' THEN 'delete_key_change' ELSE 'cast_failed' END
+    WHEN 5 THEN CASE WHEN op = 'd' THEN 'delete_key_change' END
+    WHEN 6 THEN CASE WHEN op = 'u' THEN 'malformed_value' END
+    WHEN 7 THEN CASE WHEN op = 'u' THEN 'cast_failed' END END AS reason
+  FROM log
+)"""
+REJECT_MALFORMED = f"""
+WITH {_BAD}
+SELECT table_name, CAST(0 AS INTEGER) AS partition, event_id AS "offset", reason FROM told WHERE reason IS NOT NULL"""
+
+
+def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records received, written and rejected."""
+    _, _, counts = _bad_split(spark, sf_dir)
+    return counts.withColumnRenamed("table", "table_name")
+
+
+REJECT_COUNTS = f"""
+WITH {_BAD}, firsts AS (
+  SELECT table_name, min(event_id) AS first_u FROM told WHERE op = 'u' AND kind <> 0 GROUP BY 1
+)
+SELECT table_name, op, count(*) AS received,
+       count(*) FILTER (WHERE reason IS NULL AND (op = 'u' OR event_id > first_u)) AS written,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS rejected
+FROM told LEFT JOIN firsts USING (table_name) GROUP BY 1, 2"""
+
+
+def rows_beside_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows of the same feed: bad records neither set nor delete anything."""
+    rows, _, _ = _bad_split(spark, sf_dir)
+    return rows.withColumnRenamed("table", "table_name")
+
+
+ROWS_BESIDE_REJECTS = f"""
+WITH {_BAD}
+SELECT table_name, user_id, k, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name, user_id, k ORDER BY event_id DESC) AS rn FROM told WHERE reason IS NULL
+) WHERE rn = 1 AND op = 'u'"""
+
+
 QUERIES = {
     "feed_scan": feed_scan,
     "op_counts": op_counts,
@@ -238,6 +320,10 @@ QUERIES = {
     "reject_key_change": reject_key_change,
     "partition_spread": partition_spread,
     "flush_segments": flush_segment_rows,
+    "flush_topic_segments": flush_topic_segments,
+    "reject_malformed": reject_malformed,
+    "reject_counts": reject_counts,
+    "rows_beside_rejects": rows_beside_rejects,
 }
 
 SQL = {
@@ -252,4 +338,8 @@ SQL = {
     "reject_key_change": REJECT_KEY_CHANGE,
     "partition_spread": PARTITION_SPREAD,
     "flush_segments": FLUSH_SEGMENTS,
+    "flush_topic_segments": FLUSH_TOPIC_SEGMENTS,
+    "reject_malformed": REJECT_MALFORMED,
+    "reject_counts": REJECT_COUNTS,
+    "rows_beside_rejects": ROWS_BESIDE_REJECTS,
 }

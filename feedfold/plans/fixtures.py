@@ -85,6 +85,31 @@ def flat_feed(
     )
 
 
+#: How many kinds of records ``bad_feed`` has; those from ``GOOD`` on are sound.
+KINDS, GOOD = 16, 8
+
+
+def bad_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat feed with every kind of record that a table cannot take, told by the event's number."""
+    kind = F.col("event_id") % KINDS
+    key = (
+        F.when(kind == 0, F.lit(None))
+        .when(kind == 1, "junk")
+        .when(kind == 2, "[1]")
+        .when(kind == 3, _text(F.lit(None).cast("bigint").alias("user_id"), "k"))
+        .when(kind == 4, F.concat(F.lit('{"user_id":'), F.col("user_id"), F.lit(',"k":')))
+        .when((kind == 5) & is_delete(), _text("k"))
+        .otherwise(_text(*KEYS))
+    )
+    value = (
+        F.when(is_delete(), F.lit(None))
+        .when(kind == 6, "broken")
+        .when(kind == 7, _text(*KEYS, "event_type", F.lit("many").alias("value"), "props"))
+        .otherwise(_text(*KEYS, "event_type", "value", "props"))
+    )
+    return _feed(event_rows(spark, sf_dir), table_topic(), key, value, F.lit(0))
+
+
 def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a feed keyed by user alone; ``view`` lacks a type and ``click`` a value."""
     rows = event_rows(spark, sf_dir)
@@ -125,13 +150,49 @@ def epoch_fields(number: int, wide_key: bool = False) -> list[Field]:
     return [*keys, *[f for f in VALUE_FIELDS[2:] if f.name in names]]
 
 
-def schema_feed(spark: SparkSession, sf_dir: str, conflicts: bool = False) -> DataFrame:
+# Key fields of the three record schemas of ``key_schema_feed``.
+EPOCH_KEYS = [["user_id"], ["user_id", "k"], ["k"]]
+
+
+def key_schema_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Self-describing records whose key schema changes with the value's; every fourth table also changes a key's type."""
+    day = F.col("ts").cast("date").cast("string")
+    epoch = F.when(day < EPOCH_STARTS[0], 0).when(day < EPOCH_STARTS[1], 1).otherwise(2)
+
+    def key(number: int, wide_key: bool = False) -> Column:
+        fields = [f for f in epoch_fields(number, wide_key) if f.name in EPOCH_KEYS[number]]
+        return _with_schema(_schema_json(fields, "key"), _text(*EPOCH_KEYS[number]))
+
+    last = F.when(F.col("user_id") % 4 == 0, key(2, wide_key=True)).otherwise(key(2))
+    keys = F.when(epoch == 0, key(0)).when(epoch == 1, key(1)).otherwise(last)
+    value = _with_schema(_schema_json(epoch_fields(0), "row"), _text(*[f.name for f in epoch_fields(0)]))
+    return _feed(event_rows(spark, sf_dir), table_topic(), keys, F.when(~is_delete(), value), F.lit(0))
+
+
+#: Days by which the second partition's schemas change later than the first one's.
+PARTITION_LAG = 4
+
+
+def two_partition_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Self-describing records by turns in two partitions, of which the second changes its schemas later, and not the last time."""
+    return schema_feed(spark, sf_dir, partition=F.col("event_id") % 2)
+
+
+def schema_feed(
+    spark: SparkSession, sf_dir: str, conflicts: bool = False, partition: Column | None = None
+) -> DataFrame:
     """Self-describing records whose schema changes twice over time.
 
-    With ``conflicts`` the last schema of every fourth table changes a type.
+    With ``conflicts`` the last schema of every fourth table changes a type. With a
+    ``partition``, records outside partition 0 lag behind and miss the last schema.
     """
-    day = F.col("ts").cast("date").cast("string")
+    day = F.col("ts").cast("date")
+    if partition is not None:
+        day = F.date_sub(day, F.when(partition == 0, 0).otherwise(PARTITION_LAG))
+    day = day.cast("string")
     epoch = F.when(day < EPOCH_STARTS[0], 0).when(day < EPOCH_STARTS[1], 1).otherwise(2)
+    if partition is not None:
+        epoch = F.when(partition == 0, epoch).otherwise(F.least(epoch, F.lit(1)))
 
     def value(number: int, wide_key: bool = False) -> Column:
         fields = epoch_fields(number, wide_key)
@@ -143,7 +204,7 @@ def schema_feed(spark: SparkSession, sf_dir: str, conflicts: bool = False) -> Da
     record = F.when(epoch == 0, value(0)).when(epoch == 1, value(1)).otherwise(last)
     key = _with_schema(_schema_json(KEY_FIELDS, "key"), _text(*KEYS))
     rows = event_rows(spark, sf_dir)
-    return _feed(rows, table_topic(), key, F.when(~is_delete(), record), F.lit(0))
+    return _feed(rows, table_topic(), key, F.when(~is_delete(), record), F.lit(0) if partition is None else partition)
 
 
 def stored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,9 +29,12 @@ _ROWS = f"""
 )"""
 
 
+def _log_of(feed: DataFrame) -> DataFrame:
+    return build.schema_log(schema.with_fingerprint(build.prepare(build.unwrap(feed), Options())))
+
+
 def _log(spark: SparkSession, sf_dir: str, conflicts: bool = False) -> DataFrame:
-    rows = build.prepare(build.unwrap(fixtures.schema_feed(spark, sf_dir, conflicts)), Options())
-    return build.schema_log(schema.with_fingerprint(rows))
+    return _log_of(fixtures.schema_feed(spark, sf_dir, conflicts))
 
 
 def change_point_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,20 +74,24 @@ SELECT table_name, epoch, count(*) AS records, count(*) FILTER (WHERE op = 'd')
 FROM numbered GROUP BY 1, 2"""
 
 
-def _epoch_fields(spark: SparkSession, sf_dir: str, conflicts: bool) -> DataFrame:
-    """Fields of each schema epoch of each table, with column types."""
-    changes = schema.numbered_changes(_log(spark, sf_dir, conflicts))
-    fields = schema_fields(changes.select("table", "epoch", "value_schema"), "value_schema", "table", "epoch")
+def _fields_of(log: DataFrame, side: str = "value", by: tuple[str, ...] = ("table",)) -> DataFrame:
+    """Fields of the key or value in each schema epoch, with column types."""
+    changes = schema.numbered_changes(log)
+    fields = schema_fields(changes.select(*by, "epoch", f"{side}_schema"), f"{side}_schema", *by, "epoch")
     return landed(schema.column_types(fields, PROFILE), "epoch_fields")
 
 
-def _diff(fields: DataFrame, allow_missing: bool) -> DataFrame:
+def _epoch_fields(spark: SparkSession, sf_dir: str, conflicts: bool) -> DataFrame:
+    return _fields_of(_log(spark, sf_dir, conflicts))
+
+
+def _diff(fields: DataFrame, allow_missing: bool, by: tuple[str, ...] = ("table",)) -> DataFrame:
     """Each epoch's fields against the table as the epochs before left it."""
-    held = schema.previous_layout(fields, allow_missing)
-    last = fields.groupBy("table").agg(F.max("epoch").alias("_last"))
-    diff = schema.schema_diff(fields, held, ["table", "epoch"])
+    held = schema.previous_layout(fields, allow_missing, by)
+    last = fields.groupBy(*by).agg(F.max("epoch").alias("_last"))
+    diff = schema.schema_diff(fields, held, [*by, "epoch"])
     # The layout after the last epoch meets no further record.
-    return diff.join(last, "table").filter((F.col("epoch") > 1) & (F.col("epoch") <= F.col("_last"))).drop("_last")
+    return diff.join(last, list(by)).filter((F.col("epoch") > 1) & (F.col("epoch") <= F.col("_last"))).drop("_last")
 
 
 _FIELD_ROWS = """, shapes(era, field, kind) AS (VALUES
@@ -152,6 +159,107 @@ SELECT * FROM ({_diff_sql(_WITH_CONFLICT, _HELD_ALL)}
   FROM diff GROUP BY 1, 2)"""
 
 
+def needs_change_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a record's key asks for another table, under both settings of ``allow_missing``."""
+    fields = _fields_of(_log_of(fixtures.key_schema_feed(spark, sf_dir)), "key")
+    results = [
+        schema.needs_change(_diff(fields, allowed), ["table", "epoch"], allowed).withColumn(
+            "allow_missing", F.lit(allowed)
+        )
+        for allowed in (False, True)
+    ]
+    return _named(results[0].unionByName(results[1]))
+
+
+_KEY_ROWS = """, shapes(era, field, kind) AS (VALUES
+  (0, 'user_id', 'INT64'), (1, 'user_id', 'INT64'), (1, 'k', 'INT32'), (2, 'k', 'INT32')
+), fields AS (
+  SELECT n.table_name, n.epoch, s.field,
+         CASE WHEN s.era = 2 AND n.user_id % 4 = 0 THEN 'INT64' ELSE s.kind END AS kind
+  FROM numbered n JOIN shapes s USING (era) WHERE n.changed
+)"""
+NEEDS_CHANGE_KEYS = f"""
+SELECT * FROM ({_diff_sql(_KEY_ROWS, _HELD_LAST)}
+  SELECT table_name, epoch, FALSE AS allow_missing, {_NEEDS.format(extra=" OR status = 'dropped'")}
+  FROM diff GROUP BY 1, 2)
+UNION ALL
+SELECT * FROM ({_diff_sql(_KEY_ROWS, _HELD_ALL)}
+  SELECT table_name, epoch, TRUE AS allow_missing, {_NEEDS.format(extra="")}
+  FROM diff GROUP BY 1, 2)"""
+
+
+def partition_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epochs of two partitions that take turns, and whether the table's frontier has reached them."""
+    rows = schema.with_frontier(schema.with_epochs(_log_of(fixtures.two_partition_feed(spark, sf_dir))))
+    return rows.groupBy(F.col("table").alias("table_name"), "partition", "epoch").agg(
+        F.count("*").alias("records"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.bool_and("settled").alias("settled"),
+    )
+
+
+_TURNS = f"""
+{LOG}, dated AS (
+  SELECT *, event_id % 2 AS part,
+         ts - CASE WHEN event_id % 2 = 0 THEN INTERVAL 0 DAY ELSE INTERVAL {fixtures.PARTITION_LAG} DAY END AS moment
+  FROM log
+), rows AS (
+  SELECT *, CASE WHEN moment < TIMESTAMP '{fixtures.EPOCH_STARTS[0]}' THEN 0
+                 WHEN moment < TIMESTAMP '{fixtures.EPOCH_STARTS[1]}' OR part = 1 THEN 1 ELSE 2 END AS era
+  FROM dated
+), flagged AS (
+  SELECT *, op = 'u' AND era IS DISTINCT FROM last_value(CASE WHEN op = 'u' THEN era END IGNORE NULLS) OVER (
+      PARTITION BY table_name, part ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS changed
+  FROM rows
+), numbered AS (
+  SELECT *, CAST(sum(CAST(changed AS INTEGER)) OVER (PARTITION BY table_name, part ORDER BY event_id) AS BIGINT) AS epoch
+  FROM flagged
+), ends AS (SELECT table_name, part, max(epoch) AS epoch FROM numbered GROUP BY 1, 2
+), frontiers AS (SELECT table_name, min(epoch) AS frontier, max(epoch) AS ahead FROM ends GROUP BY 1)"""
+PARTITION_EPOCHS = f"""
+WITH {_TURNS}
+SELECT table_name, CAST(part AS INTEGER) AS partition, epoch, count(*) AS records, min(event_id) AS first_offset,
+       max(event_id) AS last_offset, bool_and(epoch <= frontier) AS settled
+FROM numbered JOIN frontiers USING (table_name) GROUP BY 1, 2, 3"""
+
+
+def epoch_frontiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every and any partition of a table is."""
+    found = schema.epoch_vectors(schema.with_epochs(_log_of(fixtures.two_partition_feed(spark, sf_dir))))
+    return found.select(
+        F.col("table").alias("table_name"),
+        F.array_join(F.transform(F.map_entries("vector"), lambda e: F.concat_ws(":", e["key"], e["value"])), ",").alias("vector"),
+        "frontier", "ahead",
+    )
+
+
+EPOCH_FRONTIERS = f"""
+WITH {_TURNS}
+SELECT table_name, string_agg(part || ':' || epoch, ',' ORDER BY part) AS vector, any_value(frontier) AS frontier,
+       any_value(ahead) AS ahead
+FROM ends JOIN frontiers USING (table_name) GROUP BY 1"""
+
+
+def partition_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each epoch of a partition against the one before it in that partition."""
+    by = ("table", "partition")
+    fields = _fields_of(_log_of(fixtures.two_partition_feed(spark, sf_dir)), "value", by)
+    return _named(_diff(fields, False, by)).select("table_name", "partition", "epoch", "field", "status")
+
+
+PARTITION_DIFF = f"""
+WITH {_TURNS}, shapes(era, field) AS (VALUES
+  (0, 'user_id'), (0, 'k'), (0, 'event_type'), (1, 'user_id'), (1, 'k'), (1, 'event_type'), (1, 'value'),
+  (2, 'user_id'), (2, 'k'), (2, 'event_type'), (2, 'props')
+), fields AS (SELECT table_name, part, epoch, field FROM numbered JOIN shapes USING (era) WHERE changed
+), held AS (SELECT table_name, part, epoch + 1 AS epoch, field FROM fields)
+SELECT table_name, CAST(part AS INTEGER) AS partition, epoch, field,
+       CASE WHEN sent IS NULL THEN 'dropped' WHEN kept IS NULL THEN 'new' ELSE 'same' END AS status
+FROM (SELECT *, field AS sent FROM fields) f FULL OUTER JOIN (SELECT *, field AS kept FROM held) h USING (table_name, part, epoch, field)
+WHERE epoch > 1 AND (table_name, part, epoch) IN (SELECT table_name, part, epoch FROM fields)"""
+
+
 def type_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named(schema.type_conflicts(_diff(_epoch_fields(spark, sf_dir, True), True)))
 
@@ -222,6 +330,10 @@ QUERIES = {
     "epoch_segments": epoch_segments,
     "schema_diff": schema_diff,
     "needs_change": needs_change,
+    "needs_change_keys": needs_change_keys,
+    "partition_epochs": partition_epochs,
+    "epoch_frontiers": epoch_frontiers,
+    "partition_diff": partition_diff,
     "type_conflicts": type_conflicts,
     "create_layout": create_layout,
     "evolve_add": evolve_add,
@@ -233,6 +345,10 @@ SQL = {
     "epoch_segments": EPOCH_SEGMENTS,
     "schema_diff": SCHEMA_DIFF,
     "needs_change": NEEDS_CHANGE,
+    "needs_change_keys": NEEDS_CHANGE_KEYS,
+    "partition_epochs": PARTITION_EPOCHS,
+    "epoch_frontiers": EPOCH_FRONTIERS,
+    "partition_diff": PARTITION_DIFF,
     "type_conflicts": TYPE_CONFLICTS,
     "create_layout": CREATE_LAYOUT,
     "evolve_add": EVOLVE_ADD,

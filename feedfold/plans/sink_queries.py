@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedfold.operators.layout import Layout
 from feedfold.options import Options
-from feedfold.plans import build, fixtures, fold_queries, schema_queries
+from feedfold.plans import build, feed_queries, fixtures, fold_queries, schema_queries
 from feedfold.plans.feed_queries import LOG
 from feedfold.session import scratch_path
 from feedfold.sinks import buckets, lake
@@ -53,6 +53,19 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).withColumnRenamed("table", "table_name")
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a feed with bad records, as the store keeps them after applying it in slices."""
+    schemas = {f"app_t_{n}": (fixtures.KEY_FIELDS, fixtures.VALUE_FIELDS) for n in range(16)}
+    store = TableStore(spark, scratch_path(spark, "stream_rejects"), Options())
+    sink = FeedSink(store, schemas)
+    for batch, rows in enumerate(_slices(fixtures.bad_feed(spark, sf_dir))):
+        sink.apply(rows, batch)
+    counts = spark.read.parquet(f"{store.root}/counts")
+    return counts.groupBy(F.col("table").alias("table_name"), "op").agg(
+        *[F.sum(c).alias(c) for c in ("received", "written", "rejected")]
+    )
+
+
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patch merge that gives out the changed rows of each batch; the last output of a key is its row."""
     root = scratch_path(spark, "stream_merge")
@@ -183,6 +196,7 @@ QUERIES = {
     "feed_files": feed_files,
     "stream_apply": stream_apply,
     "stream_merge": stream_merge,
+    "stream_rejects": stream_rejects,
     "lake_write": lake_write,
     "bucket_balance": bucket_balance,
     "bucket_store": bucket_store,
@@ -192,6 +206,7 @@ SQL = {
     "feed_files": FEED_FILES,
     "stream_apply": schema_queries.EVOLVE_ADD,
     "stream_merge": fold_queries.DELETE_REINSERT,
+    "stream_rejects": feed_queries.REJECT_COUNTS,
     "lake_write": fold_queries.UPSERT_LATEST,
     "bucket_balance": BUCKET_BALANCE,
     "bucket_store": BUCKET_STORE,
