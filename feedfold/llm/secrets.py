@@ -22,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -64,9 +66,17 @@ VALUE = re.compile(
     r"""(?:"(?P<double>[^"\n]*)"|'(?P<single>[^'\n]*)'|`(?P<tick>[^`\n]*)`|(?P<bare>[^\s"'`,;(){}\[\]]+))"""
 )
 NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
-TYPE = r"(?:(?:[&*]|'[a-z_]+[ ])*(?:(?:mut|dyn|const|final|readonly)[ ])?[A-Za-z_][\w.]*(?:::\w+)*|\[[^\n=\]]*\])(?:<[^\n=;\"]*>|\[[^\n=;\"\]]*\])*[?!*]*"
+#: Arguments of a type, in angle brackets up to four deep. What a part has read it never gives back,
+#: and none reads past the next bracket, so that reading a line takes time in proportion to it.
+ANGLES = r"<[^<>\n=;\"]*+>"
+for _ in range(3):
+    ANGLES = rf"<[^<>\n=;\"]*+(?:{ANGLES}[^<>\n=;\"]*+)*+>"
+TYPE = (
+    r"(?:(?:[&*]|'[a-z_]+[ ])*+(?:(?:mut|dyn|const|final|readonly)[ ])?[A-Za-z_][\w.]*+(?:::\w++)*+|\[[^\n=\[\]]*+\])"
+    rf"(?:{ANGLES}|\[[^\n=;\"\[\]]*+\])*+[?!*]*+"
+)
 #: A type between a colon and the sign of a declaration.
-ANNOTATED = re.compile(rf"(?P<type>{TYPE}(?:[ \t]*\|[ \t]*{TYPE})*)[ \t]*=(?![=>])", re.ASCII)
+ANNOTATED = re.compile(rf"(?P<type>{TYPE}(?:[ \t]*\|[ \t]*{TYPE})*+)[ \t]*=(?![=>])", re.ASCII)
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 
@@ -83,24 +93,50 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def entropy(literal: str) -> float:
-    """Bits per character."""
-    n = len(literal)
-    return -sum(c / n * math.log2(c / n) for c in Counter(literal).values()) if n else 0.0
-
-
 def name_score(name: str) -> float:
     words = [w.lower() for w in NAME_PART.findall(name)]
     pairs = {a + b for a, b in zip(words, words[1:], strict=False)}
     return sum(NAME_WORDS.get(w, 0) + HARMLESS.get(w, 0) for w in [*words, *(pairs & NAME_WORDS.keys())])
 
 
+#: A longer literal is no stand-in.
+STAND_IN_CHARS = 200
+
+
 def literal_score(literal: str) -> float:
-    if len(literal) < MIN_LITERAL or " " in literal or STAND_INS.match(literal):
+    if len(literal) < MIN_LITERAL or " " in literal:
         return -math.inf
-    kinds = sum(any(f(c) for c in literal) for f in (str.islower, str.isupper, str.isdigit))
-    kinds += any(not c.isalnum() for c in literal)
-    return min(len(literal), 32) / 16 + (kinds - 1) + max(0.0, entropy(literal) - 2.5)
+    return score_of_counts(Counter(literal), literal[:STAND_IN_CHARS + 1])
+
+
+def score_of_counts(counts: Counter, start: str) -> float:
+    """The score of a literal with these characters that begins (or is, if short) like this."""
+    if len(start) <= STAND_IN_CHARS and STAND_INS.match(start):
+        return -math.inf
+    n = counts.total()
+    kinds = sum(any(f(c) for c in counts) for f in (str.islower, str.isupper, str.isdigit))
+    kinds += any(not c.isalnum() for c in counts)
+    bits = -sum(c / n * math.log2(c / n) for c in counts.values())
+    return min(n, 32) / 16 + (kinds - 1) + max(0.0, bits - 2.5)
+
+
+def literal_scores(text: str, places: list[tuple[int, int]]) -> dict[int, float]:
+    """Scores of literals by their start; those that end together count their characters once, from the last on."""
+    by_end: dict[int, list[int]] = {}
+    for start, end in places:
+        by_end.setdefault(end, []).append(start)
+    out: dict[int, float] = {}
+    for end, starts in by_end.items():
+        if len(starts) == 1:
+            out[starts[0]] = literal_score(text[starts[0] : end])
+            continue
+        counts, at = Counter(), end
+        for start in sorted(set(starts), reverse=True):
+            counts.update(text[start:at])
+            at = start
+            short = end - start < MIN_LITERAL or " " in counts
+            out[start] = -math.inf if short else score_of_counts(counts, text[start : min(end, start + STAND_IN_CHARS + 1)])
+    return out
 
 
 def name_before(text: str, sign: int, floor: int) -> str:
@@ -147,7 +183,7 @@ def lexed_spans(text: str) -> list[tuple[int, int, str]]:
             continue
         if not (name or outer) or (typed and start <= typed.start() and end <= declares):
             continue
-        word = text[start:end] if plain and IDENTIFIER.match(text[start:end]) else ""
+        word = text[start:end] if plain and IDENTIFIER.match(text, start, end) else ""
         pairs.append((name, outer, word, start, end))
         if word:
             bare.append((":" if colon else "=", outer or name, word))
@@ -156,33 +192,56 @@ def lexed_spans(text: str) -> list[tuple[int, int, str]]:
     for sign, name, word in bare:
         if word in another:
             (by_colon if sign == ":" else by_equals).setdefault(word, set()).add(name)
+    reached = highest_reached(by_colon, by_equals)
+    literals = literal_scores(text, [(start, end) for *_, word, start, end in pairs if word not in another])
+    best_of: dict[tuple[str, str], float] = {}
     found: list[tuple[int, int, str]] = []
     for name, outer, word, start, end in pairs:
         if word in another or (found and found[-1][0] <= start and end <= found[-1][1]):
             continue
         # before a sign and after a colon may stand a type: what is declared to be of it does not take this value
-        seen = {n for n in (name, outer) if n}
-        best = max(map(name_score, seen))
-        reached = [outer or name]
-        if outer and name:
-            more = by_equals.get(name, set()) - seen
-            seen |= more
-            reached += more
-        while reached:
-            now = reached.pop()
-            best = max(best, name_score(now))
-            for other in (by_colon.get(now, set()) | by_equals.get(now, set())) - seen:
-                seen.add(other)
-                reached.append(other)
-        if best > 0 and best + literal_score(text[start:end]) >= THRESHOLD:
+        best = best_of.get((name, outer))
+        if best is None:
+            first = outer or name
+            more = by_equals.get(name, set()) if outer and name else set()
+            best = max(map(name_score, {n for n in (name, outer) if n}))
+            best = max([best, reached.get(first, best), *(reached.get(n, name_score(n)) for n in more)])
+            best_of[name, outer] = best
+        if best > 0 and best + literals[start] >= THRESHOLD:
             found.append((start, end, "lexed"))
     return found
 
 
+def highest_reached(*edges: dict[str, set[str]]) -> dict[str, float]:
+    """Per name the highest score among it and the names that take its value, through chains.
+
+    Names are taken from the highest score down, and each hands its score to those that lead
+    to it and have none yet, so every step is made once.
+    """
+    before: dict[str, list[str]] = {}
+    names = set()
+    for side in edges:
+        for name, others in side.items():
+            names |= {name, *others}
+            for other in others:
+                before.setdefault(other, []).append(name)
+    out: dict[str, float] = {}
+    for name, score in sorted(((n, name_score(n)) for n in names), key=lambda s: -s[1]):
+        waiting = [name]
+        while waiting:
+            now = waiting.pop()
+            if now not in out:
+                out[now] = score
+                waiting += before.get(now, ())
+    return out
+
+
 def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Base spans, and these with what the lexer adds."""
     base = base_spans(text)
-    more = [s for s in lexed_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+    starts, reach = [b[0] for b in base], list(accumulate((b[1] for b in base), max))
+    # a base span covers another if it begins no later and one of those that do reaches as far
+    more = [s for s in lexed_spans(text) if not (at := bisect_right(starts, s[0])) or reach[at - 1] < s[1]]
     order = [*KINDS, "lexed"]
     return base, sorted(base + more, key=lambda s: (s[0], order.index(s[2]), s[1]))
 

@@ -75,3 +75,20 @@ def test_declarations_and_inner_pairs():
     # a type that a secret has is no name of other values of the type
     assert lexed('dbPwd: string;\ntitle: string = "PublicTitle-2024x"') == []
     assert lexed("a=" * 3_000) == []
+
+
+def test_long_lines_take_time_in_proportion():
+    import time
+
+    for text in ("note: Foo" + "<b>" * 100_000 + " end", "x: T<a" * 50_000, "a:[" * 50_000, "key=" * 50_000, "a: x" + "|x" * 100_000):
+        start = time.perf_counter()
+        secrets.all_spans(text)
+        assert time.perf_counter() - start < 5
+    nested = 'cache: Map<String, List<Set<Pair<A, B>>>> = "x"\ndbPwd: Map<String, List<String>> = "S3cr3tV4lue99"'
+    assert [nested[a:b] for a, b, kind in secrets.all_spans(nested)[1]] == ["S3cr3tV4lue99"]
+
+
+def test_many_spans_are_merged_quickly():
+    text = "password = 'Abcdef12345'\ndbPwd = \"S3cr3tV4lue99\"\n" * 5_000
+    base, every = secrets.all_spans(text)
+    assert len(base) == 5_000 and len(every) == 10_000
