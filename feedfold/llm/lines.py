@@ -123,7 +123,8 @@ def shortest_runs(starts: DataFrame, min_words: int) -> DataFrame:
     near = places.selectExpr(
         *DOC,
         "p",
-        f"min(p) OVER (PARTITION BY {seg} ORDER BY c RANGE BETWEEN {min_words} FOLLOWING AND UNBOUNDED FOLLOWING) AS after",
+        # from the last place on, so that the frame only grows
+        f"min(p) OVER (PARTITION BY {seg} ORDER BY c DESC RANGE BETWEEN UNBOUNDED PRECEDING AND {min_words} PRECEDING) AS after",
         f"max(p) OVER (PARTITION BY {seg} ORDER BY c RANGE BETWEEN UNBOUNDED PRECEDING AND {min_words} PRECEDING) AS before",
     )
     runs = near.selectExpr(
@@ -167,6 +168,11 @@ def doomed_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) ->
     return gone.groupBy(*DOC).agg(F.sort_array(F.collect_list("p")).alias("gone"))
 
 
+def finished(rows: DataFrame) -> DataFrame:
+    """The same rows, with their columns worked out here rather than inside later expressions, once per use."""
+    return rows.withColumn("numbered", F.monotonically_increasing_id()).where("numbered >= 0").drop("numbered")
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The rows with later copies of repeated runs deleted from the text, and the number of lines deleted.
 
@@ -183,7 +189,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     worded = F.filter(
         F.transform("all_lines", lambda x, i: F.when(F.translate(x, SPACES, "") != "", i)), lambda i: i.isNotNull()
     )
-    rows = rows.withColumn("all_lines", all_lines).withColumn("worded", worded)
+    rows = finished(finished(rows.withColumn("all_lines", all_lines)).withColumn("worded", worded))
     out = F.transform("gone", lambda p: F.get("worded", p))
     kept = F.array_except(F.sequence(F.lit(0), F.size("all_lines") - 1), out)
     shorter = F.array_join(F.transform(kept, lambda i: F.get("all_lines", i)), "\n")
