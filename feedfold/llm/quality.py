@@ -197,9 +197,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that are kept, with their own columns; texts are read twice and never shuffled."""
-    rows = measured(docs, text_col)
+    """The rows that are kept, with their own columns; they are written down with their votes, and texts are counted once."""
+    rows = landed(measured(docs, text_col).select("row", "base_failed", "votes"), "quality_rows")
     posterior = fit(patterns_of(rows)).posterior(F.col("votes"))
-    # a filter below the counts would work them out many times over; the id keeps it above
-    rows = rows.withColumn("id", F.monotonically_increasing_id())
-    return rows.where((F.col("id") >= 0) & ~F.col("base_failed") & (posterior >= THRESHOLD)).select("row.*")
+    return rows.where(~F.col("base_failed") & (posterior >= THRESHOLD)).select("row.*")
