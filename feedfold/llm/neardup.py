@@ -222,33 +222,71 @@ def left_apart(bands: DataFrame, classes: DataFrame, labels: DataFrame, percent:
     # group i meets group j in the block (i, j), i <= j
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    blocks = rows.select("band", "i", "j", "own", "c", "label", "n", "sketch")
+    dealt = blocks.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "c")
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("c")
-        sketches, n = to_rows(block["sketch"]), block["n"].to_numpy()
-        own, label, c = block["own"].to_numpy(), block["label"].to_numpy(), block["c"].to_numpy()
-        same_part, band = block["i"].iloc[0] == block["j"].iloc[0], block["band"].iloc[0]
-        keys = band_keys(sketches)
-        a, b = [], []
-        for at in range(len(block) - 1):
-            rest = np.arange(at + 1, len(block))
-            rest = rest[label[rest] != label[at]]
-            if not same_part:
-                rest = rest[own[rest] != own[at]]
-            if not len(rest):
-                continue
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some in whole_blocks(batches):
+            a, b = pairs_in_blocks(some, percent)
+            yield pd.DataFrame({"a": a, "b": b}, dtype=np.int64)
+
+    return dealt.mapInPandas(compare, "a long, b long").distinct()
+
+
+#: Rows of blocks that are compared together; a block has at most two groups of about ``BLOCK``.
+TOGETHER = 8_192
+BLOCK_KEY = ["band", "i", "j"]
+
+
+def whole_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by block, cut between blocks into parts of about ``TOGETHER`` rows."""
+    held: pd.DataFrame | None = None
+    for batch in batches:
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        while len(held) >= TOGETHER:
+            key = held[BLOCK_KEY].to_numpy()
+            ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            cut = ends[min(np.searchsorted(ends, TOGETHER), len(ends) - 1)] if len(ends) else 0
+            if not cut:
+                break
+            yield held[:cut]
+            held = held[cut:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
+
+
+def pairs_in_blocks(rows: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components to check, from rows sorted by block; all blocks are compared at once.
+
+    In each step every row meets the one so many places after it, if that is in its
+    block; rows whose block ends before take no further part.
+    """
+    sketches, n, c = to_rows(rows["sketch"]), rows["n"].to_numpy(), rows["c"].to_numpy()
+    own, label, band = rows["own"].to_numpy(), rows["label"].to_numpy(), rows["band"].to_numpy()
+    key = rows[BLOCK_KEY].to_numpy()
+    within = (rows["i"] == rows["j"]).to_numpy()
+    starts = np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])
+    block = np.cumsum(starts) - 1
+    end = np.append(np.flatnonzero(starts)[1:], len(rows))[block]
+    keys = band_keys(sketches)
+    here = np.arange(len(rows))
+    out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+    step = 1
+    while len(here := here[here + step < end[here]]):
+        there = here + step
+        meets = (label[here] != label[there]) & (within[here] | (own[here] != own[there]))
+        meets &= 100 * np.minimum(n[here], n[there]) >= percent * np.maximum(n[here], n[there])
+        a, b = here[meets], there[meets]
+        if len(a):
             # a pair is taken up in the first band that it shares
-            shared = (keys[rest] == keys[at]) & (keys[at] != 0)
-            first = keys[at][shared.argmax(axis=1)].astype(np.int64) == band
-            rest = rest[first]
-            one = np.broadcast_to(sketches[at], (len(rest), REGISTERS))
-            rest = rest[could_reach(one, sketches[rest], np.full(len(rest), n[at]), n[rest], percent)]
-            a += [c[at]] * len(rest)
-            b += c[rest].tolist()
-        return pd.DataFrame({"a": a, "b": b}, dtype=np.int64)
-
-    blocks = rows.select("band", "i", "j", "own", "c", "label", "n", "sketch").groupBy("band", "i", "j")
-    return blocks.applyInPandas(compare, "a long, b long").distinct()
+            shared = (keys[a] == keys[b]) & (keys[a] != 0)
+            first = keys[a, shared.argmax(axis=1)].astype(np.int64) == band[a]
+            a, b = a[first], b[first]
+            near = could_reach(sketches[a], sketches[b], n[a], n[b], percent)
+            out.append(np.stack([c[a[near]], c[b[near]]], axis=1))
+        step += 1
+    found = np.concatenate(out)
+    return found[:, 0], found[:, 1]
 
 
 def with_firsts(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:

@@ -95,3 +95,13 @@ def test_one_stays_of_null_and_shared_ids(spark):
     assert sum(t in near for _, t in kept) == 1
     assert [i for i, t in kept if t in far or t.endswith(" y")] == [4]
     assert sorted(t for _, t in kept if len(t) < 10) == ["", "q r s"] and len(kept) == 4
+
+
+def test_components_of_large_ids(spark):
+    from feedfold.llm.components import components
+
+    start = 2_000 << 33  # ids that Spark gives in partition 2,000
+    links = spark.range(start, start + 300_000).selectExpr("id AS v", "id + 1000000 AS u")
+    found = components(links.union(links.selectExpr("v", "v + 2000000 AS u")))
+    assert found.count() == 600_000
+    assert found.where("u - v NOT IN (1000000, 2000000)").count() == 0
