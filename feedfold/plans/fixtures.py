@@ -85,6 +85,37 @@ def flat_feed(
     )
 
 
+# Fields of the records of ``form_feed`` before and after their types change form.
+FORMS = [
+    [Field("amount", "BYTES", rules.CONNECT_DECIMAL, {rules.SCALE_PARAMETER: "2"}),
+     Field("at", "INT64", rules.DEBEZIUM_TIMESTAMP), Field("day", "STRING")],
+    [Field("amount", "BYTES", rules.CONNECT_DECIMAL, {rules.SCALE_PARAMETER: "4"}),
+     Field("at", "INT64", rules.DEBEZIUM_MICRO_TIMESTAMP), Field("day", "INT32", rules.DEBEZIUM_DATE)],
+]
+
+
+def form_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Self-describing records whose fields change form on the way: a longer scale, finer times, dates as numbers.
+
+    Every fourth record of the new form has more digits than the table's column holds.
+    """
+    user = [Field("user_id", "INT64")]
+    epoch_day = F.lit("1970-01-01").cast("date")
+    cents = F.floor(F.col("value") * 100).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")
+    more = F.when(F.col("event_id") % 4 == 0, F.lit("0.0001").cast("decimal(5,4)")).otherwise(F.lit("0").cast("decimal(5,4)"))
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    millis = F.call_function("div", micros, F.lit(1000))
+    day = F.col("ts").cast("date")
+    old = _text("user_id", cents.alias("amount"), millis.alias("at"), day.cast("string").alias("day"))
+    new = _text(
+        "user_id", (cents + more).alias("amount"), (millis * 1000).alias("at"), F.date_diff(day, epoch_day).alias("day")
+    )
+    values = [_with_schema(_schema_json([*user, *fields], "row"), text) for fields, text in zip(FORMS, (old, new), strict=True)]
+    value = F.when(day.cast("string") < EPOCH_STARTS[1], values[0]).otherwise(values[1])
+    key = _with_schema(_schema_json(user, "key"), _text("user_id"))
+    return _feed(event_rows(spark, sf_dir), table_topic(), key, F.when(~is_delete(), value), F.lit(0))
+
+
 #: How many kinds of records ``bad_feed`` has; those from ``GOOD`` on are sound.
 KINDS, GOOD = 16, 8
 
@@ -135,6 +166,8 @@ def _schema_json(fields: list[Field], name: str) -> str:
         entry = {"field": f.name, "type": f.physical.lower(), "optional": f.name not in KEYS}
         if f.logical:
             entry["name"] = f.logical
+        if f.params:
+            entry["parameters"] = dict(f.params)
         described.append(entry)
     return json.dumps({"type": "struct", "name": name, "version": 1, "fields": described})
 

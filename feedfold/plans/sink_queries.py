@@ -7,13 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedfold.functions.convert import utc_wall_clock
 from feedfold.operators.layout import Layout
 from feedfold.options import Options
 from feedfold.plans import build, feed_queries, fixtures, fold_queries, schema_queries
 from feedfold.plans.feed_queries import LOG
 from feedfold.session import scratch_path
 from feedfold.sinks import buckets, lake
-from feedfold.sinks.store import TableStore
+from feedfold.sinks.store import Catalog, TableStore
 from feedfold.sources.feed import FEED_SCHEMA, read_feed, stream_feed
 from feedfold.streaming.apply import FeedSink
 from feedfold.streaming.merge import RowMerger
@@ -53,6 +54,73 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).withColumnRenamed("table", "table_name")
 
 
+def _all_rows(store: TableStore, columns: list[str]) -> DataFrame:
+    rows = [frame.select("table", *columns) for frame in store.current_all().values()]
+    return reduce(DataFrame.unionByName, rows).withColumnRenamed("table", "table_name")
+
+
+def evolve_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table keeps its column types while the records' fields change form; what does not fit is rejected."""
+    options = Options(source_utc_offset_hours=0, decimal_format="numeric")
+    store = TableStore(spark, scratch_path(spark, "evolve_types"), options)
+    sink = FeedSink(store)
+    for batch, rows in enumerate(_slices(fixtures.form_feed(spark, sf_dir))):
+        sink.apply(rows, batch)
+    rows = _all_rows(store, ["user_id", "amount", "at", "day"])
+    return rows.withColumn("at", utc_wall_clock(F.col("at")))
+
+
+EVOLVE_TYPES = f"""
+WITH {LOG}, told AS (
+  SELECT *, op = 'u' AND ts >= TIMESTAMP '{fixtures.EPOCH_STARTS[1]} 00:00:00' AND event_id % 4 = 0 AS bad FROM log
+), last AS (
+  SELECT *, row_number() OVER (PARTITION BY table_name, user_id ORDER BY event_id DESC) AS rn FROM told WHERE NOT bad
+)
+SELECT table_name, user_id, CAST(CAST(floor(value * 100) AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(2, 2)) AS DECIMAL(20, 2)) AS amount,
+       date_trunc('milliseconds', ts) AS "at", strftime(ts, '%Y-%m-%d') AS day
+FROM last WHERE rn = 1 AND op = 'u'"""
+
+
+class _Interrupted(OSError):
+    """A run that ends between writing a batch and committing it."""
+
+
+class _InterruptedStore(TableStore):
+    """A store whose every commit fails once."""
+
+    failed: int = -1
+
+    def commit(self, catalog: Catalog) -> Catalog:
+        if catalog.last_batch > self.failed:
+            self.failed = catalog.last_batch
+            raise _Interrupted
+        return super().commit(catalog)
+
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch is lost once after its data were written, and applied again; then once more after its commit."""
+    schemas = {f"app_t_{n}": (fixtures.KEY_FIELDS, fixtures.VALUE_FIELDS[2:]) for n in range(16)}
+    store = _InterruptedStore(spark, scratch_path(spark, "stream_replay"), Options())
+    sink = FeedSink(store, schemas)
+    for batch, rows in enumerate(_slices(fixtures.bad_feed(spark, sf_dir))):
+        try:
+            sink.apply(rows, batch)
+        except _Interrupted:
+            sink.apply(rows, batch)
+        sink.apply(rows, batch)
+    rejected = spark.read.parquet(f"{store.root}/rejects").groupBy("table").agg(F.count("*").alias("rejects"))
+    counted = spark.read.parquet(f"{store.root}/counts").groupBy("table").agg(F.sum("rejected").alias("counted"))
+    rows = _all_rows(store, [*fixtures.KEYS, "event_type", "value", "props"]).withColumnRenamed("table_name", "table")
+    known = rows.join(rejected, "table", "left").join(counted, "table", "left")
+    return known.withColumnRenamed("table", "table_name")
+
+
+STREAM_REPLAY = f"""
+WITH live AS ({feed_queries.ROWS_BESIDE_REJECTS}), bad AS ({feed_queries.REJECT_MALFORMED}),
+rejected AS (SELECT table_name, count(*) AS rejects FROM bad GROUP BY 1)
+SELECT live.*, rejects, rejects AS counted FROM live LEFT JOIN rejected USING (table_name)"""
+
+
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a feed with bad records, as the store keeps them after applying it in slices."""
     schemas = {f"app_t_{n}": (fixtures.KEY_FIELDS, fixtures.VALUE_FIELDS) for n in range(16)}
@@ -118,6 +186,19 @@ def lake_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[1].select(rows.columns).withColumnRenamed("table", "table_name")
 
 
+def lake_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows written with keys marked as non-null and read by their fields; how Spark knows the keys."""
+    rows = fold_queries.upsert_latest(spark, sf_dir).withColumnRenamed("table_name", "table")
+    path, options = scratch_path(spark, "lake_keys"), Options(profile="lake", lake_format="parquet")
+    lake.write_lake(rows, path, options, keys=fixtures.KEYS)
+    back = lake.read_lake_fields(spark, path, fixtures.VALUE_FIELDS, fixtures.KEYS, options)
+    nullable = [f.name for f in back.schema if f.nullable]
+    return back.withColumn("nullable", F.lit(",".join(nullable))).withColumnRenamed("table", "table_name")
+
+
+LAKE_KEYS = f"SELECT *, 'event_type,value,props,table' AS nullable FROM ({fold_queries.UPSERT_LATEST})"
+
+
 def bucket_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table that lie in one of its hash buckets."""
     rows = fold_queries.upsert_latest(spark, sf_dir)
@@ -197,7 +278,10 @@ QUERIES = {
     "stream_apply": stream_apply,
     "stream_merge": stream_merge,
     "stream_rejects": stream_rejects,
+    "stream_replay": stream_replay,
+    "evolve_types": evolve_types,
     "lake_write": lake_write,
+    "lake_keys": lake_keys,
     "bucket_balance": bucket_balance,
     "bucket_store": bucket_store,
 }
@@ -207,7 +291,10 @@ SQL = {
     "stream_apply": schema_queries.EVOLVE_ADD,
     "stream_merge": fold_queries.DELETE_REINSERT,
     "stream_rejects": feed_queries.REJECT_COUNTS,
+    "stream_replay": STREAM_REPLAY,
+    "evolve_types": EVOLVE_TYPES,
     "lake_write": fold_queries.UPSERT_LATEST,
+    "lake_keys": LAKE_KEYS,
     "bucket_balance": BUCKET_BALANCE,
     "bucket_store": BUCKET_STORE,
 }

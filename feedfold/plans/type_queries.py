@@ -23,14 +23,27 @@ field_rows AS (
   FROM orders
 )"""
 
-_RULE_ROWS = ", ".join(
-    f"('{p}', {'NULL' if n is None else repr(n)}, '{i}')" for p, n, i in rules.TYPE_RULES
-)
-_COLUMN_ROWS = ", ".join(
-    f"('{profile}', '{internal}', '{column}')"
-    for profile, mapping in rules.COLUMN_TYPES.items()
-    for internal, column in mapping.items()
-)
+# The rules once more, in SQL's terms, so that a slip in the code's tables shows.
+_RULE_ROWS = """
+  ('INT8', NULL, 'TINYINT'), ('INT16', NULL, 'SHORT'), ('INT32', NULL, 'INT'), ('INT64', NULL, 'LONG'),
+  ('FLOAT32', NULL, 'FLOAT'), ('FLOAT64', NULL, 'DOUBLE'), ('BOOLEAN', NULL, 'BOOLEAN'), ('STRING', NULL, 'STRING'),
+  ('BYTES', NULL, 'BYTES'), ('BYTES', 'org.apache.kafka.connect.data.Decimal', 'DECIMAL'),
+  ('INT32', 'org.apache.kafka.connect.data.Date', 'DATE'), ('INT32', 'io.debezium.time.Date', 'DATE'),
+  ('INT64', 'org.apache.kafka.connect.data.Timestamp', 'TIMESTAMP'), ('INT64', 'io.debezium.time.Timestamp', 'TIMESTAMP'),
+  ('STRING', 'io.debezium.time.ZonedTimestamp', 'TIMESTAMP'), ('INT64', 'io.debezium.time.MicroTimestamp', 'TIMESTAMP'),
+  ('INT32', 'org.apache.kafka.connect.data.Time', 'TIME'), ('INT64', 'io.debezium.time.MicroTime', 'TIME'),
+  ('INT32', 'io.debezium.time.Year', 'INT'), ('BYTES', 'io.debezium.data.Bits', 'BYTES'),
+  ('STRING', 'io.debezium.data.Enum', 'STRING'), ('STRING', 'io.debezium.data.EnumSet', 'STRING'),
+  ('STRING', 'io.debezium.data.Json', 'STRING')"""
+_COLUMN_ROWS = """
+  SELECT 'column_table', internal, a FROM kinds UNION ALL
+  SELECT 'row_cache', internal, internal FROM kinds UNION ALL
+  SELECT 'lake', internal, b FROM kinds"""
+_KINDS = """kinds(internal, a, b) AS (VALUES
+  ('TINYINT', 'INT8', 'Byte'), ('SHORT', 'INT16', 'Short'), ('INT', 'INT32', 'Integer'), ('LONG', 'INT64', 'Long'),
+  ('FLOAT', 'FLOAT', 'Float'), ('DOUBLE', 'DOUBLE', 'Double'), ('BOOLEAN', 'BOOL', 'Boolean'), ('STRING', 'STRING', 'String'),
+  ('BYTES', 'BINARY', 'byte[]'), ('DECIMAL', 'DECIMAL', 'BigDecimal'), ('DATE', 'STRING', 'String'), ('TIME', 'STRING', 'String'),
+  ('TIMESTAMP', 'UNIXTIME_MICROS', 'String'))"""
 _RESOLVED = f"""
 WITH {FIELD_ROWS}, rules(physical, logical, internal) AS (VALUES {_RULE_ROWS}), resolved AS (
   SELECT f.*, coalesce(r.internal, 'OTHER') AS internal
@@ -55,7 +68,7 @@ def target_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.groupBy("profile", "internal", "column_type").agg(F.count("*").alias("fields"))
 
 
-TARGET_TYPES = f"""{_RESOLVED}, columns(profile, internal, column_type) AS (VALUES {_COLUMN_ROWS})
+TARGET_TYPES = f"""{_RESOLVED}, {_KINDS}, columns(profile, internal, column_type) AS ({_COLUMN_ROWS})
 SELECT c.profile, r.internal, c.column_type, count(*) AS fields
 FROM resolved r JOIN columns c USING (internal) GROUP BY 1, 2, 3"""
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime, timezone
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from feedfold.functions.convert import Field, column_schema
 from feedfold.options import Options
 
 BUCKET = "bucket"
@@ -19,13 +22,32 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def write_lake(rows: DataFrame, path: str, options: Options, mode: str = "overwrite") -> None:
+# A value of each kind of key column, which is never stored: it only shows that the column has no nulls.
+STAND_INS = {
+    T.StringType: "", T.BinaryType: bytearray(), T.BooleanType: False, T.DateType: date(1970, 1, 1),
+    T.TimestampType: datetime(1970, 1, 1, tzinfo=timezone.utc),
+}
+
+
+def never_null(column: str, kind: T.DataType) -> Column:
+    """A column that Spark knows to hold no nulls; one that turns up raises."""
+    checked = F.when(F.col(column).isNull(), F.raise_error(F.lit(f"null in key column {column}")).cast(kind)).otherwise(F.col(column))
+    return F.coalesce(checked, F.lit(STAND_INS.get(type(kind), 0)).cast(kind)).alias(column)
+
+
+def _with_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    kinds = {f.name: f.dataType for f in rows.schema}
+    return rows.select(*[never_null(c, kinds[c]) if c in keys else c for c in rows.columns])
+
+
+def write_lake(rows: DataFrame, path: str, options: Options, mode: str = "overwrite", keys: Sequence[str] = ()) -> None:
     """Rows as files of the configured format, one folder per table.
 
     Adaptive execution sizes the files: it splits large tables and joins
-    small ones. The ``avro`` format needs Spark's Avro package.
+    small ones. ``keys`` are marked as non-null in parquet files. The ``avro`` format
+    needs Spark's Avro package.
     """
-    spread = rows.hint("rebalance", F.col("table"))
+    spread = _with_keys(rows.hint("rebalance", F.col("table")), keys)
     spread.write.mode(mode).partitionBy("table").format(options.lake_format).save(path)
 
 
@@ -35,6 +57,13 @@ def read_lake(rows_schema: DataFrame, path: str, options: Options) -> DataFrame:
     return spark.read.format(options.lake_format).schema(rows_schema.schema).load(path)
 
 
+def read_lake_fields(spark: SparkSession, path: str, fields: Sequence[Field], keys: Sequence[str], options: Options) -> DataFrame:
+    """Rows of ``table`` and fields, by the schema of finished columns: keys are checked and known to be non-null."""
+    shape = column_schema(list(fields), list(keys), options.profile)
+    rows = spark.read.format(options.lake_format).schema(T.StructType([*shape, T.StructField("table", T.StringType())])).load(path)
+    return _with_keys(rows, keys)
+
+
 def write_catalog_table(rows: DataFrame, table: str, options: Options) -> None:
     """Rows as a table of a catalog that supports the data source writer API."""
     rows.writeTo(f"{options.lake_namespace}.{table}").using(options.lake_format).createOrReplace()

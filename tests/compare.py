@@ -87,7 +87,7 @@ if __name__ == "__main__":
     from feedfold.session import local_session
 
     directory, wanted = sys.argv[1], sys.argv[2:]
-    session, connection = local_session(), connect(directory)
+    session, connection = local_session(os.environ.get("TEST_CPUS", "8")), connect(directory)
     all_sql = spark_entry.oracle_sql()
     bad = 0
     for label, run in spark_entry.queries().items():

@@ -1,11 +1,16 @@
 """File and table sinks, small-side joins and plans."""
 
+from decimal import Decimal
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from feedfold.operators import bounded, fold, records
 from feedfold.functions.convert import Field
+from feedfold.functions.rules import CONNECT_DECIMAL
 from feedfold.options import Options
 from feedfold.plans import build, fixtures
 from feedfold.session import landed, scratch_path
@@ -30,6 +35,27 @@ def test_lake_formats(spark):
         assert back.filter("table = 't1'").count() == 10
 
 
+def test_keys_are_marked_and_checked(spark):
+    fields = [Field("id", "INT64"), Field("name", "STRING"), Field("d", "BYTES", CONNECT_DECIMAL), Field("a", "STRING")]
+    keys, options = ["id", "name", "d"], Options(profile="lake", lake_format="parquet")
+    kind = "`table` string, id long, name string, d decimal(20,4), a string"
+    path = scratch_path(spark, "lake_keys")
+    rows = [("t", 1, "x", Decimal("1.5000"), None), ("t", 0, "", Decimal("0.0000"), "b")]
+    lake.write_lake(spark.createDataFrame(rows, kind), path, options, keys=keys)
+    (file,) = Path(path.removeprefix("file:"), "table=t").glob("*.parquet")
+    marked = [f.name for f in pq.read_schema(file) if not f.nullable]
+    assert marked == keys
+    back = lake.read_lake_fields(spark, path, fields, keys, options)
+    assert [f.name for f in back.schema if not f.nullable] == keys
+    assert sorted(map(tuple, back.select("table", "id", "name", "d", "a").collect())) == sorted(rows, key=str)
+    with pytest.raises(Exception, match="null in key column name"):
+        lake.write_lake(spark.createDataFrame([("t", 1, None, Decimal(1), "a")], kind), scratch_path(spark, "null_key"), options, keys=keys)
+    bad = scratch_path(spark, "null_key_read")
+    lake.write_lake(spark.createDataFrame([("t", 1, None, Decimal(1), "a")], kind), bad, options)
+    with pytest.raises(Exception, match="null in key column name"):
+        lake.read_lake_fields(spark, bad, fields, keys, options).collect()
+
+
 def test_buckets_hold_every_key_once(spark):
     rows = spark.range(200)
     path = scratch_path(spark, "buckets")
