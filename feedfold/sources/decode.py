@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,20 +123,36 @@ def schema_fields(schemas: DataFrame, schema_column: str, *carry: str) -> DataFr
     )
 
 
+def registry_id(binary: Column) -> Column:
+    """Schema number in the header of registry-framed bytes (a zero byte, then four of the number); null without one."""
+    framed = (F.substring(binary, 1, 1) == F.lit(b"\x00")) & (F.octet_length(binary) >= AVRO_HEADER_BYTES)
+    return F.when(framed, F.conv(F.hex(F.substring(binary, 2, 4)), 16, 10).cast("long"))
+
+
 def decode_avro(binary: Column, schema_json: str) -> Column:
-    """Avro bytes behind a five-byte registry header; needs Spark's Avro package."""
+    """Avro bytes behind a five-byte registry header, null without one; needs Spark's Avro package."""
     from pyspark.sql.avro.functions import from_avro
 
-    body = F.substring(binary, AVRO_HEADER_BYTES + 1, 2_147_483_647)
+    body = F.when(registry_id(binary).isNotNull(), F.substring(binary, AVRO_HEADER_BYTES + 1, 2_147_483_647))
     return from_avro(body, schema_json, {"mode": "PERMISSIVE"})
 
 
-def avro_feed_as_text(feed: DataFrame, key_schema: str, value_schema: str) -> DataFrame:
-    """A feed with Avro keys and values as one with JSON text, for the later steps."""
+def avro_text(binary: Column, schemas: Mapping[int, str]) -> Column:
+    """Avro bytes as JSON text, each record by the schema that its header names; bytes of no known schema give ``{``.
+
+    That is text which is there and is no object, so such a record is rejected rather than taken for a delete.
+    """
+    number = registry_id(binary)
+    known = [
+        F.when(number == at, F.to_json(decode_avro(binary, schema), {"ignoreNullFields": "false"}))
+        for at, schema in schemas.items()
+    ]
+    return F.when(binary.isNotNull(), F.coalesce(*known, F.lit("{")))
 
-    def text(name: str, schema: str) -> Column:
-        decoded = F.to_json(decode_avro(F.col(name), schema), {"ignoreNullFields": "false"})
-        return F.when(F.col(name).isNotNull(), decoded).alias(name)
 
+def avro_feed_as_text(feed: DataFrame, key_schemas: Mapping[int, str], value_schemas: Mapping[int, str]) -> DataFrame:
+    """A feed with Avro keys and values as one with JSON text, for the later steps; schemas by registry number."""
     others = [c for c in feed.columns if c not in ("key", "value")]
-    return feed.select(*others, text("key", key_schema), text("value", value_schema))
+    return feed.select(
+        *others, avro_text(F.col("key"), key_schemas).alias("key"), avro_text(F.col("value"), value_schemas).alias("value")
+    )

@@ -453,6 +453,16 @@ def test_layouts():
         layouts.create(keys, [Field("a", "ARRAY")])
 
 
+def test_registry_headers_are_read(spark):
+    from feedfold.sources.decode import avro_text, registry_id
+
+    framed = [b"\x00\x00\x00\x01\x02rest", b"\x00\xff\xff\xff\xff", b"\x01\x00\x00\x01\x02rest", b"\x00\x00\x01", b"", None]
+    frame = spark.createDataFrame([(n, b) for n, b in enumerate(framed)], "n int, b binary").orderBy("n")
+    assert [r.i for r in frame.select("n", registry_id(F.col("b")).alias("i")).collect()] == [258, 2**32 - 1, None, None, None, None]
+    # no schema is known: text that is there but no object, except where there are no bytes at all
+    assert [r.t for r in frame.select("n", avro_text(F.col("b"), {}).alias("t")).collect()] == ["{"] * 5 + [None]
+
+
 def test_kafka_options_and_missing_packages(spark):
     options = kafka_options("host:1", "db\\..*", 1000)
     assert options["subscribePattern"] == "db\\..*" and options["maxOffsetsPerTrigger"] == "1000"
