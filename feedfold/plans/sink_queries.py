@@ -222,8 +222,16 @@ def bucket_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch, rows in enumerate(_slices(fixtures.flat_feed(spark, sf_dir))[:2]):
         sink.apply(rows, batch)
         store.compact()
-    units: dict[str, Layout] = {path: e.layout for e in store.catalog().tables.values() for path, _ in e.base}
-    held = [buckets.read_unit(spark, path, store.patch_schema(layout)) for path, layout in units.items()]
+    units: dict[tuple[str, tuple[int, ...], Layout], list[str]] = {}
+    for name, entry in store.catalog().tables.items():
+        for path, own in entry.base:
+            units.setdefault((path, own, entry.layout), []).append(name)
+    held = [
+        buckets.read_unit(spark, path, store.patch_schema(layout)).filter(
+            F.col("table").isin(names) & F.col(buckets.BUCKET).isin(list(own))
+        )
+        for (path, own, layout), names in units.items()
+    ]
     rows = [frame.select(F.col("table").alias("table_name"), buckets.BUCKET, "key.user_id", "key.k") for frame in held]
     places = reduce(DataFrame.union, rows).groupBy("table_name", "user_id", "k").agg(
         F.count_distinct(buckets.BUCKET).alias("places"), F.max(buckets.BUCKET).alias("bucket")
