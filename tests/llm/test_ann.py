@@ -54,3 +54,23 @@ def test_small_tables(spark):
     assert [(r["rank"], r["vec_id"], r["score"]) for r in sorted(found)] == [(1, 1, 1.0), (2, 2, 0.0)]
     assert ann.search(frame, frame.where("vec_id = 3")).count() == 0
     assert ann.search(frame.limit(0), frame.limit(0)).count() == 0
+
+
+def test_recall_of_full_shards(spark):
+    """Two full shards at the production settings: clusters, and points without any structure, which are harder."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 32))
+    for spread in (0.5, None):
+        points = rng.normal(size=(2 * ann.SHARD, 32))
+        if spread:
+            points = centres[np.arange(len(points)) % 60] + spread * points
+        frame = spark.createDataFrame([(i, v) for i, v in enumerate(points.tolist())], "vec_id long, embedding array<double>")
+        found = ann.search(frame, frame.where("vec_id % 50 = 0"), k=5).collect()
+        units = points / np.linalg.norm(points, axis=1, keepdims=True)
+        asked = np.arange(0, len(points), 50)
+        near = units[asked] @ units.T
+        near[np.arange(len(asked)), asked] = -2
+        wanted = {(int(q), int(v)) for q, row in zip(asked, near, strict=True) for v in np.argsort(-row)[:5]}
+        recall = len(wanted & {(r["query_id"], r["vec_id"]) for r in found}) / len(wanted)
+        print(f"recall, spread {spread}: {recall:.3f}")
+        assert recall >= 0.9
