@@ -13,13 +13,18 @@ checked on the full sets.
 No pairs of a whole band are made. First every class is paired with the
 smallest class of each of its bands (a star). The links found so make
 components. Bands that still hold several components are compared in blocks:
-their members are dealt into groups of about ``BLOCK`` by a hash, every two
-groups meet in one task, and only pairs that lie in different components and pass the
-estimate come out. So one big group of copies costs a star, nothing is
+their members are dealt into groups of about ``BLOCK`` by a hash, and every two
+groups meet in one task. What lies in different components and passes the
+estimate stays in its block as lists of partners; the full sets of those members are brought
+to the block and checked there, and only links that join two components come out,
+fewer than the block has members. So one big group of copies costs a star, and a big
+group that stays apart costs comparisons inside tasks, but rows only in proportion to its size. Nothing is
 capped, and no link that would join two components is lost, but for what
 banding misses: with ``BANDS`` bands of ``ROWS`` registers a pair at similarity
 0.8 shares none with probability 3e-6.
 
+Hashes of words are worked out for many texts at once, as differences of running sums over their bytes.
+
 Defined cases: a null, empty or blank text has no shingles, is linked with
 nothing and is its own component. A text of fewer than k words is one shingle.
 Repeated rows are exact copies; each row gets a result. Null ids come after
@@ -30,14 +35,15 @@ ignored (``dedup`` keeps them).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedfold.llm.common import landed
+from feedfold.llm.common import bounded_runs, landed, starts_of
 from feedfold.llm.components import components
 
 ROWS, BANDS = 6, 42
@@ -45,14 +51,22 @@ REGISTERS = ROWS * BANDS
 MANTISSA = 10
 #: An estimate may lie so many standard errors below the similarity and still be checked.
 ERRORS = 6
-BLOCK = 512
+BLOCK = 2_048
+#: Texts whose registers are worked out at once.
+TEXTS = 64
 #: Orders rows by id, null ids last, and by text.
 NAMED = "struct(d IS NULL AS nameless, d, t)"
 EMPTY = np.uint16(0xFFFF)
 
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-WORDS_KEPT = 400_000
-_WORDS: dict[bytes, int] = {}
+#: Bytes of text whose words are hashed at once.
+SLICE = 1 << 18
+WHITE = re.compile(rb"[\x20\x09-\x0D]")
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Odd, so that its powers have inverses modulo 2^64.
+BASE = 0x2545F4914F6CDD1B
+INVERSE = pow(BASE, -1, 1 << 64)
+_POWERS: list[np.ndarray] = []
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -62,45 +76,91 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+#: A number for each byte; capital letters have those of the small ones.
+LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * ODD[0])
+LETTERS[ord("A") : ord("Z") + 1] = LETTERS[ord("a") : ord("z") + 1]
 
 
-def shingles(text: str | None, k: int) -> np.ndarray:
-    """Sorted distinct shingle hashes."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_WORDS) > WORDS_KEPT:
-        _WORDS.clear()
-    for w in set(words):  # not a difference of sets, which would walk all words known
-        if w not in _WORDS:
-            _WORDS[w] = word_hash(w)
-    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    width = min(k, len(words))
-    n = len(words) - width + 1
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, SLICE + 4_096)
+        _POWERS[:] = [
+            np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, x, np.uint64)])) for x in (BASE, INVERSE)
+        ]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and the places where they begin, cut between words into parts of about ``SLICE`` bytes."""
+    hashes, places, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while at < len(data):
+        cut = WHITE.search(data, min(at + SLICE, len(data)))
+        end = cut.end() if cut else len(data)
+        some = np.frombuffer(data, np.uint8, end - at, at)
+        blank = np.concatenate([[True], BLANK[some], [True]])
+        turns = np.flatnonzero(blank[1:] != blank[:-1])
+        first, last = turns[::2], turns[1::2]
+        up, down = powers(len(some))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(LETTERS[some] * up)])
+        hashes.append(mixed((sums[last] - sums[first]) * down[first]))
+        places.append(first + at)
+        at = end
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def chained(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash for each run of so many words."""
+    n = len(hashes) - width + 1
     out = np.full(n, width, np.uint64)
     for i in range(width):
         out = mixed(out * ODD[0] + hashes[i : i + n])
-    return np.unique(out)
+    return out
+
+
+def distinct(numbers: np.ndarray) -> np.ndarray:
+    found = np.sort(numbers)
+    return found[np.concatenate([[True], found[1:] != found[:-1]])]
+
+
+def shingles(texts: Sequence[str | None], k: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    out: list[np.ndarray] = []
+    whole = [t or "" for t in texts]
+    for a, b in bounded_runs(whole, SLICE):
+        coded = [t.encode("utf-8", "surrogatepass") for t in whole[a:b]]
+        hashes, places = words_of(b"\n".join(coded))
+        bounds = np.searchsorted(places, starts_of([*(len(c) + 1 for c in coded), 0])).tolist()
+        runs = chained(hashes, k) if len(hashes) >= k else hashes[:0]
+        for first, last in zip(bounds, bounds[1:], strict=False):
+            if last - first >= k:
+                out.append(distinct(runs[first : last - k + 1]))
+            else:
+                out.append(chained(hashes[first:last], last - first) if last > first else np.zeros(0, np.uint64))
+    return out
 
 
 def registers(found: np.ndarray) -> np.ndarray:
     """HyperMinHash of a set: per register the leading zeros and mantissa of its smallest number."""
-    out = np.full(REGISTERS, EMPTY, np.uint16)
-    if not len(found):
-        return out
+    return all_registers([found])[0]
+
+
+def all_registers(sets: Sequence[np.ndarray]) -> np.ndarray:
+    """The registers of each set."""
+    found = np.concatenate([np.zeros(0, np.uint64), *sets])
     spread = mixed(found * ODD[1])
     place = ((spread >> np.uint64(32)) % np.uint64(REGISTERS)).astype(np.int64)
+    place += np.repeat(np.arange(len(sets)) * REGISTERS, [len(s) for s in sets])
     number = (mixed(found ^ ODD[2]) >> np.uint64(11)).astype(np.float64)  # 53 bits
-    least = np.full(REGISTERS, np.inf)
+    least = np.full(len(sets) * REGISTERS, np.inf)
     np.minimum.at(least, place, number)
     held = np.flatnonzero(np.isfinite(least))
     fraction, exponent = np.frexp(np.maximum(least[held], 1.0))
     zeros = np.minimum(53 - exponent, 62)
     mantissa = ((fraction * 2 - 1) * (1 << MANTISSA)).astype(np.int64)
+    out = np.full(len(least), EMPTY, np.uint16)
     out[held] = (zeros << MANTISSA | mantissa).astype(np.uint16)
-    return out
+    return out.reshape(len(sets), REGISTERS)
 
 
 def band_keys(rows: np.ndarray) -> np.ndarray:
@@ -134,17 +194,24 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def digest(found: np.ndarray) -> str | None:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest() if len(found) else None
+
+
 def sketched(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(d, t, x, n, sketch): id, hash of the text, digest of the set (null if empty), its size and registers."""
 
     @F.pandas_udf("x string, n long, sketch binary")
     def sketch(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingles(t, k) for t in texts]
+        sets = shingles(texts.tolist(), k)
+        rows: list[bytes] = []
+        for at in range(0, len(sets), TEXTS):
+            rows += [row.tobytes() for row in all_registers(sets[at : at + TEXTS])]
         return pd.DataFrame(
             {
-                "x": [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets],
+                "x": [digest(s) for s in sets],
                 "n": [len(s) for s in sets],
-                "sketch": [registers(s).tobytes() if len(s) else None for s in sets],
+                "sketch": [row if len(s) else None for s, row in zip(sets, rows, strict=True)],
             }
         )
 
@@ -182,13 +249,25 @@ def worth_checking(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return sized.where(passes("sa", "sb", "na", "nb")).select("a", "b")
 
 
-def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose full sets are similar enough, as links (u, v)."""
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(c, whole): the hashes of these classes, from the text of each one's smallest row."""
 
-    @F.pandas_udf("x string, whole binary")
-    def full(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingles(t, k).tobytes() for t in texts]
-        return pd.DataFrame({"x": [hashlib.blake2b(s, digest_size=16).hexdigest() for s in sets], "whole": sets})
+    @F.pandas_udf("binary")
+    def full(texts: pd.Series, wanted: pd.Series) -> pd.Series:
+        # wanted is read here so that only texts of these classes are cut into shingles
+        sets = shingles(texts.tolist(), k)
+        return pd.Series([s.tobytes() if digest(s) == x else None for s, x in zip(sets, wanted, strict=True)], dtype=object)
+
+    named = nodes.distinct().join(classes, "c").selectExpr("c", "d AS e", "t AS h", "x")
+    texts = docs.select("d", F.xxhash64("text").alias("t"), "text")
+    # one plan at every size: the number of candidates does not decide whether texts move
+    found = texts.join(named.hint("merge"), texts["d"].eqNullSafe(named["e"]) & (F.col("t") == F.col("h")))
+    found = found.select("c", full("text", "x").alias("whole")).where("whole IS NOT NULL")
+    return landed(found.groupBy("c").agg(F.first("whole").alias("whole")), "full_sets")
+
+
+def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough, as links (u, v)."""
 
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -198,19 +277,16 @@ def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, perce
         return pd.Series(found, dtype=bool)
 
     pairs = landed(pairs, "candidate_pairs")
-    nodes = pairs.selectExpr("a AS c").union(pairs.selectExpr("b AS c")).distinct().join(classes, "c").select("c", "d", "x")
-    nodes = nodes.withColumnRenamed("d", "e").withColumnRenamed("x", "y")
-    texts = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text"))
-    # one plan at every size: the number of candidates does not decide whether texts move
-    found = texts.join(nodes.hint("merge"), texts["d"].eqNullSafe(nodes["e"])).select("c", "y", full("text").alias("s"))
-    sets = landed(found.where("s.x = y").groupBy("c").agg(F.first("s.whole").alias("whole")), "full_sets")
+    sets = full_sets(pairs.selectExpr("a AS c").union(pairs.selectExpr("b AS c")), classes, docs, k)
     left, right = sets.selectExpr("c AS a", "whole AS wa"), sets.selectExpr("c AS b", "whole AS wb")
     both = pairs.join(left, "a").join(right, "b")
     return landed(both.where(similar("wa", "wb")).selectExpr("a AS u", "b AS v"), "links")
 
 
-def left_apart(bands: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components in bands that hold several, compared in blocks."""
+def left_apart(
+    bands: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int
+) -> DataFrame:
+    """Links (u, v) between different components in bands that hold several, found and checked in blocks."""
     named = bands.join(labels.withColumnRenamed("u", "c"), "c", "left")
     named = named.select("band", "c", F.coalesce("v", "c").alias("label"))
     open_bands = named.groupBy("band").agg(
@@ -227,10 +303,18 @@ def left_apart(bands: DataFrame, classes: DataFrame, labels: DataFrame, percent:
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in whole_blocks(batches):
-            a, b = pairs_in_blocks(some, percent)
-            yield pd.DataFrame({"a": a, "b": b}, dtype=np.int64)
+            yield with_partners(some, *pairs_in_blocks(some, percent))
+
+    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some in whole_blocks(batches):
+            found = [pair for _, block in some.groupby(BLOCK_KEY, sort=False) for pair in joins_in_block(block, percent)]
+            u, v = zip(*found, strict=True) if found else ((), ())
+            yield pd.DataFrame({"u": u, "v": v}, dtype=np.int64)
 
-    return dealt.mapInPandas(compare, "a long, b long").distinct()
+    members = dealt.mapInPandas(compare, "band long, i int, j int, c long, label long, partners binary")
+    members = landed(members, "members")
+    held = members.join(full_sets(members.select("c"), classes, docs, k), "c").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "c")
+    return landed(held.mapInPandas(confirm, "u long, v long").distinct(), "links_apart")
 
 
 #: Rows of blocks that are compared together; a block has at most two groups of about ``BLOCK``.
@@ -256,12 +340,12 @@ def whole_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def pairs_in_blocks(rows: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components to check, from rows sorted by block; all blocks are compared at once.
+    """Places of pairs of different components to check, from rows sorted by block; all blocks are compared at once.
 
     In each step every row meets the one so many places after it, if that is in its
     block; rows whose block ends before take no further part.
     """
-    sketches, n, c = to_rows(rows["sketch"]), rows["n"].to_numpy(), rows["c"].to_numpy()
+    sketches, n = to_rows(rows["sketch"]), rows["n"].to_numpy()
     own, label, band = rows["own"].to_numpy(), rows["label"].to_numpy(), rows["band"].to_numpy()
     key = rows[BLOCK_KEY].to_numpy()
     within = (rows["i"] == rows["j"]).to_numpy()
@@ -283,12 +367,49 @@ def pairs_in_blocks(rows: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.nd
             first = keys[a, shared.argmax(axis=1)].astype(np.int64) == band[a]
             a, b = a[first], b[first]
             near = could_reach(sketches[a], sketches[b], n[a], n[b], percent)
-            out.append(np.stack([c[a[near]], c[b[near]]], axis=1))
+            out.append(np.stack([a[near], b[near]], axis=1))
         step += 1
     found = np.concatenate(out)
     return found[:, 0], found[:, 1]
 
 
+def with_partners(rows: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """The members of blocks that are in a pair, each with the classes it is to be checked against."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    members = np.unique(np.concatenate([a, b]))
+    c = rows["c"].to_numpy()
+    first, last = np.searchsorted(a, members), np.searchsorted(a, members, "right")
+    partners = [c[b[x:y]].tobytes() for x, y in zip(first, last, strict=True)]
+    return rows[[*BLOCK_KEY, "c", "label"]].iloc[members].assign(partners=partners)
+
+
+def joins_in_block(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
+    """Links that join two components, from the members of one block sorted by class."""
+    c, component = rows["c"].to_numpy(), rows["label"].to_numpy().copy()
+    sets = [np.frombuffer(w, np.uint64) for w in rows["whole"]]
+    sizes = np.array([len(s) for s in sets])
+    known, number = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    held = np.zeros(len(known), bool)
+    for me, wanted in enumerate(rows["partners"]):
+        others = np.searchsorted(c, np.frombuffer(wanted, np.int64))
+        others = others[component[others] != component[me]]
+        if not len(others):
+            continue
+        mine = number[starts[me] : starts[me] + sizes[me]]
+        held[mine] = True
+        many = sizes[others]
+        ends = np.cumsum(many)
+        places = np.repeat(starts[others] - (ends - many), many) + np.arange(ends[-1])
+        both = np.add.reduceat(held[number[places]].astype(np.int64), ends - many)
+        held[mine] = False
+        for other in others[100 * both >= percent * (sizes[me] + many - both)]:
+            if component[other] != component[me]:
+                component[component == component[other]] = component[me]
+                yield int(c[me]), int(c[other])
+
+
 def with_firsts(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """What ``resolve`` gives, and first: the smallest hash of a text that has the smallest id in the component."""
     docs = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text"))
@@ -302,10 +423,8 @@ def with_firsts(docs: DataFrame, k: int, percent: int, id_col: str, text_col: st
     shared = bands.groupBy("band").agg(F.min("c").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     bands = landed(bands.join(shared, "band"), "bands")
     stars = bands.where("a != c").selectExpr("a", "c AS b").distinct()
-    links = checked(worth_checking(stars, classes, percent), classes, docs, k, percent, "d", "text")
-    labels = components(links)
-    apart = left_apart(bands.select("band", "c"), classes, labels, percent)
-    more = checked(apart, classes, docs, k, percent, "d", "text")
+    labels = components(checked(worth_checking(stars, classes, percent), classes, docs, k, percent))
+    more = left_apart(bands.select("band", "c"), classes, labels, docs, k, percent)
     if not more.isEmpty():
         labels = components(labels.union(more))
     named = classes.join(labels.withColumnRenamed("u", "c"), "c", "left").select(

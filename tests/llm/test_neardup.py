@@ -105,3 +105,30 @@ def test_components_of_large_ids(spark):
     found = components(links.union(links.selectExpr("v", "v + 2000000 AS u")))
     assert found.count() == 600_000
     assert found.where("u - v NOT IN (1000000, 2000000)").count() == 0
+
+
+def test_rows_of_a_group_that_stays_apart(spark, monkeypatch):
+    """Texts alike at less than the limit make no table of their pairs, and links among them are still found."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    docs = []
+    for i in range(360):
+        text = list(base)
+        for at in rng.sample(range(60), 2):
+            text[at] = f"x{i}at{at}"
+        docs.append((i, " ".join(text)))
+    docs += [(1000 + i, docs[i][1] + " end") for i in range(0, 360, 20)]
+    counted = []
+
+    def seen(rows, name):
+        held = landed(rows, name)
+        counted.append((held.count(), name))
+        return held
+
+    landed = neardup.landed
+    monkeypatch.setattr(neardup, "landed", seen)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = neardup.resolve(frame, k=4).select("d", "n", "component").collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, 4)
+    apart = [n for n, name in counted if name not in ("bands", "sketches", "classes")]
+    assert max(apart) <= neardup.BANDS * len(docs)
