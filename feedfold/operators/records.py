@@ -78,7 +78,7 @@ def key_changed(sent: Column, key_names: str = "key_names") -> Column:
     ``sent`` are the names in the record's key. False where the target does not
     exist, that is where ``key_names`` is null.
     """
-    differs = ~F.array_sort(sent).eqNullSafe(F.array_sort(key_names))
+    differs = ~F.sort_array(sent).eqNullSafe(F.sort_array(key_names))
     return (F.col("op") == DELETE) & F.col(key_names).isNotNull() & differs
 
 

@@ -31,10 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the key within their properties as a column."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").withColumn("k", k)
+def event_rows(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """Events with the key within their properties as a column.
+
+    With ``dealt`` they are dealt to as many tasks as there are cores before records are made of them: where files lie in
+    order of time, few tasks would make all records of a slice of time.
+    """
+    rows = table(spark, sf_dir, "events")
+    if dealt:
+        rows = rows.repartition(spark.sparkContext.defaultParallelism, "event_id")
+    return rows.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
 def _instant(wall: Column) -> Column:
@@ -113,14 +119,14 @@ def form_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = [_with_schema(_schema_json([*user, *fields], "row"), text) for fields, text in zip(FORMS, (old, new), strict=True)]
     value = F.when(day.cast("string") < EPOCH_STARTS[1], values[0]).otherwise(values[1])
     key = _with_schema(_schema_json(user, "key"), _text("user_id"))
-    return _feed(event_rows(spark, sf_dir), table_topic(), key, F.when(~is_delete(), value), F.lit(0))
+    return _feed(event_rows(spark, sf_dir, dealt=True), table_topic(), key, F.when(~is_delete(), value), F.lit(0))
 
 
 #: How many kinds of records ``bad_feed`` has; those from ``GOOD`` on are sound.
 KINDS, GOOD = 16, 8
 
 
-def bad_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bad_feed(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """The flat feed with every kind of record that a table cannot take, told by the event's number."""
     kind = F.col("event_id") % KINDS
     key = (
@@ -138,7 +144,7 @@ def bad_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 7, _text(*KEYS, "event_type", F.lit("many").alias("value"), "props"))
         .otherwise(_text(*KEYS, "event_type", "value", "props"))
     )
-    return _feed(event_rows(spark, sf_dir), table_topic(), key, value, F.lit(0))
+    return _feed(event_rows(spark, sf_dir, dealt), table_topic(), key, value, F.lit(0))
 
 
 def user_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +218,7 @@ def two_partition_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_feed(
-    spark: SparkSession, sf_dir: str, conflicts: bool = False, partition: Column | None = None
+    spark: SparkSession, sf_dir: str, conflicts: bool = False, partition: Column | None = None, dealt: bool = False
 ) -> DataFrame:
     """Self-describing records whose schema changes twice over time.
 
@@ -236,7 +242,7 @@ def schema_feed(
         last = F.when(F.col("user_id") % 4 == 0, value(2, wide_key=True)).otherwise(last)
     record = F.when(epoch == 0, value(0)).when(epoch == 1, value(1)).otherwise(last)
     key = _with_schema(_schema_json(KEY_FIELDS, "key"), _text(*KEYS))
-    rows = event_rows(spark, sf_dir)
+    rows = event_rows(spark, sf_dir, dealt)
     return _feed(rows, table_topic(), key, F.when(~is_delete(), record), F.lit(0) if partition is None else partition)
 
 

@@ -39,7 +39,7 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream_apply")
     store = TableStore(spark, f"{root}/tables", Options(allow_missing=True))
     sink = FeedSink(store)
-    for number, rows in enumerate(_slices(fixtures.schema_feed(spark, sf_dir))):
+    for number, rows in enumerate(_slices(fixtures.schema_feed(spark, sf_dir, dealt=True))):
         _land(rows, f"{root}/feed")
         sink.start(stream_feed(spark, f"{root}/feed"), f"{root}/checkpoint").awaitTermination()
         if number == 1:
@@ -102,7 +102,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     schemas = {f"app_t_{n}": (fixtures.KEY_FIELDS, fixtures.VALUE_FIELDS[2:]) for n in range(16)}
     store = _InterruptedStore(spark, scratch_path(spark, "stream_replay"), Options())
     sink = FeedSink(store, schemas)
-    for batch, rows in enumerate(_slices(fixtures.bad_feed(spark, sf_dir))):
+    for batch, rows in enumerate(_slices(fixtures.bad_feed(spark, sf_dir, dealt=True))):
         try:
             sink.apply(rows, batch)
         except _Interrupted:
@@ -126,7 +126,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     schemas = {f"app_t_{n}": (fixtures.KEY_FIELDS, fixtures.VALUE_FIELDS) for n in range(16)}
     store = TableStore(spark, scratch_path(spark, "stream_rejects"), Options())
     sink = FeedSink(store, schemas)
-    for batch, rows in enumerate(_slices(fixtures.bad_feed(spark, sf_dir))):
+    for batch, rows in enumerate(_slices(fixtures.bad_feed(spark, sf_dir, dealt=True))):
         sink.apply(rows, batch)
     counts = spark.read.parquet(f"{store.root}/counts")
     return counts.groupBy(F.col("table").alias("table_name"), "op").agg(

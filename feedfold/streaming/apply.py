@@ -124,7 +124,7 @@ class FeedSink:
             "table", "partition", "offset", "ts", "op", "key", "value", "key_schema", "value_schema",
             F.when(upsert, fingerprint).alias("fp"),
             malformed.alias("malformed"),
-            F.when(~upsert, F.array_sort(F.json_object_keys("key"))).alias("sent_keys"),
+            F.when(~upsert, F.json_object_keys("key")).alias("sent_keys"),
         )
         path = f"{self.store.root}/stage"
         if not self.topic_per_task:
@@ -240,10 +240,11 @@ class FeedSink:
                 "delete_key_change": records.key_changed(F.col("sent_keys")),
             },
         )
-        leading = F.col("reason").isNull() & ~upsert & before
-        flagged = flagged.withColumn("leading", leading)
+        sound, early = F.col("reason").isNull(), ~upsert & before
+        flagged = flagged.withColumn("leading", sound & early)
         enabled = upsert | F.lit(self.options.deletes)
-        return flagged.withColumn("applied", F.col("reason").isNull() & ~F.col("leading") & enabled).drop(
+        # in words that name the reason once, as this becomes the filter of all later steps
+        return flagged.withColumn("applied", sound & ~early & enabled).drop(
             "refused", "key_names", "starts", "malformed", "sent_keys"
         )
 
@@ -332,9 +333,7 @@ class FeedSink:
         self.store.write_patches(self._patches(good, layout, plans, grouping, batch), path)
         if not _may_exceed_zero(seen, "failures"):
             return []
-        bad = rows.filter(F.col("reason").isNotNull()).select(
-            "table", "partition", "offset", "reason", F.col("key_text").alias("key"), F.col("value_text").alias("value")
-        )
+        bad = _refused(rows)
         step = hashlib.sha256(min(plans).encode()).hexdigest()[:16]
         bad.write.mode("overwrite").parquet(self._rejects_path(batch, step))
         op = F.when(F.col("value").isNull(), records.DELETE).otherwise(records.UPSERT).alias("op")
@@ -402,6 +401,17 @@ class FeedSink:
         return F.coalesce(test, F.lit(False))
 
 
+def _refused(rows: DataFrame) -> DataFrame:
+    """Decoded records with a ``reason``, as the reject table has them.
+
+    They are observed first: else the filter would go below the decoding, and that would be done twice for each record.
+    """
+    told = rows.observe(Observation(), F.count_if(F.col("reason").isNotNull()).alias("failures"))
+    return told.filter(F.col("reason").isNotNull()).select(
+        "table", "partition", "offset", "reason", F.col("key_text").alias("key"), F.col("value_text").alias("value")
+    )
+
+
 def _variants(layout: Layout, plans: Mapping[str, _TablePlan]) -> Iterator[tuple[tuple[Field, ...], Column]]:
     """Fields to decode the layout's columns with, and the records they are for; first those the table holds."""
     held = (*layout.keys, *layout.columns)
