@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from feedfold.session import landed, scratch_path
 
-__all__ = ["bounded_runs", "landed", "outcome", "scratch_path", "table", "unused"]
+__all__ = ["bounded_batches", "bounded_runs", "landed", "outcome", "scratch_path", "table", "unused"]
 
 #: Characters of text that one task works on at a time.
 BATCH_CHARS = 2_000_000
+#: Bytes of rows that go to a Python worker at once, and Spark's setting for them.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,17 @@ def unused(columns: Sequence[str], wanted: str) -> str:
     return wanted
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on this session sends rows to Python workers in batches of at most ``BATCH_BYTES``, or less if it is set so.
+
+    A batch is held several times over, by the executor and by its workers; the number of its rows alone bounds nothing
+    where texts are long.
+    """
+    held = spark.conf.get(BATCH_SETTING).removesuffix("b")
+    if not held.isdecimal() or int(held) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def bounded_runs(texts: Sequence[str], limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts with about ``limit`` characters each."""
     start = size = 0

@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedfold.llm.common import bounded_runs, landed, starts_of
+from feedfold.llm.common import bounded_batches, bounded_runs, landed, starts_of
 from feedfold.llm.components import components
 
 ROWS, BANDS = 6, 42
@@ -412,6 +412,7 @@ def joins_in_block(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]
 
 def with_firsts(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """What ``resolve`` gives, and first: the smallest hash of a text that has the smallest id in the component."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text"))
     rows = landed(sketched(docs, k, "d", "text"), "sketches")
     classes = rows.where("x IS NOT NULL").groupBy("x").agg(

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedfold.llm.common import bounded_runs
+from feedfold.llm.common import bounded_batches, bounded_runs
 from feedfold.llm.tokens import library_encoder
 
 #: Open items per task; beyond it, sequences are filled until half are left.
@@ -155,6 +155,7 @@ def pack(
 
     ``loss_share`` is the share of a document's last ids that bear loss.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedfold.llm.common import bounded_runs, scratch_path, starts_of
+from feedfold.llm.common import bounded_batches, bounded_runs, scratch_path, starts_of
 from feedfold.llm.tokens import library_encoder
 
 SCALE = 20
@@ -136,9 +136,9 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_
         first, size, held_ids, held = 0, 0, [], []
 
         def row() -> pd.DataFrame:
-            sizes = [len(h) // 4 for h in held]
+            sizes, ids = [len(h) // 4 for h in held], b"".join(held)
             return pd.DataFrame(
-                {"shard": [shard], "first": [first], "doc_ids": [held_ids], "sizes": [sizes], "ids": [b"".join(held)]}
+                {"shard": [shard], "first": [first], "doc_ids": [held_ids], "sizes": [sizes], "ids": [ids], "seen": [seen_in(ids)]}
             )
 
         for batch in batches:
@@ -154,30 +154,39 @@ def tokenised(docs: DataFrame, path: str, end_id: int | None, id_col: str, text_
         if held:
             yield row()
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = rows.withColumn("tie", F.xxhash64("text"))
     ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     # ids travel as text, since pandas has no integers with nulls
     blocks = ordered.select(F.col("doc_id").cast("string"), "text").mapInPandas(
-        run, "shard long, first long, doc_ids array<string>, sizes array<int>, ids binary"
+        run, "shard long, first long, doc_ids array<string>, sizes array<int>, ids binary, seen binary"
     )
     return blocks.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>"))
 
 
+def seen_in(ids: bytes) -> bytes:
+    """The symbols of a block, ascending, and how often each of them occurs."""
+    total = np.bincount(np.frombuffer(ids, "<u4"))
+    symbols = np.flatnonzero(total)
+    return np.stack([symbols, total[symbols]]).astype("<u4").tobytes()
+
+
 def symbol_counts(blocks: DataFrame) -> np.ndarray:
-    """How often each id occurs; tasks count first, and a vocabulary bounds what reaches the driver."""
+    """How often each id occurs; blocks are counted where they are made, and a vocabulary bounds what reaches the driver."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch["ids"]:
-                found = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(total))
-                found[: len(total)] += total
-                total = found
-        seen = np.flatnonzero(total)
-        yield pd.DataFrame({"symbol": seen, "n": total[seen]})
-
-    rows = blocks.select("ids").mapInPandas(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
+            for seen in batch["seen"]:
+                symbols, counts = np.frombuffer(seen, "<u4").reshape(2, -1)
+                if len(symbols):
+                    total = np.pad(total, (0, max(0, int(symbols[-1]) + 1 - len(total))))
+                    total[symbols] += counts
+        symbols = np.flatnonzero(total)
+        yield pd.DataFrame({"symbol": symbols, "n": total[symbols]})
+
+    rows = blocks.select("seen").mapInPandas(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
     found = rows.collect()
     counts = np.zeros(1 + max((r["symbol"] for r in found), default=-1), np.int64)
     for r in found:
@@ -217,7 +226,7 @@ def write(
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    coded = blocks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(run, BLOCK_SCHEMA)
+    coded = blocks.drop("seen").withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(run, BLOCK_SCHEMA)
     coded = coded.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>"))
     coded.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 

@@ -3,8 +3,8 @@
 A text is cut before single spaces that stand between two other characters.
 No token of the supported vocabularies crosses such a cut, so a stretch (a
 space and what follows it) is encoded once and its ids are looked up from then
-on. The memory of a worker's table has a bound: two generations of at most
-``TABLE_SIZE`` stretches, and stretches over ``LONG`` characters are not kept.
+on. The memory of a worker's table has a bound: two generations of about
+``TABLE_SIZE`` (``KEPT_SIZE``) stretches, and stretches over ``LONG`` characters are not kept.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ import json
 import os
 import re
 import struct
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 from itertools import chain
 
 TABLE_SIZE = 600_000
+#: The same for ids by the library, which are had again sooner than they are kept: an executor has up to two workers a core.
+KEPT_SIZE = 120_000
 LONG = 120
 
 #: A space beside other white space: such texts are cut with more care.
@@ -25,10 +27,17 @@ ODD_SPACE = re.compile(r" \s|\s ")
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
+def beside_space(text: str) -> bool:
+    """Whether a space stands beside other white space; line breaks alone need no search by pattern."""
+    if text.isascii() and not any(c in text for c in "\t\v\f\r\x1c\x1d\x1e\x1f"):
+        return " \n" in text or "\n " in text or "  " in text
+    return ODD_SPACE.search(text) is not None
+
+
 def stretches(text: str) -> list:
     """Keys of a text's stretches: the first as a 1-tuple, later ones without their leading space."""
     parts = text.split(" ")
-    if "" in parts or ODD_SPACE.search(text):
+    if "" in parts or beside_space(text):
         parts = SAFE_CUT.split(text)
         return [(parts[0],), *[p[1:] for p in parts[1:]]]
     parts[0] = (parts[0],)
@@ -64,6 +73,11 @@ class Encoder:
 
 #: A line of a stretch that is one word, and perhaps some marks behind it.
 WORD_FORM = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*$%&#]{0,8})")
+word_form = WORD_FORM.fullmatch
+#: Different runs of marks of which the ids are kept.
+MARKS_SIZE = 10_000
+#: Writers of so many ids.
+PACKERS = [struct.Struct(f"<{n}I").pack for n in range(33)]
 #: Steps before the model that cut such a stretch into the word (with its space, or without and in small letters) and the marks.
 LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
 KEEPS_SPACE = (None, {**LEVEL, "use_regex": True})
@@ -112,6 +126,7 @@ class Stretches(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.tokenize = self.model.tokenize
         told = json.loads(self.tokenizer.to_str())
         steps = told["normalizer"], told["pre_tokenizer"]
         # an added token is cut out before anything else
@@ -119,41 +134,54 @@ class Stretches(dict):
         self.spaced = steps == KEEPS_SPACE
         self.small = steps == SMALL_LETTERS
         self.direct = plain and (self.spaced or self.small)
-        self.line_end = packed(t.id for t in self.model.tokenize(chr(_BYTES[0x0A]))) if self.spaced else b""
+        self.line_end = packed([t.id for t in self.model.tokenize(chr(_BYTES[0x0A]))]) if self.spaced else b""
         self.old: dict = {}
+        self.marks: dict[str, bytes] = {}
 
     def __missing__(self, key) -> bytes:
         found = self.old.get(key)
         if found is None:
-            found = self.found(key)
-        if len(key if isinstance(key, str) else key[0]) <= LONG:
+            if self.direct and type(key) is str and key.isalpha() and key.isascii():
+                # most new stretches are such words
+                spelled = SPACE + key if self.spaced else key.lower()
+                found = packed([t.id for t in self.tokenize(spelled)])
+            else:
+                found = self.found(key)
+        if len(key if type(key) is str else key[0]) <= LONG:
             self[key] = found
         return found
 
     def found(self, key) -> bytes:
-        first = isinstance(key, tuple)
+        first = type(key) is tuple
         text = key[0] if first else key
-        form = WORD_FORM.fullmatch(text) if self.direct else None
+        form = word_form(text) if self.direct else None
         if form is None:
             parts = text.split("\n") if self.direct else ()
-            if len(parts) > 1 and all(map(WORD_FORM.fullmatch, parts)):
+            if len(parts) > 1 and all(map(word_form, parts)):
                 # a line break between words is a piece of its own, or nothing
                 return self.line_end.join([self[(parts[0],) if first else parts[0]], *[self[p,] for p in parts[1:]]])
             return packed(self.tokenizer.encode(text if first else " " + text, add_special_tokens=False).ids)
         word, marks = form.groups()
         if marks:
-            return self[(word,) if first else word] + packed(t.id for t in self.model.tokenize(marks))
+            return self[(word,) if first else word] + (self.marks.get(marks) or self.marked(marks))
         spelled = word.lower() if self.small else word
         if not spelled.isascii():
             spelled = spelled.translate(SPELLING)
         if self.spaced and not first:
             spelled = SPACE + spelled
-        return packed(t.id for t in self.model.tokenize(spelled))
+        return packed([t.id for t in self.model.tokenize(spelled)])
+
+    def marked(self, marks: str) -> bytes:
+        """Ids of the marks behind a word; they are few, and are kept until there are too many."""
+        if len(self.marks) > MARKS_SIZE:
+            self.marks = {}
+        self.marks[marks] = found = packed([t.id for t in self.model.tokenize(marks)])
+        return found
 
 
-def packed(ids: Iterable[int]) -> bytes:
-    ids = list(ids)
-    return struct.pack(f"<{len(ids)}I", *ids)
+def packed(ids: Sequence[int]) -> bytes:
+    n = len(ids)
+    return PACKERS[n](*ids) if n < len(PACKERS) else struct.pack(f"<{n}I", *ids)
 
 
 class LibraryEncoder:
@@ -164,7 +192,7 @@ class LibraryEncoder:
 
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         table = self.table
-        if len(table) > TABLE_SIZE:
+        if len(table) > KEPT_SIZE:
             table.old = dict(table)
             table.clear()
         # no cycles arise here, and looking for them would walk many short-lived objects
