@@ -19,7 +19,7 @@ from itertools import chain
 
 TABLE_SIZE = 600_000
 #: The same for ids by the library, which are had again sooner than they are kept: an executor has up to two workers a core.
-KEPT_SIZE = 120_000
+KEPT_SIZE = 300_000
 LONG = 120
 
 #: A space beside other white space: such texts are cut with more care.
