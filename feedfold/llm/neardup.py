@@ -249,7 +249,7 @@ def worth_checking(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return sized.where(passes("sa", "sb", "na", "nb")).select("a", "b")
 
 
-def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+def set_rows(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """(c, whole): the hashes of these classes, from the text of each one's smallest row."""
 
     @F.pandas_udf("binary")
@@ -262,8 +262,13 @@ def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
     texts = docs.select("d", F.xxhash64("text").alias("t"), "text")
     # one plan at every size: the number of candidates does not decide whether texts move
     found = texts.join(named.hint("merge"), texts["d"].eqNullSafe(named["e"]) & (F.col("t") == F.col("h")))
-    found = found.select("c", full("text", "x").alias("whole")).where("whole IS NOT NULL")
-    return landed(found.groupBy("c").agg(F.first("whole").alias("whole")), "full_sets")
+    # nulls go after the aggregate: a condition right after the function would be moved before it, and call it once more
+    found = found.select("c", full("text", "x").alias("whole")).groupBy("c")
+    return found.agg(F.first("whole", ignorenulls=True).alias("whole")).where("whole IS NOT NULL")
+
+
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    return landed(set_rows(nodes, classes, docs, k), "full_sets")
 
 
 def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:

@@ -132,3 +132,17 @@ def test_rows_of_a_group_that_stays_apart(spark, monkeypatch):
     assert sorted(map(tuple, got), key=str) == brute(docs, 4)
     apart = [n for n, name in counted if name not in ("bands", "sketches", "classes")]
     assert max(apart) <= neardup.BANDS * len(docs)
+
+
+def test_full_sets_are_worked_out_once(spark, tmp_path):
+    """A second call of the function in the same task is a second Python worker that stays in memory."""
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text), (1, text), (2, "a b c d e"), (3, "not asked for")], "d long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    sets = neardup.shingles([text, "a b c d e"], 4)
+    digests = [neardup.digest(sets[0]), "another digest"]
+    named = docs.where("d < 3").distinct().selectExpr("d AS c", "d", "xxhash64(text) AS t", f"if(d = 1, '{digests[0]}', '{digests[1]}') AS x")
+    rows = neardup.set_rows(named.select("c"), named, docs, 4)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r["c"], bytes(r["whole"])) for r in rows.collect()] == [(1, sets[0].tobytes())]
